@@ -1,0 +1,159 @@
+"""Global median and median imputation without gathering the column in one task."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from cohortlake.functions.columns import column, middle, no_nan
+
+# Buckets per doubling of the value, and buckets of a linear split. Together they bound what
+# the one-task steps of ``exact_median`` ever see: see there.
+LOG_BUCKETS = 4096
+LINEAR_BUCKETS = 1 << 20
+# Sketches are merged in this many groups before the last merge.
+MERGE_GROUPS = 256
+
+
+def value_counts(df: DataFrame, col: str) -> DataFrame:
+    """(v, n) per distinct non-missing value. Counted in each map task before the shuffle, so a
+    value that fills a third of the table moves as one row per task."""
+    return (
+        df.select(no_nan(column(col)).alias("v"))
+        .where(F.col("v").isNotNull())
+        .groupBy("v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _magnitude(v: Column) -> Column:
+    """A whole number that never falls as ``v`` grows: sign and logarithm, in small steps."""
+    # Smallest double is 2^-1074, so the shift keeps every step positive.
+    step = F.floor(F.least(F.log2(F.abs(v)), F.lit(1025.0)) * LOG_BUCKETS) + 1075 * LOG_BUCKETS
+    return F.when(v == 0, F.lit(0)).when(v > 0, step).otherwise(-step).cast("long")
+
+
+def _bracket(counts: DataFrame, bucket: Column) -> DataFrame:
+    """One row ``span`` (lo, hi): two values of the data between which both middle values lie.
+
+    ``bucket`` must not fall as ``x`` grows. Both middle values in one bucket: its ends. In two
+    buckets: nothing lies between them, so they are the end of the first and the start of the
+    second, and the span is final.
+    """
+    buckets = counts.groupBy(bucket.alias("bucket")).agg(
+        F.sum("n").alias("n"), F.min("x").alias("first"), F.max("x").alias("last")
+    )
+    upto = F.sum("n").over(Window.orderBy("bucket"))
+    total = F.sum("n").over(Window.partitionBy())
+    ranked = buckets.select(
+        "first", "last", "n", upto.alias("upto"), total.alias("total")
+    )
+    holds = [
+        (F.col("upto") - F.col("n") < rank) & (rank <= F.col("upto"))
+        for rank in (F.expr("(total + 1) div 2"), F.expr("total div 2 + 1"))
+    ]
+    one = F.count(F.lit(1)) == 1
+    return (
+        ranked.where(holds[0] | holds[1])
+        .agg(
+            F.when(one, F.min("first")).otherwise(F.min("last")).alias("lo"),
+            F.when(one, F.max("last")).otherwise(F.max("first")).alias("hi"),
+        )
+        .select(F.struct("lo", "hi").alias("span"))
+    )
+
+
+def exact_median(counts: DataFrame) -> DataFrame:
+    """One row ``median`` of the values ``v`` occurring ``n`` times; null for no values.
+
+    Narrows an interval around the middle in three passes over the distinct values, which are
+    shuffled once and read again by each pass. Each pass groups the distinct values into
+    buckets and only the bucket totals come together in one task:
+
+    1. by magnitude: at most 2 * 2100 * 4096 buckets if the data spans every double there is,
+       4096 per doubling of the value otherwise;
+    2. by 2^20 linear steps of the one magnitude bucket that holds the middle;
+    3. by value: a linear step spans a relative width under 2^-12 * 2^-20, and doubles are
+       2^-53 apart at the closest, so at most 2^21 distinct values are left.
+
+    Values outside the interval are moved to its ends rather than filtered out: ranks stay those
+    of the whole column, and all passes read the same shuffle.
+    """
+    span = _bracket(counts.select("n", F.col("v").alias("x")), _magnitude(F.col("x")))
+    inside = _clamped(counts, span)
+    offset = (F.col("x") - F.col("span.lo")) / (F.col("span.hi") - F.col("span.lo"))
+    step = F.when(F.col("x") >= F.col("span.hi"), F.lit(LINEAR_BUCKETS)).otherwise(
+        F.floor(offset * LINEAR_BUCKETS)
+    )
+    span = _bracket(inside, step.cast("long"))
+    span = _bracket(_clamped(counts, span), F.col("x"))
+    return span.select(middle(F.col("span.lo"), F.col("span.hi")).alias("median"))
+
+
+def _clamped(counts: DataFrame, span: DataFrame) -> DataFrame:
+    return counts.select("v", "n", span.scalar().alias("span")).select(
+        "n", "span", F.greatest("span.lo", F.least("v", "span.hi")).alias("x")
+    )
+
+
+def sketch_size(error: float) -> int:
+    """Size of a KLL sketch whose rank error stays within ``error`` (99 % confidence)."""
+    if not 0 < error < 1:
+        raise ValueError("error must lie between 0 and 1")
+    return min(65535, max(8, math.ceil((2.296 / error) ** (1 / 0.9021))))
+
+
+def sketches(df: DataFrame, col: str, error: float) -> DataFrame:
+    """One quantile sketch per merge group; every map task sends one sketch of fixed size."""
+    return (
+        df.select(no_nan(column(col)).alias("v"))
+        .groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("part"))
+        .agg(F.kll_sketch_agg_double("v", F.lit(sketch_size(error))).alias("sketch"))
+    )
+
+
+def sketch_median(parts: DataFrame) -> DataFrame:
+    """One row ``median`` from the sketches of all merge groups; null for no values."""
+    merged = parts.agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    return merged.select(
+        F.when(
+            F.kll_sketch_get_n_double("sketch") > 0,
+            F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)),
+        ).alias("median")
+    )
+
+
+def median(
+    df: DataFrame, col: str, method: str = "exact", error: float = 0.0025
+) -> DataFrame:
+    """One row ``median`` of a numeric column; null and NaN are left out.
+
+    ``exact`` interpolates between the two middle values and is reproducible. ``approx`` returns
+    a value whose rank is off by no more than ``error`` of the rows; its shuffle does not grow
+    with the number of distinct values.
+    """
+    if method == "exact":
+        return exact_median(value_counts(df, col))
+    if method == "approx":
+        return sketch_median(sketches(df, col, error))
+    raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
+
+
+def impute_median(
+    df: DataFrame,
+    col: str,
+    method: str = "exact",
+    digits: int | None = 2,
+    error: float = 0.0025,
+) -> DataFrame:
+    """Missing values of ``col`` replaced by its median, rounded to ``digits`` unless None.
+
+    The median is a scalar subquery: one number, no join. With no value at all the column
+    stays null.
+    """
+    fill = median(df, col, method, error).scalar()
+    if digits is not None:
+        fill = F.round(fill, digits)
+    return df.withColumn(col, F.coalesce(no_nan(column(col)), fill))
