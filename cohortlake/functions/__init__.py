@@ -4,10 +4,9 @@ from cohortlake.functions.columns import (
     bucket,
     is_missing,
     is_valid,
-    middle,
     no_nan,
     parse_failed,
     typed,
 )
 
-__all__ = ["bucket", "is_missing", "is_valid", "middle", "no_nan", "parse_failed", "typed"]
+__all__ = ["bucket", "is_missing", "is_valid", "no_nan", "parse_failed", "typed"]

@@ -21,11 +21,6 @@ def no_nan(c: Column) -> Column:
     return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
 
 
-def middle(lower: Column, upper: Column) -> Column:
-    """Midpoint of the two middle values; equal ones (infinities too) are returned as they are."""
-    return F.when(lower == upper, lower).otherwise(lower + (upper - lower) / 2)
-
-
 def is_missing(field: T.StructField, null_values: Sequence[str] = (), trim: bool = False) -> Column:
     """Null, empty text or NaN. Never null itself, so it can be negated."""
     c = column(field.name)

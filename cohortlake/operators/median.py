@@ -7,13 +7,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.functions.columns import column, middle, no_nan
+from cohortlake.functions.columns import column, no_nan
+from cohortlake.scratch import staged
 
-# Buckets per doubling of the value, and buckets of a linear split. Together they bound what
-# the one-task steps of ``exact_median`` ever see: see there.
+# The most rows that are ranked in one task, and the steps that get a column below it: buckets
+# per doubling of the value, then buckets of a linear split.
+ONE_TASK_ROWS = 1 << 20
 LOG_BUCKETS = 4096
 LINEAR_BUCKETS = 1 << 20
-# Sketches are merged in this many groups before the last merge.
+# Quantile sketches are merged in this many groups before the last merge.
 MERGE_GROUPS = 256
 
 
@@ -28,74 +30,79 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-def _magnitude(v: Column) -> Column:
+def magnitude(v: Column) -> Column:
     """A whole number that never falls as ``v`` grows: sign and logarithm, in small steps."""
-    # Smallest double is 2^-1074, so the shift keeps every step positive.
+    # The smallest double is 2^-1074: the shift keeps the steps of positive values positive.
     step = F.floor(F.least(F.log2(F.abs(v)), F.lit(1025.0)) * LOG_BUCKETS) + 1075 * LOG_BUCKETS
     return F.when(v == 0, F.lit(0)).when(v > 0, step).otherwise(-step).cast("long")
 
 
-def _bracket(counts: DataFrame, bucket: Column) -> DataFrame:
-    """One row ``span`` (lo, hi): two values of the data between which both middle values lie.
+def linear(v: Column, lo: float, hi: float) -> Column:
+    """A whole number that never falls as ``v`` grows from ``lo`` to ``hi``."""
+    offset = (v - F.lit(lo)) / F.lit(hi - lo)
+    last = F.lit(LINEAR_BUCKETS).cast("long")
+    return F.when(v >= F.lit(hi), last).otherwise(F.floor(offset * LINEAR_BUCKETS))
+
+
+def _span(counts: DataFrame, x: Column, bucket: Column, total: int) -> tuple[float, float]:
+    """Two values of the data between which both middle values of ``x`` lie.
 
     ``bucket`` must not fall as ``x`` grows. Both middle values in one bucket: its ends. In two
     buckets: nothing lies between them, so they are the end of the first and the start of the
     second, and the span is final.
     """
-    buckets = counts.groupBy(bucket.alias("bucket")).agg(
-        F.sum("n").alias("n"), F.min("x").alias("first"), F.max("x").alias("last")
+    ranked = (
+        counts.select(x.alias("x"), bucket.alias("bucket"), "n")
+        .groupBy("bucket")
+        .agg(F.sum("n").alias("n"), F.min("x").alias("first"), F.max("x").alias("last"))
+        .withColumn("upto", F.sum("n").over(Window.orderBy("bucket")))
     )
-    upto = F.sum("n").over(Window.orderBy("bucket"))
-    total = F.sum("n").over(Window.partitionBy())
-    ranked = buckets.select(
-        "first", "last", "n", upto.alias("upto"), total.alias("total")
-    )
-    holds = [
-        (F.col("upto") - F.col("n") < rank) & (rank <= F.col("upto"))
-        for rank in (F.expr("(total + 1) div 2"), F.expr("total div 2 + 1"))
-    ]
+    below, upto = F.col("upto") - F.col("n"), F.col("upto")
+    lower, upper = F.lit((total + 1) // 2), F.lit(total // 2 + 1)
+    holds_one = ((below < lower) & (lower <= upto)) | ((below < upper) & (upper <= upto))
     one = F.count(F.lit(1)) == 1
-    return (
-        ranked.where(holds[0] | holds[1])
+    row = (
+        ranked.where(holds_one)
         .agg(
             F.when(one, F.min("first")).otherwise(F.min("last")).alias("lo"),
             F.when(one, F.max("last")).otherwise(F.max("first")).alias("hi"),
         )
-        .select(F.struct("lo", "hi").alias("span"))
+        .first()
     )
+    return row["lo"], row["hi"]
 
 
-def exact_median(counts: DataFrame) -> DataFrame:
-    """One row ``median`` of the values ``v`` occurring ``n`` times; null for no values.
+def _clamped(lo: float, hi: float) -> Column:
+    return F.greatest(F.lit(lo), F.least(F.col("v"), F.lit(hi)))
 
-    Narrows an interval around the middle in three passes over the distinct values, which are
-    shuffled once and read again by each pass. Each pass groups the distinct values into
-    buckets and only the bucket totals come together in one task:
 
-    1. by magnitude: at most 2 * 2100 * 4096 buckets if the data spans every double there is,
-       4096 per doubling of the value otherwise;
+def exact_median(counts: DataFrame) -> float | None:
+    """The median of the values ``v`` occurring ``n`` times each; None for no values.
+
+    ``counts`` should be a written table, as it is read up to four times. Up to 2^20 distinct
+    values are ranked right away. More are narrowed to an interval around the middle by passes
+    that group the values into buckets, of which only the totals come together in one task:
+
+    1. by magnitude: 4096 buckets per doubling of the value, 2 * 2100 * 4096 if the data spans
+       every double there is;
     2. by 2^20 linear steps of the one magnitude bucket that holds the middle;
     3. by value: a linear step spans a relative width under 2^-12 * 2^-20, and doubles are
        2^-53 apart at the closest, so at most 2^21 distinct values are left.
 
-    Values outside the interval are moved to its ends rather than filtered out: ranks stay those
-    of the whole column, and all passes read the same shuffle.
+    Values outside the interval are moved to its ends rather than filtered out, so ranks stay
+    those of the whole column.
     """
-    span = _bracket(counts.select("n", F.col("v").alias("x")), _magnitude(F.col("x")))
-    inside = _clamped(counts, span)
-    offset = (F.col("x") - F.col("span.lo")) / (F.col("span.hi") - F.col("span.lo"))
-    step = F.when(F.col("x") >= F.col("span.hi"), F.lit(LINEAR_BUCKETS)).otherwise(
-        F.floor(offset * LINEAR_BUCKETS)
-    )
-    span = _bracket(inside, step.cast("long"))
-    span = _bracket(_clamped(counts, span), F.col("x"))
-    return span.select(middle(F.col("span.lo"), F.col("span.hi")).alias("median"))
-
-
-def _clamped(counts: DataFrame, span: DataFrame) -> DataFrame:
-    return counts.select("v", "n", span.scalar().alias("span")).select(
-        "n", "span", F.greatest("span.lo", F.least("v", "span.hi")).alias("x")
-    )
+    size = counts.agg(F.count("v").alias("values"), F.sum("n").alias("total")).first()
+    if not size["total"]:
+        return None
+    x = F.col("v")
+    if size["values"] > ONE_TASK_ROWS:
+        lo, hi = _span(counts, x, magnitude(x), size["total"])
+        x = _clamped(lo, hi)
+        lo, hi = _span(counts, x, linear(x, lo, hi), size["total"])
+        x = _clamped(lo, hi)
+    lo, hi = _span(counts, x, x, size["total"])
+    return lo if lo == hi else lo + (hi - lo) / 2
 
 
 def sketch_size(error: float) -> int:
@@ -105,55 +112,67 @@ def sketch_size(error: float) -> int:
     return min(65535, max(8, math.ceil((2.296 / error) ** (1 / 0.9021))))
 
 
-def sketches(df: DataFrame, col: str, error: float) -> DataFrame:
-    """One quantile sketch per merge group; every map task sends one sketch of fixed size."""
-    return (
-        df.select(no_nan(column(col)).alias("v"))
-        .groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("part"))
-        .agg(F.kll_sketch_agg_double("v", F.lit(sketch_size(error))).alias("sketch"))
-    )
+def merge_group() -> Column:
+    """Sketches of the same group are merged in one task, and the groups after that, so that the
+    last task merges a fixed number of them however many tasks read the source."""
+    return (F.spark_partition_id() % MERGE_GROUPS).alias("part")
 
 
-def sketch_median(parts: DataFrame) -> DataFrame:
-    """One row ``median`` from the sketches of all merge groups; null for no values."""
-    merged = parts.agg(F.kll_merge_agg_double("sketch").alias("sketch"))
-    return merged.select(
-        F.when(
-            F.kll_sketch_get_n_double("sketch") > 0,
-            F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)),
-        ).alias("median")
-    )
+def sketch(v: Column, error: float) -> Column:
+    return F.kll_sketch_agg_double(v, F.lit(sketch_size(error))).alias("sketch")
 
 
-def median(
-    df: DataFrame, col: str, method: str = "exact", error: float = 0.0025
-) -> DataFrame:
-    """One row ``median`` of a numeric column; null and NaN are left out.
+def sketch_median(parts: DataFrame) -> float | None:
+    """The median from the ``sketch`` of every merge group; None for no values."""
+    merged = F.kll_merge_agg_double("sketch")
+    some = F.kll_sketch_get_n_double(merged) > 0
+    middle = F.when(some, F.kll_sketch_get_quantile_double(merged, F.lit(0.5)))
+    return parts.agg(middle.alias("median")).first()["median"]
+
 
-    ``exact`` interpolates between the two middle values and is reproducible. ``approx`` returns
-    a value whose rank is off by no more than ``error`` of the rows; its shuffle does not grow
-    with the number of distinct values.
+def median(
+    df: DataFrame,
+    col: str,
+    method: str = "exact",
+    error: float = 0.0025,
+    work_path: str | None = None,
+) -> float | None:
+    """The median of a numeric column; null and NaN are left out, None if nothing is left.
+
+    ``exact`` interpolates between the two middle values and is reproducible. It reads ``df``
+    once and stages the distinct values with their counts under ``work_path``, or else under
+    ``spark.checkpoint.dir``. ``approx`` returns a value whose rank is off by no more than
+    ``error`` of the rows; it stages nothing and its shuffle does not grow with the number of
+    distinct values.
     """
     if method == "exact":
-        return exact_median(value_counts(df, col))
+        return exact_median(staged(value_counts(df, col), work_path))
     if method == "approx":
-        return sketch_median(sketches(df, col, error))
+        values = df.select(no_nan(column(col)).alias("v"))
+        return sketch_median(values.groupBy(merge_group()).agg(sketch(F.col("v"), error)))
     raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
 
 
+def fill_measure(df: DataFrame, col: str, fill: float | None, digits: int | None) -> DataFrame:
+    """Missing values of ``col`` replaced by ``fill``, rounded to ``digits`` unless None. Without
+    a fill the column stays null where it is missing."""
+    value = F.lit(fill).cast("double")
+    if digits is not None:
+        value = F.round(value, digits)
+    return df.withColumn(col, F.coalesce(no_nan(column(col)), value))
+
+
 def impute_median(
     df: DataFrame,
     col: str,
     method: str = "exact",
     digits: int | None = 2,
     error: float = 0.0025,
+    work_path: str | None = None,
 ) -> DataFrame:
     """Missing values of ``col`` replaced by its median, rounded to ``digits`` unless None.
 
-    The median is a scalar subquery: one number, no join. With no value at all the column
-    stays null.
+    The median is found first and enters the frame as a number, so the frame itself is one
+    narrow pass.
     """
-    fill = median(df, col, method, error).scalar()
-    if digits is not None:
-        fill = F.round(fill, digits)
-    return df.withColumn(col, F.coalesce(no_nan(column(col)), fill))
+    return fill_measure(df, col, median(df, col, method, error, work_path), digits)

@@ -385,7 +385,8 @@ def parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT median(l_extendedprice) AS median FROM lineitem")
 def median_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.median(load(spark, sf_dir, "lineitem"), "l_extendedprice", method="exact")
+    value = ops.median(load(spark, sf_dir, "lineitem"), "l_extendedprice", method="exact")
+    return spark.createDataFrame([(value,)], "median double")
 
 
 @query("SELECT count(l_extendedprice) AS n, TRUE AS within_error FROM lineitem")
@@ -393,12 +394,11 @@ def median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The approximate median promises a rank, not a value: at most 1 % of all rows lie between
     it and the middle."""
     df = load(spark, sf_dir, "lineitem").select("l_extendedprice")
-    middle = ops.median(df, "l_extendedprice", method="approx").scalar()
-    marked = df.select("l_extendedprice", middle.alias("middle"))
-    below = F.count_if(F.col("l_extendedprice") < F.col("middle"))
-    upto = F.count_if(F.col("l_extendedprice") <= F.col("middle"))
+    middle = ops.median(df, "l_extendedprice", method="approx")
+    below = F.count_if(F.col("l_extendedprice") < F.lit(middle))
+    upto = F.count_if(F.col("l_extendedprice") <= F.lit(middle))
     n = F.count("l_extendedprice")
-    return marked.agg(
+    return df.agg(
         n.alias("n"), ((below <= n * 0.51) & (upto >= n * 0.49)).alias("within_error")
     )
 
@@ -497,7 +497,8 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pl.source_metrics(_as_text(trial_records(spark, sf_dir))).drop("parse_failures")
+    metrics = pl.source_metrics(_as_text(trial_records(spark, sf_dir)))
+    return spark.createDataFrame([metrics], pl.METRICS).drop("parse_failures")
 
 
 def run_on_tables(spark: SparkSession, sf_dir: str, **options: object) -> pl.PipelineResult:

@@ -25,10 +25,16 @@ from cohortlake.contract import (
 )
 from cohortlake.functions.columns import is_valid, no_nan, parse_failed, typed
 from cohortlake.operators.features import bucketize, stamp
-from cohortlake.operators.median import MERGE_GROUPS, exact_median, sketch_median, sketch_size
+from cohortlake.operators.median import (
+    exact_median,
+    fill_measure,
+    merge_group,
+    sketch,
+    sketch_median,
+)
 from cohortlake.operators.quality import apply_contract
 from cohortlake.operators.stats import COHORT_KEYS, cohort_stats, ordered
-from cohortlake.scratch import scratch_dir, staged
+from cohortlake.scratch import staged
 from cohortlake.sinks.tables import write_partitioned, write_table, write_validated
 from cohortlake.sources.records import read_raw
 from cohortlake.sources.tables import read_partitioned
@@ -132,6 +138,19 @@ def check_paths(config: PipelineConfig) -> None:
                 raise ValueError(f"paths overlap: {one} and {other}")
 
 
+# One row of run metrics.
+METRICS = T.StructType(
+    [
+        T.StructField("total_records", T.LongType()),
+        T.StructField("valid_records", T.LongType()),
+        T.StructField("invalid_records", T.LongType()),
+        T.StructField("imputed_records", T.LongType()),
+        T.StructField("median", T.DoubleType()),
+        T.StructField("parse_failures", T.MapType(T.StringType(), T.LongType())),
+    ]
+)
+
+
 def source_metrics(
     raw: DataFrame,
     contract: Contract = RECORDS,
@@ -140,64 +159,56 @@ def source_metrics(
     error: float = 0.0025,
     trim: bool = False,
     work_path: str | None = None,
-) -> DataFrame:
-    """One row: total, valid, invalid and to be imputed records, the median of the valid records'
-    measure and the parse failures per column, from one pass over the source.
+) -> dict[str, object]:
+    """The fields of ``METRICS`` from one pass over the source: total, valid, invalid and to be
+    imputed records, the median of the valid records' measure, and parse failures per column.
 
     Counts are grouped by the measure's value (or by merge group, next to a sketch), so that the
-    same small staged table yields the counts and the median. They are results of an ordinary
+    same staged table yields both the counts and the median. They are results of an ordinary
     aggregation: work redone after a lost executor is not counted twice, as it can be by
     accumulators and observed metrics ahead of a shuffle.
     """
     valid = is_valid(raw.schema, contract.critical, contract.null_values, trim)
     value = no_nan(typed(raw.schema[measure], contract.schema[measure], contract))
-    counted = [f for f in contract.schema if not isinstance(f.dataType, T.StringType)]
+    parsed = [f for f in contract.schema if not isinstance(f.dataType, T.StringType)]
     tagged = raw.select(
         valid.alias("valid"),
         F.when(valid, value).alias("v"),
-        *[parse_failed(raw.schema[f.name], f, contract).alias(f"bad_{f.name}") for f in counted],
+        *[parse_failed(raw.schema[f.name], f, contract).alias(f"bad_{f.name}") for f in parsed],
     )
     counters = [
         F.count(F.lit(1)).alias("total"),
         F.count_if("valid").alias("valid"),
         F.count("v").alias("n"),
-        *[F.count_if(f"bad_{f.name}").alias(f"bad_{f.name}") for f in counted],
+        *[F.count_if(f"bad_{f.name}").alias(f"bad_{f.name}") for f in parsed],
     ]
     if method == "exact":
         parts = staged(tagged.groupBy("v").agg(*counters), work_path)
-        middle = exact_median(parts.where("v IS NOT NULL").select("v", "n"))
+        median = exact_median(parts.where("v IS NOT NULL").select("v", "n"))
     elif method == "approx":
-        sketch = F.kll_sketch_agg_double("v", F.lit(sketch_size(error))).alias("sketch")
-        group = (F.spark_partition_id() % MERGE_GROUPS).alias("part")
-        parts = staged(tagged.groupBy(group).agg(*counters, sketch), work_path)
-        middle = sketch_median(parts)
+        grouped = tagged.groupBy(merge_group())
+        parts = staged(grouped.agg(*counters, sketch(F.col("v"), error)), work_path)
+        median = sketch_median(parts)
     else:
         raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
 
-    def total(name: str):
-        return F.coalesce(F.sum(name), F.lit(0))
-
-    failures = [c for f in counted for c in (F.lit(f.name), total(f"bad_{f.name}"))]
-    return parts.agg(
-        total("total").alias("total_records"),
-        total("valid").alias("valid_records"),
-        (total("total") - total("valid")).alias("invalid_records"),
-        (total("valid") - total("n")).alias("imputed_records"),
-        F.create_map(*failures).alias("parse_failures"),
-    ).withColumn("median", middle.scalar())
+    names = ["total", "valid", "n", *[f"bad_{f.name}" for f in parsed]]
+    sums = parts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
+    return {
+        "total_records": sums["total"],
+        "valid_records": sums["valid"],
+        "invalid_records": sums["total"] - sums["valid"],
+        "imputed_records": sums["valid"] - sums["n"],
+        "median": median,
+        "parse_failures": {f.name: sums[f"bad_{f.name}"] for f in parsed},
+    }
 
 
 def transform_records(
     records: DataFrame, config: PipelineConfig, fill: float | None
 ) -> DataFrame:
     """Typed valid records with the measure filled, range labels and load time added."""
-    if fill is not None:
-        value = F.lit(fill)
-        if config.median_digits is not None:
-            value = F.round(value, config.median_digits)
-        records = records.withColumn(
-            config.measure, F.coalesce(no_nan(F.col(config.measure)), value)
-        )
+    records = fill_measure(records, config.measure, fill, config.median_digits)
     for rule in config.buckets:
         records = rule.add(records)
     return stamp(records, config.processed_at)
@@ -226,23 +237,18 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
     raw = read_raw(
         spark, config.input_path, contract, config.multi_line, **dict(config.read_options)
     )
-    work = config.work_path or scratch_dir(spark)
-    metrics = staged(
-        source_metrics(
-            raw,
-            contract,
-            config.measure,
-            config.median_method,
-            config.median_error,
-            config.trim,
-            f"{work}/parts",
-        ),
-        f"{work}/metrics",
+    metrics = source_metrics(
+        raw,
+        contract,
+        config.measure,
+        config.median_method,
+        config.median_error,
+        config.trim,
+        config.work_path,
     )
-    row = metrics.first().asDict()
-    if row["total_records"] == 0:
+    if metrics["total_records"] == 0:
         raise EmptyInputError(f"no records in {config.input_path}")
-    if row["valid_records"] == 0:
+    if metrics["valid_records"] == 0:
         raise EmptyInputError(f"no valid records in {config.input_path}")
 
     valid = is_valid(raw.schema, contract.critical, contract.null_values, config.trim)
@@ -252,7 +258,7 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
         write_validated(raw.where(~valid), config.invalid_path, contract.names)
 
     transformed = transform_records(
-        apply_contract(raw.where(valid), contract), config, row["median"]
+        apply_contract(raw.where(valid), contract), config, metrics["median"]
     )
     write_partitioned(
         transformed,
@@ -266,12 +272,12 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
         spark, config.output_path, transformed.schema, format=config.output_format
     )
     written = records.count()
-    if written != row["valid_records"]:
-        raise RuntimeError(f"{written} records written, {row['valid_records']} valid ones read")
+    if written != metrics["valid_records"]:
+        raise RuntimeError(f"{written} records written, {metrics['valid_records']} valid ones read")
 
     stats = ordered(cohort_stats(records, config.keys, null_keys=config.null_keys), config.keys)
     write_table(stats, config.stats_path, config.stats_format)
-    summary = run_summary(metrics, config.name, config.run_date)
+    summary = run_summary(spark.createDataFrame([metrics], METRICS), config.name, config.run_date)
     if config.summary_path:
         write_table(summary, config.summary_path, "json")
     return PipelineResult(
@@ -280,5 +286,5 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
             spark, config.stats_path, stats.schema, format=config.stats_format
         ),
         summary=summary,
-        metrics=row,
+        metrics=metrics,
     )
