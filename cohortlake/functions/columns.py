@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from cohortlake.contract import Contract
 
 FLOATING = (T.DoubleType, T.FloatType)
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
+WHOLE_NUMBER = r"^[\x00-\x20\x7f]*[+-]?\d+[\x00-\x20\x7f]*\z"
 
 
 def column(name: str) -> Column:
@@ -45,13 +47,26 @@ def is_valid(
     return valid
 
 
+def date_of(c: Column, fmt: str) -> Column:
+    """Text as a date; what does not match the format exactly becomes null."""
+    if fmt == "yyyy-MM-dd":
+        # The cast is many times faster than a formatter, but takes other notations as well.
+        return F.when(c.rlike(ISO_DATE), c.try_cast("date"))
+    return F.try_to_date(c, fmt)
+
+
 def _parsed(source: T.StructField, target: T.StructField, contract: Contract) -> Column:
     c = column(source.name)
-    is_text = isinstance(source.dataType, T.StringType)
-    if is_text and contract.null_values:
-        c = F.when(~c.isin(*contract.null_values), c)
-    if is_text and isinstance(target.dataType, T.DateType):
-        return F.try_to_date(c, contract.date_format)
+    if not isinstance(source.dataType, T.StringType):
+        return c.try_cast(target.dataType)
+    # A cast that fails costs far more than one that works, so text known to fail is kept out.
+    c = F.when(~is_missing(source, contract.null_values), c)
+    if isinstance(target.dataType, T.StringType):
+        return c
+    if isinstance(target.dataType, T.DateType):
+        return date_of(c, contract.date_format)
+    if isinstance(target.dataType, T.IntegralType):
+        c = F.when(c.rlike(WHOLE_NUMBER), c)
     return c.try_cast(target.dataType)
 
 

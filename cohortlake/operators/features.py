@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.functions.columns import bucket, column
+from cohortlake.functions.columns import bucket, column, date_of
 
 
 def bucketize(
@@ -38,4 +38,4 @@ def fill_missing(df: DataFrame, values: Mapping[str, float | int | str | bool])
 
 def parse_date(df: DataFrame, col: str, output: str, fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Add a date parsed from text; what does not parse becomes null."""
-    return df.withColumn(output, F.try_to_date(column(col), fmt))
+    return df.withColumn(output, date_of(column(col), fmt))

@@ -77,7 +77,7 @@ STATS_COLUMNS = (
 )
 
 
-def _as_text(df: DataFrame) -> DataFrame:
+def as_text(df: DataFrame) -> DataFrame:
     """Every column as text, in reversed order and with one column more than the contract has."""
     columns = [F.col(name).cast("string").alias(name) for name in reversed(df.columns)]
     return df.select(F.lit("x").alias("note"), *columns)
@@ -117,7 +117,7 @@ def csv_typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @records_query(f"SELECT {NAMES_SQL} FROM records")
 def csv_named_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)
-    sinks.write_table(_as_text(trial_records(spark, sf_dir)), path, "csv")
+    sinks.write_table(as_text(trial_records(spark, sf_dir)), path, "csv")
     return sources.read_records(spark, path, RECORDS)
 
 
@@ -296,7 +296,7 @@ def drop_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @records_query(f"SELECT {NAMES_SQL} FROM records")
 def apply_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.apply_contract(_as_text(trial_records(spark, sf_dir)), RECORDS)
+    return ops.apply_contract(as_text(trial_records(spark, sf_dir)), RECORDS)
 
 
 def _label_sql(col: str, edges, labels, op: str, lower: str = "", missing: str = "NULL") -> str:
@@ -497,14 +497,14 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = pl.source_metrics(_as_text(trial_records(spark, sf_dir)))
+    metrics = pl.source_metrics(as_text(trial_records(spark, sf_dir)))
     return spark.createDataFrame([metrics], pl.METRICS).drop("parse_failures")
 
 
 def run_on_tables(spark: SparkSession, sf_dir: str, **options: object) -> pl.PipelineResult:
     """Write the record view as CSV and run the whole pipeline on it."""
     base = scratch_dir(spark)
-    sinks.write_table(_as_text(trial_records(spark, sf_dir)), f"{base}/input", "csv")
+    sinks.write_table(as_text(trial_records(spark, sf_dir)), f"{base}/input", "csv")
     config = pl.PipelineConfig(
         input_path=f"{base}/input",
         output_path=f"{base}/records",

@@ -16,7 +16,7 @@ def scratch_dir(spark: SparkSession) -> str:
     Every executor must see the folder, so only a session that runs in local mode may do without
     the setting.
     """
-    base = spark.conf.get(SETTING, None)
+    base = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"{SETTING} must name a folder that all executors share")
