@@ -1,7 +1,7 @@
 """DataFrame to DataFrame operators, usable with ``df.transform``."""
 
 from cohortlake.operators.features import bucketize, fill_missing, parse_date, stamp
-from cohortlake.operators.median import impute_median, median
+from cohortlake.operators.imputation import impute_median, median
 from cohortlake.operators.quality import (
     apply_contract,
     check_columns,

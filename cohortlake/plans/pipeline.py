@@ -25,7 +25,7 @@ from cohortlake.contract import (
 )
 from cohortlake.functions.columns import is_valid, no_nan, parse_failed, typed
 from cohortlake.operators.features import bucketize, stamp
-from cohortlake.operators.median import (
+from cohortlake.operators.imputation import (
     exact_median,
     fill_measure,
     merge_group,
