@@ -277,7 +277,8 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
 
     stats = ordered(cohort_stats(records, config.keys, null_keys=config.null_keys), config.keys)
     write_table(stats, config.stats_path, config.stats_format)
-    summary = run_summary(spark.createDataFrame([metrics], METRICS), config.name, config.run_date)
+    one_row = spark.createDataFrame([metrics], METRICS).coalesce(1)
+    summary = run_summary(one_row, config.name, config.run_date)
     if config.summary_path:
         write_table(summary, config.summary_path, "json")
     return PipelineResult(

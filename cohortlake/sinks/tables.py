@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from cohortlake.formats import options_of
+
 LAYOUTS = ("direct", "rebalance")
 
 
@@ -47,8 +49,8 @@ def write_partitioned(
     writer = (
         df.write.mode("overwrite")
         .partitionBy(*by)
-        .option("partitionOverwriteMode", overwrite)
         .format(format)
+        .options(**options_of(format), partitionOverwriteMode=overwrite)
     )
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -64,9 +66,7 @@ def write_table(
     statistics table that a database serves, take all they need from ``options``.
     """
     writer = df.write.mode("overwrite").format(format)
-    if format == "csv":
-        writer = writer.option("header", True).option("escape", '"')
-    writer.options(**options).save(path)
+    writer.options(**(options_of(format) | options)).save(path)
 
 
 def write_validated(df: DataFrame, path: str, columns: Sequence[str]) -> None:

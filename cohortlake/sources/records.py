@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlake.contract import Contract, EmptyInputError
+from cohortlake.formats import CSV_OPTIONS
 from cohortlake.functions.columns import column
 from cohortlake.operators.quality import apply_contract, check_columns
 
@@ -22,7 +23,7 @@ def _loaded(reader, path: str | list[str]) -> DataFrame:
 def read_text_columns(
     spark: SparkSession, path: str | list[str], multi_line: bool = False, **options: str
 ) -> DataFrame:
-    """All columns of CSV files with a header, as text.
+    """All columns of CSV files with a header line, as text.
 
     No type inference, so nothing but the first file's header is read up front. Every file's own
     header is compared with that one (``enforceSchema`` off): files whose columns stand in
@@ -32,11 +33,9 @@ def read_text_columns(
     """
     reader = (
         spark.read.format("csv")
-        .option("header", True)
+        .options(**(CSV_OPTIONS | options))
         .option("enforceSchema", False)
-        .option("escape", '"')
         .option("multiLine", multi_line)
-        .options(**options)
     )
     df = _loaded(reader, path)
     if not df.columns:

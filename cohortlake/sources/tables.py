@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlake.formats import options_of
 from cohortlake.functions.columns import column
 from cohortlake.sources.records import _loaded
 
@@ -24,9 +25,7 @@ def read_partitioned(
     The schema keeps partition values in their type: a drug named ``2023`` stays text. A
     restriction on a partition column skips the folders of all other values.
     """
-    reader = spark.read.schema(schema).format(format)
-    if format == "csv":
-        reader = reader.option("header", True).option("escape", '"')
+    reader = spark.read.schema(schema).format(format).options(**options_of(format))
     df = _loaded(reader, path)
     for name, value in (where or {}).items():
         df = df.where(column(name) == F.lit(value))
