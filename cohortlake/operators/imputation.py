@@ -10,26 +10,15 @@ from pyspark.sql import functions as F
 from cohortlake.functions.columns import column, no_nan
 from cohortlake.scratch import staged
 
-# The most rows that are ranked in one task, and the steps that get a column below it: buckets
-# per doubling of the value, then buckets of a linear split.
+# The most values that are ranked one by one in one task, and the steps that get a column below
+# it: buckets per doubling of the value, then buckets of a linear split.
 ONE_TASK_ROWS = 1 << 20
-LOG_BUCKETS = 4096
+LOG_BUCKETS = 1024
 LINEAR_BUCKETS = 1 << 20
 # Quantile sketches are merged in this many groups before the last merge.
 MERGE_GROUPS = 256
 
 
-def value_counts(df: DataFrame, col: str) -> DataFrame:
-    """(v, n) per distinct non-missing value. Counted in each map task before the shuffle, so a
-    value that fills a third of the table moves as one row per task."""
-    return (
-        df.select(no_nan(column(col)).alias("v"))
-        .where(F.col("v").isNotNull())
-        .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
 def magnitude(v: Column) -> Column:
     """A whole number that never falls as ``v`` grows: sign and logarithm, in small steps."""
     # The smallest double is 2^-1074: the shift keeps the steps of positive values positive.
@@ -38,71 +27,75 @@ def magnitude(v: Column) -> Column:
 
 
 def linear(v: Column, lo: float, hi: float) -> Column:
-    """A whole number that never falls as ``v`` grows from ``lo`` to ``hi``."""
+    """A whole number that never falls as ``v`` grows: equal steps from ``lo`` to ``hi``, one
+    bucket below and one above."""
     offset = (v - F.lit(lo)) / F.lit(hi - lo)
-    last = F.lit(LINEAR_BUCKETS).cast("long")
-    return F.when(v >= F.lit(hi), last).otherwise(F.floor(offset * LINEAR_BUCKETS))
+    return (
+        F.when(v < F.lit(lo), F.lit(-1))
+        .when(v > F.lit(hi), F.lit(LINEAR_BUCKETS + 1))
+        .when(v == F.lit(hi), F.lit(LINEAR_BUCKETS))
+        .otherwise(F.floor(offset * LINEAR_BUCKETS))
+        .cast("long")
+    )
 
 
-def _span(counts: DataFrame, x: Column, bucket: Column, total: int) -> tuple[float, float]:
-    """Two values of the data between which both middle values of ``x`` lie.
+def clamped(v: Column, lo: float, hi: float) -> Column:
+    return F.greatest(F.lit(lo), F.least(v, F.lit(hi)))
 
-    ``bucket`` must not fall as ``x`` grows. Both middle values in one bucket: its ends. In two
-    buckets: nothing lies between them, so they are the end of the first and the start of the
-    second, and the span is final.
+
+def _holders(values: DataFrame, bucket: Column) -> list[tuple[float, float, int]]:
+    """(first, last, count) of the one or two buckets that hold the two middle values.
+
+    ``bucket`` must not fall as ``v`` grows. Each map task sends one row per bucket, and only
+    the bucket totals come together in one task.
     """
-    ranked = (
-        counts.select(x.alias("x"), bucket.alias("bucket"), "n")
-        .groupBy("bucket")
-        .agg(F.sum("n").alias("n"), F.min("x").alias("first"), F.max("x").alias("last"))
-        .withColumn("upto", F.sum("n").over(Window.orderBy("bucket")))
-    )
-    below, upto = F.col("upto") - F.col("n"), F.col("upto")
-    lower, upper = F.lit((total + 1) // 2), F.lit(total // 2 + 1)
-    holds_one = ((below < lower) & (lower <= upto)) | ((below < upper) & (upper <= upto))
-    one = F.count(F.lit(1)) == 1
-    row = (
-        ranked.where(holds_one)
-        .agg(
-            F.when(one, F.min("first")).otherwise(F.min("last")).alias("lo"),
-            F.when(one, F.max("last")).otherwise(F.max("first")).alias("hi"),
+    totals = (
+        values.groupBy(bucket.alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
+        .select(
+            "first",
+            "last",
+            "n",
+            F.sum("n").over(Window.orderBy("bucket")).alias("upto"),
+            F.sum("n").over(Window.partitionBy()).alias("total"),
         )
-        .first()
     )
-    return row["lo"], row["hi"]
-
-
-def _clamped(lo: float, hi: float) -> Column:
-    return F.greatest(F.lit(lo), F.least(F.col("v"), F.lit(hi)))
+    below = F.col("upto") - F.col("n")
+    lower, upper = F.expr("(total + 1) div 2"), F.expr("total div 2 + 1")
+    holds = [(below < rank) & (rank <= F.col("upto")) for rank in (lower, upper)]
+    rows = totals.where(holds[0] | holds[1]).orderBy("upto").select("first", "last", "n").collect()
+    return [tuple(row) for row in rows]
 
 
-def exact_median(counts: DataFrame) -> float | None:
-    """The median of the values ``v`` occurring ``n`` times each; None for no values.
+def exact_median(values: DataFrame) -> float | None:
+    """The median of the non-null doubles ``v``; None if there are none.
 
-    ``counts`` should be a written table, as it is read up to four times. Up to 2^20 distinct
-    values are ranked right away. More are narrowed to an interval around the middle by passes
-    that group the values into buckets, of which only the totals come together in one task:
+    ``values`` is read again by every pass, so it should be a written table or a columnar
+    source. A pass puts the values into buckets and keeps the one with the middle:
 
-    1. by magnitude: 4096 buckets per doubling of the value, 2 * 2100 * 4096 if the data spans
-       every double there is;
-    2. by 2^20 linear steps of the one magnitude bucket that holds the middle;
-    3. by value: a linear step spans a relative width under 2^-12 * 2^-20, and doubles are
-       2^-53 apart at the closest, so at most 2^21 distinct values are left.
+    1. by magnitude: 1024 buckets per doubling of the value (2 * 2100 * 1024 if the data spans
+       every double there is);
+    2. by 2^20 linear steps of that bucket, again while more than 2^20 values are left in it.
+       Doubles are 2^-53 apart at the closest, so no more than three of these can follow;
+    3. by value.
 
-    Values outside the interval are moved to its ends rather than filtered out, so ranks stay
-    those of the whole column.
+    It ends as soon as the bucket holds a single distinct value, or the two middle values are
+    the last of one bucket and the first of the next: with few distinct values, or one that
+    fills a third of the table, after the first pass or two. What is shuffled is bounded by the
+    buckets, whatever the number of rows or distinct values.
     """
-    size = counts.agg(F.count("v").alias("values"), F.sum("n").alias("total")).first()
-    if not size["total"]:
+    held = _holders(values, magnitude(F.col("v")))
+    while len(held) == 1 and held[0][0] < held[0][1]:
+        lo, hi, n = held[0]
+        if n <= ONE_TASK_ROWS:
+            inside = values.select(clamped(F.col("v"), lo, hi).alias("v"))
+            held = _holders(inside, F.col("v"))
+        else:
+            held = _holders(values, linear(F.col("v"), lo, hi))
+    if not held:
         return None
-    x = F.col("v")
-    if size["values"] > ONE_TASK_ROWS:
-        lo, hi = _span(counts, x, magnitude(x), size["total"])
-        x = _clamped(lo, hi)
-        lo, hi = _span(counts, x, linear(x, lo, hi), size["total"])
-        x = _clamped(lo, hi)
-    lo, hi = _span(counts, x, x, size["total"])
-    return lo if lo == hi else lo + (hi - lo) / 2
+    lower, upper = held[0][1], held[-1][0]
+    return lower if lower == upper else lower + (upper - lower) / 2
 
 
 def sketch_size(error: float) -> int:
@@ -135,20 +128,21 @@ def median(
     col: str,
     method: str = "exact",
     error: float = 0.0025,
+    reread: bool = False,
     work_path: str | None = None,
 ) -> float | None:
     """The median of a numeric column; null and NaN are left out, None if nothing is left.
 
     ``exact`` interpolates between the two middle values and is reproducible. It reads ``df``
-    once and stages the distinct values with their counts under ``work_path``, or else under
-    ``spark.checkpoint.dir``. ``approx`` returns a value whose rank is off by no more than
-    ``error`` of the rows; it stages nothing and its shuffle does not grow with the number of
-    distinct values.
+    once to stage the column under ``work_path``, or else under ``spark.checkpoint.dir``; with
+    ``reread`` it stages nothing and reads ``df`` on every pass, which is better for a plain
+    columnar table. ``approx`` reads ``df`` once and returns a value whose rank is off by no more
+    than ``error`` of the rows.
     """
+    values = df.select(no_nan(column(col)).alias("v")).where(F.col("v").isNotNull())
     if method == "exact":
-        return exact_median(staged(value_counts(df, col), work_path))
+        return exact_median(values if reread else staged(values, work_path))
     if method == "approx":
-        values = df.select(no_nan(column(col)).alias("v"))
         return sketch_median(values.groupBy(merge_group()).agg(sketch(F.col("v"), error)))
     raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
 
@@ -168,6 +162,7 @@ def impute_median(
     method: str = "exact",
     digits: int | None = 2,
     error: float = 0.0025,
+    reread: bool = False,
     work_path: str | None = None,
 ) -> DataFrame:
     """Missing values of ``col`` replaced by its median, rounded to ``digits`` unless None.
@@ -175,4 +170,4 @@ def impute_median(
     The median is found first and enters the frame as a number, so the frame itself is one
     narrow pass.
     """
-    return fill_measure(df, col, median(df, col, method, error, work_path), digits)
+    return fill_measure(df, col, median(df, col, method, error, reread, work_path), digits)

@@ -75,7 +75,7 @@ class PipelineConfig:
 
     ``validated_path`` (valid rows as CSV) and ``invalid_path`` (rejected rows as CSV) are
     optional outputs; each costs one more pass over the source. ``work_path`` holds the staged
-    metrics table; unset, it is a new folder under ``spark.checkpoint.dir``.
+    table of the metrics; unset, it is a new folder under ``spark.checkpoint.dir``.
     """
 
     input_path: str | list[str]
@@ -163,44 +163,43 @@ def source_metrics(
     """The fields of ``METRICS`` from one pass over the source: total, valid, invalid and to be
     imputed records, the median of the valid records' measure, and parse failures per column.
 
-    Counts are grouped by the measure's value (or by merge group, next to a sketch), so that the
-    same staged table yields both the counts and the median. They are results of an ordinary
-    aggregation: work redone after a lost executor is not counted twice, as it can be by
-    accumulators and observed metrics ahead of a shuffle.
+    The pass writes, without a shuffle, a slim table of the measure and one flag per check; all
+    metrics are read off that table. They are results of ordinary aggregations: work redone after
+    a lost executor is not counted twice, as it can be by accumulators and observed metrics ahead
+    of a shuffle.
     """
+    if method not in ("exact", "approx"):
+        raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
     valid = is_valid(raw.schema, contract.critical, contract.null_values, trim)
     value = no_nan(typed(raw.schema[measure], contract.schema[measure], contract))
     parsed = [f for f in contract.schema if not isinstance(f.dataType, T.StringType)]
-    tagged = raw.select(
-        valid.alias("valid"),
-        F.when(valid, value).alias("v"),
-        *[parse_failed(raw.schema[f.name], f, contract).alias(f"bad_{f.name}") for f in parsed],
+    flags = {f.name: f"bad_{f.name}" for f in parsed}
+    slim = staged(
+        raw.select(
+            valid.alias("valid"),
+            F.when(valid, value).alias("v"),
+            *[parse_failed(raw.schema[n], contract.schema[n], contract).alias(flags[n]) for n in flags],
+        ),
+        work_path,
     )
-    counters = [
+    counts = slim.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if("valid").alias("valid"),
-        F.count("v").alias("n"),
-        *[F.count_if(f"bad_{f.name}").alias(f"bad_{f.name}") for f in parsed],
-    ]
+        F.count("v").alias("measured"),
+        *[F.count_if(flag).alias(flag) for flag in flags.values()],
+    ).first()
+    values = slim.select("v").where(F.col("v").isNotNull())
     if method == "exact":
-        parts = staged(tagged.groupBy("v").agg(*counters), work_path)
-        median = exact_median(parts.where("v IS NOT NULL").select("v", "n"))
-    elif method == "approx":
-        grouped = tagged.groupBy(merge_group())
-        parts = staged(grouped.agg(*counters, sketch(F.col("v"), error)), work_path)
-        median = sketch_median(parts)
+        median = exact_median(values)
     else:
-        raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
-
-    names = ["total", "valid", "n", *[f"bad_{f.name}" for f in parsed]]
-    sums = parts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
+        median = sketch_median(values.groupBy(merge_group()).agg(sketch(F.col("v"), error)))
     return {
-        "total_records": sums["total"],
-        "valid_records": sums["valid"],
-        "invalid_records": sums["total"] - sums["valid"],
-        "imputed_records": sums["valid"] - sums["n"],
+        "total_records": counts["total"],
+        "valid_records": counts["valid"],
+        "invalid_records": counts["total"] - counts["valid"],
+        "imputed_records": counts["valid"] - counts["measured"],
         "median": median,
-        "parse_failures": {f.name: sums[f"bad_{f.name}"] for f in parsed},
+        "parse_failures": {name: counts[flag] for name, flag in flags.items()},
     }
 
 
