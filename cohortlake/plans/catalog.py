@@ -534,3 +534,56 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def end_to_end_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_on_tables(spark, sf_dir).records.drop("processed_at")
+
+
+def _run_labels_sql(op: str, first: str, missing: tuple[str, str]) -> str:
+    """The two labels of a whole run: comparison with an edge, an extra branch, and the labels
+    of missing values."""
+    return f"""
+           CASE WHEN dosage_mg IS NULL THEN {missing[0]} {first.format(col="dosage_mg")}
+                WHEN dosage_mg {op} 100 THEN 'low' WHEN dosage_mg {op} 300 THEN 'medium'
+                ELSE 'high' END AS dosage_bucket,
+           CASE WHEN weight_kg IS NULL THEN {missing[1]} {first.format(col="weight_kg")}
+                WHEN weight_kg {op} 60 THEN 'underweight' WHEN weight_kg {op} 85 THEN 'normal'
+                ELSE 'overweight' END AS weight_group"""
+
+
+@records_query(
+    f"""
+    SELECT patient_id, trial_id, drug, coalesce(outcome_score, (SELECT score FROM middle))
+           AS outcome_score,
+           {_run_labels_sql("<=", "WHEN {col} <= 0 THEN NULL", ("NULL", "NULL"))}
+    FROM valid
+    """
+)
+def end_to_end_right_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges closed on the right, the median as it is, null cohorts left out, results as CSV."""
+    result = run_on_tables(
+        spark,
+        sf_dir,
+        buckets=pl.RIGHT_CLOSED,
+        median_digits=None,
+        null_keys="drop",
+        output_format="csv",
+        stats_format="csv",
+    )
+    return result.records.select(
+        "patient_id", "trial_id", "drug", "outcome_score", "dosage_bucket", "weight_group"
+    )
+
+
+@records_query(
+    f"""
+    SELECT patient_id, trial_id, drug, outcome_score,
+           {_run_labels_sql("<", "", ("'high'", "'overweight'"))}
+    FROM clean
+    """
+)
+def end_to_end_null_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing dosages and weights in the last range; rows rebalanced before they are written."""
+    result = run_on_tables(
+        spark, sf_dir, buckets=pl.LEFT_CLOSED_NULL_LAST, layout="rebalance"
+    )
+    return result.records.select(
+        "patient_id", "trial_id", "drug", "outcome_score", "dosage_bucket", "weight_group"
+    )

@@ -7,7 +7,7 @@ are computed from the written table, of which only the needed columns are read.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,6 +68,13 @@ class BucketRule:
 DOSAGE_BUCKET = BucketRule("dosage_mg", DOSAGE_EDGES, DOSAGE_LABELS, "dosage_bucket")
 WEIGHT_GROUP = BucketRule("weight_kg", WEIGHT_EDGES, WEIGHT_LABELS, "weight_group")
 
+# An edge belongs to the range above it; missing values get no label.
+LEFT_CLOSED = (DOSAGE_BUCKET, WEIGHT_GROUP)
+# The same, but missing values get the last label.
+LEFT_CLOSED_NULL_LAST = tuple(replace(r, null_label=r.labels[-1]) for r in LEFT_CLOSED)
+# An edge belongs to the range below it; zero, negative and missing values get no label.
+RIGHT_CLOSED = tuple(replace(r, closed="right", lower=0) for r in LEFT_CLOSED)
+
 
 @dataclass(frozen=True)
 class PipelineConfig:
@@ -93,7 +100,7 @@ class PipelineConfig:
     median_method: str = "exact"
     median_error: float = 0.0025
     median_digits: int | None = 2
-    buckets: Sequence[BucketRule] = (DOSAGE_BUCKET, WEIGHT_GROUP)
+    buckets: Sequence[BucketRule] = LEFT_CLOSED
     processed_at: datetime | str | None = None
     partition_by: str = "drug"
     layout: str = "direct"

@@ -100,11 +100,10 @@ def test_output_is_partitioned(spark, config, tmp_path):
 
 def test_right_closed_unrounded_csv_run(spark, config, tmp_path):
     """Intervals closed on the right, median as it is, null keys dropped, plain CSV results."""
-    dosage = pl.BucketRule("dosage_mg", (100, 300), ("low", "medium", "high"), "dosage_bucket", "right", 0)
     result = pl.run_pipeline(
         spark,
         config(
-            buckets=(dosage,),
+            buckets=pl.RIGHT_CLOSED,
             median_digits=None,
             null_keys="drop",
             output_format="csv",
@@ -118,6 +117,28 @@ def test_right_closed_unrounded_csv_run(spark, config, tmp_path):
     assert result.stats.count() == 2
 
 
+def test_missing_values_in_the_last_range(spark, config):
+    result = pl.run_pipeline(spark, config(buckets=pl.LEFT_CLOSED_NULL_LAST))
+    row = result.records.where("patient_id = 'P3'").first()
+    assert (row.dosage_bucket, row.weight_group) == ("high", "overweight")
+
+
+def test_command_line(spark, config, tmp_path):
+    from cohortlake import __main__ as command
+
+    made = config()
+    out, stats, summary = (str(tmp_path / n) for n in ("o", "s", "j"))
+    command.main(
+        [made.input_path, out, stats, "--summary", summary, "--run-date", "2024-06-01",
+         "--ranges", "right", "--digits", "none"],
+        spark,
+    )
+    assert spark.read.parquet(stats).count() == 2
+    assert spark.read.json(summary).first().run_date == "2024-06-01"
+    labels = {r.patient_id: r.dosage_bucket for r in spark.read.parquet(out).collect()}
+    assert labels["P1"] == "low"
+
+
 def test_rejected_and_validated_rows_can_be_kept(spark, config, tmp_path):
     valid, invalid = str(tmp_path / "valid"), str(tmp_path / "invalid")
     pl.run_pipeline(spark, config(validated_path=valid, invalid_path=invalid))
