@@ -386,7 +386,7 @@ def parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT median(l_extendedprice) AS median FROM lineitem")
 def median_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = ops.median(load(spark, sf_dir, "lineitem"), "l_extendedprice", method="exact")
-    return spark.createDataFrame([(value,)], "median double")
+    return spark.range(1).select(F.lit(value).cast("double").alias("median"))
 
 
 @query("SELECT count(l_extendedprice) AS n, TRUE AS within_error FROM lineitem")
@@ -498,7 +498,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = pl.source_metrics(as_text(trial_records(spark, sf_dir)))
-    return spark.createDataFrame([metrics], pl.METRICS).drop("parse_failures")
+    return pl.metrics_row(spark, metrics).drop("parse_failures")
 
 
 def run_on_tables(spark: SparkSession, sf_dir: str, **options: object) -> pl.PipelineResult:

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,7 @@ from cohortlake.contract import (
     WEIGHT_EDGES,
     WEIGHT_LABELS,
     Contract,
+    ContractError,
     EmptyInputError,
 )
 from cohortlake.functions.columns import is_valid, no_nan, parse_failed, typed
@@ -108,6 +109,7 @@ class PipelineConfig:
     output_format: str = "parquet"
     stats_format: str = "parquet"
     keys: Sequence[str] = COHORT_KEYS
+    measures: Mapping[str, Column] | None = None
     null_keys: str = "keep"
     name: str = "cohortlake"
     run_date: str = field(default_factory=lambda: datetime.now(timezone.utc).date().isoformat())
@@ -177,6 +179,8 @@ def source_metrics(
     """
     if method not in ("exact", "approx"):
         raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
+    if not isinstance(contract.schema[measure].dataType, T.NumericType):
+        raise ContractError(f"the measure {measure} must be numeric")
     valid = is_valid(raw.schema, contract.critical, contract.null_values, trim)
     value = no_nan(typed(raw.schema[measure], contract.schema[measure], contract))
     parsed = [f for f in contract.schema if not isinstance(f.dataType, T.StringType)]
@@ -210,6 +214,16 @@ def source_metrics(
     }
 
 
+def metrics_row(spark: SparkSession, metrics: Mapping[str, object]) -> DataFrame:
+    """The metrics as a frame of one row in one partition, so that it is written as one file."""
+    failures = [F.lit(x) for pair in metrics["parse_failures"].items() for x in pair]
+    columns = {name: F.lit(value) for name, value in metrics.items() if name != "parse_failures"}
+    columns["parse_failures"] = F.create_map(*failures)
+    return spark.range(0, 1, 1, 1).select(
+        *[columns[f.name].cast(f.dataType).alias(f.name) for f in METRICS]
+    )
+
+
 def transform_records(
     records: DataFrame, config: PipelineConfig, fill: float | None
 ) -> DataFrame:
@@ -281,10 +295,10 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
     if written != metrics["valid_records"]:
         raise RuntimeError(f"{written} records written, {metrics['valid_records']} valid ones read")
 
-    stats = ordered(cohort_stats(records, config.keys, null_keys=config.null_keys), config.keys)
+    stats = cohort_stats(records, config.keys, config.measures, config.null_keys)
+    stats = ordered(stats, config.keys)
     write_table(stats, config.stats_path, config.stats_format)
-    one_row = spark.createDataFrame([metrics], METRICS).coalesce(1)
-    summary = run_summary(one_row, config.name, config.run_date)
+    summary = run_summary(metrics_row(spark, metrics), config.name, config.run_date)
     if config.summary_path:
         write_table(summary, config.summary_path, "json")
     return PipelineResult(

@@ -7,8 +7,9 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortlake.contract import RECORDS, ContractError, EmptyInputError
+from cohortlake.contract import RECORDS, Contract, ContractError, EmptyInputError
 from cohortlake.operators import impute_median, ordered, record_measures, split_valid
 from cohortlake.operators import cohort_stats as stats_of
 from cohortlake.plans import pipeline as pl
@@ -278,3 +279,43 @@ def test_files_on_disk(spark, config, tmp_path):
     result = pl.run_pipeline(spark, config())
     assert (Path(tmp_path) / "records" / "_SUCCESS").exists()
     assert result.records.count() == 4
+
+
+def test_own_contract(spark, write, tmp_path):
+    schema = T.StructType(
+        [
+            T.StructField("id", T.StringType()),
+            T.StructField("day", T.DateType()),
+            T.StructField("points", T.LongType()),
+        ]
+    )
+    contract = Contract(schema, ("id", "points"), "id", "dd.MM.yyyy", null_values=("-",))
+    config = pl.PipelineConfig(
+        write("points;id;day\n4;a;05.01.2023\n-;b;05.01.2023\nx;-;2023-01-05\n9;c;-\n", "own/in.csv"),
+        str(tmp_path / "records"),
+        str(tmp_path / "stats"),
+        contract=contract,
+        read_options={"sep": ";"},
+        measure="points",
+        buckets=(),
+        partition_by="day",
+        keys=("day",),
+        measures={"points": F.sum("points")},
+    )
+    result = pl.run_pipeline(spark, config)
+    assert result.metrics["parse_failures"] == {"day": 1, "points": 1}
+    assert (result.metrics["total_records"], result.metrics["valid_records"]) == (4, 2)
+    assert [tuple(r) for r in result.stats.collect()] == [(None, 9.0), (dt.date(2023, 1, 5), 4.0)]
+
+
+def test_measure_must_be_numeric(spark, write):
+    raw = read_text_columns(spark, write("id,score\n1,x\n"))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "score")])
+    with pytest.raises(ContractError, match="numeric"):
+        pl.source_metrics(raw, Contract(schema, ("id",), "id"), "score")
+
+
+def test_metrics_row_without_parsed_columns(spark):
+    names = [f.name for f in pl.METRICS]
+    row = pl.metrics_row(spark, dict(zip(names, [1, 1, 0, 1, None, {}]))).first()
+    assert tuple(row) == (1, 1, 0, 1, None, {})
