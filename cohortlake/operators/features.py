@@ -25,7 +25,9 @@ def bucketize(
     return df.withColumn(output, bucket(column(col), edges, labels, closed, lower, null_label))
 
 
-def stamp(df: DataFrame, at: datetime | str | None = None, output: str = "processed_at") -> DataFrame:
+def stamp(
+    df: DataFrame, at: datetime | str | None = None, output: str = "processed_at"
+) -> DataFrame:
     """Add the load time: ``at``, or the start of the query that evaluates the frame."""
     when = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
     return df.withColumn(output, when)

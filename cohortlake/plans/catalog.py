@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlake import operators as ops
+from cohortlake import sinks, sources
 from cohortlake.contract import (
     DOSAGE_EDGES,
     DOSAGE_LABELS,
@@ -16,8 +18,6 @@ from cohortlake.contract import (
     WEIGHT_LABELS,
     Contract,
 )
-from cohortlake import operators as ops
-from cohortlake import sinks, sources
 from cohortlake.plans import pipeline as pl
 from cohortlake.plans.tables import RECORDS_SQL, load, trial_records
 from cohortlake.scratch import scratch_dir
@@ -137,16 +137,25 @@ def csv_named_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parse_failure_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers in the wrong notation, words and dates in another format are failures; empty text
     and NaN are missing values."""
-    status = F.col("status")
-    text = (
-        trial_records(spark, sf_dir)
-        .withColumn("age", F.when(status == "withdrawn", F.concat("age", F.lit(".0"))).otherwise(F.col("age").cast("string")))
-        .withColumn("dosage_mg", F.when(F.col("drug") == "A", "n/a").otherwise(F.col("dosage_mg").cast("string")))
-        .withColumn("enrollment_date", F.date_format("enrollment_date", "yyyy-MM-dd"))
-        .withColumn("enrollment_date", F.when(status == "active", F.translate("enrollment_date", "-", "/")).otherwise(F.col("enrollment_date")))
-        .withColumn("outcome_score", F.when(status == "completed", "").otherwise(F.col("outcome_score").cast("string")))
-        .withColumn("weight_kg", F.when(status == "completed", "NaN").otherwise(F.col("weight_kg").cast("string")))
-    )
+    text = trial_records(spark, sf_dir)
+    text = text.select(*[F.col(name).cast("string").alias(name) for name in text.columns])
+    status, drug, age, day = (F.col(c) for c in ("status", "drug", "age", "enrollment_date"))
+
+    def swapped(when: Column, value: Column, name: str) -> Column:
+        return F.when(when, value).otherwise(F.col(name))
+
+    done = status == "completed"
+    text = text.withColumns(
+        {
+            "age": swapped(status == "withdrawn", F.concat(age, F.lit(".0")), "age"),
+            "dosage_mg": swapped(drug == "A", F.lit("n/a"), "dosage_mg"),
+            "enrollment_date": swapped(
+                status == "active", F.translate(day, "-", "/"), "enrollment_date"
+            ),
+            "outcome_score": swapped(done, F.lit(""), "outcome_score"),
+            "weight_kg": swapped(done, F.lit("NaN"), "weight_kg"),
+        }
+    )
     return ops.parse_failures(text, RECORDS)
 
 
@@ -317,7 +326,9 @@ def dosage_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.bucketize(df, "dosage_mg", DOSAGE_EDGES, DOSAGE_LABELS, "label")
 
 
-@records_query(_label_sql("dosage_mg", DOSAGE_EDGES, DOSAGE_LABELS, "<=", "WHEN dosage_mg <= 0 THEN NULL"))
+@records_query(
+    _label_sql("dosage_mg", DOSAGE_EDGES, DOSAGE_LABELS, "<=", "WHEN dosage_mg <= 0 THEN NULL")
+)
 def dosage_bucket_right(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = trial_records(spark, sf_dir, "patient_id", "dosage_mg")
     return ops.bucketize(
@@ -339,7 +350,9 @@ def weight_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.bucketize(df, "weight_kg", WEIGHT_EDGES, WEIGHT_LABELS, "label")
 
 
-@records_query(_label_sql("weight_kg", WEIGHT_EDGES, WEIGHT_LABELS, "<=", "WHEN weight_kg <= 0 THEN NULL"))
+@records_query(
+    _label_sql("weight_kg", WEIGHT_EDGES, WEIGHT_LABELS, "<=", "WHEN weight_kg <= 0 THEN NULL")
+)
 def weight_group_right(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = trial_records(spark, sf_dir, "patient_id", "weight_kg")
     return ops.bucketize(
@@ -434,7 +447,9 @@ def group_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _grouped("avg_dosage_mg")(spark, sf_dir)
 
 
-@records_query("SELECT trial_id, drug, count(DISTINCT site) AS site_count FROM records GROUP BY ALL")
+@records_query(
+    "SELECT trial_id, drug, count(DISTINCT site) AS site_count FROM records GROUP BY ALL"
+)
 def group_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _grouped("site_count")(spark, sf_dir)
 

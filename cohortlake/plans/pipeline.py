@@ -140,7 +140,9 @@ class PipelineResult:
 
 def check_paths(config: PipelineConfig) -> None:
     """No path may equal or contain another one: an overwrite would destroy it."""
-    plain = [p.removeprefix("file://").removeprefix("file:").rstrip("/") + "/" for p in config.paths()]
+    plain = [
+        p.removeprefix("file://").removeprefix("file:").rstrip("/") + "/" for p in config.paths()
+    ]
     for i, one in enumerate(plain):
         for other in plain[i + 1 :]:
             if one.startswith(other) or other.startswith(one):
@@ -189,7 +191,7 @@ def source_metrics(
         raw.select(
             valid.alias("valid"),
             F.when(valid, value).alias("v"),
-            *[parse_failed(raw.schema[n], contract.schema[n], contract).alias(flags[n]) for n in flags],
+            *[parse_failed(raw.schema[f.name], f, contract).alias(flags[f.name]) for f in parsed],
         ),
         work_path,
     )

@@ -61,7 +61,8 @@ def test_metrics(spark, config):
 
 @pytest.mark.parametrize("method", ["exact", "approx"])
 def test_records(spark, config, method):
-    result = pl.run_pipeline(spark, config(median_method=method, processed_at="2024-06-01 00:00:00"))
+    made = config(median_method=method, processed_at="2024-06-01 00:00:00")
+    result = pl.run_pipeline(spark, made)
     rows = {r.patient_id: r for r in result.records.collect()}
     assert set(rows) == {"P1", "P2", "P3", "P4"}
     assert [rows[f"P{i}"].outcome_score for i in (1, 2, 3, 4)] == [10.0, 20.0, 20.0, 40.0]
@@ -290,8 +291,9 @@ def test_own_contract(spark, write, tmp_path):
         ]
     )
     contract = Contract(schema, ("id", "points"), "id", "dd.MM.yyyy", null_values=("-",))
+    text = "points;id;day\n4;a;05.01.2023\n-;b;05.01.2023\nx;-;2023-01-05\n9;c;-\n"
     config = pl.PipelineConfig(
-        write("points;id;day\n4;a;05.01.2023\n-;b;05.01.2023\nx;-;2023-01-05\n9;c;-\n", "own/in.csv"),
+        write(text, "own/in.csv"),
         str(tmp_path / "records"),
         str(tmp_path / "stats"),
         contract=contract,

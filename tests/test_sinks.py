@@ -97,7 +97,8 @@ def test_rebalance_splits_a_hot_value(spark, tmp_path):
 def test_largest_file(spark, drugs, tmp_path):
     path = str(tmp_path / "out")
     write_partitioned(drugs.coalesce(1), path, "drug", max_records_per_file=50)
-    files = {r.drug: r.file_count for r in output_inventory(spark, path, "drug", drugs.schema).collect()}
+    inventory = output_inventory(spark, path, "drug", drugs.schema).collect()
+    files = {r.drug: r.file_count for r in inventory}
     assert files == {"2023": 4, "2024": 2}
 
 
