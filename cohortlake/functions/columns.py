@@ -28,7 +28,7 @@ def is_missing(field: T.StructField, null_values: Sequence[str] = (), trim: bool
     c = column(field.name)
     if isinstance(field.dataType, T.StringType):
         text = F.trim(c) if trim else c
-        return F.coalesce(text.isin("", *null_values), F.lit(True))
+        return c.isNull() | text.isin("", *null_values)
     if isinstance(field.dataType, FLOATING):
         return c.isNull() | F.isnan(c)
     return c.isNull()

@@ -82,8 +82,9 @@ class PipelineConfig:
     """What to read, what to make of it and where to put it.
 
     ``validated_path`` (valid rows as CSV) and ``invalid_path`` (rejected rows as CSV) are
-    optional outputs; each costs one more pass over the source. ``work_path`` holds the staged
-    table of the metrics; unset, it is a new folder under ``spark.checkpoint.dir``.
+    optional outputs; each costs one more pass over the source. The table the
+    metrics are read off is staged in a new folder under ``work_path``, or else under
+    ``spark.checkpoint.dir``.
     """
 
     input_path: str | list[str]

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder name under the shared folder of ``spark.checkpoint.dir``.
+def scratch_dir(spark: SparkSession, base: str | None = None) -> str:
+    """A new folder name under ``base``, or else under the folder of ``spark.checkpoint.dir``.
 
     Every executor must see the folder, so only a session that runs in local mode may do without
     the setting.
     """
-    base = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    base = base or spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"{SETTING} must name a folder that all executors share")
@@ -24,10 +24,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/cohortlake-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Write a frame once and go on from the written table: what follows reads it as often as it
-    likes, also after executors are lost."""
+def staged(df: DataFrame, base: str | None = None) -> DataFrame:
+    """Write a frame once, to a new folder, and go on from the written table: what follows reads
+    it as often as it likes, also after executors are lost."""
     spark = df.sparkSession
-    path = path or scratch_dir(spark)
-    df.write.mode("overwrite").parquet(path)
+    path = scratch_dir(spark, base)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

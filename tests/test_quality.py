@@ -48,6 +48,16 @@ def test_split_by_critical_fields(rows):
     assert valid.count() + invalid.count() == rows.count()
 
 
+def test_validity_reaches_the_scan(spark, rows, tmp_path, plan_of):
+    path = str(tmp_path / "rows")
+    rows.write.parquet(path)
+    valid, invalid = split_valid(spark.read.parquet(path), CRITICAL)
+    pushed = plan_of(valid).split("PushedFilters: [")[1]
+    assert "IsNotNull(id)" in pushed and "Not(EqualTo(id," in pushed
+    assert "Or(Or(IsNull(id),EqualTo(id," in plan_of(invalid)
+    assert (valid.count(), invalid.count()) == (3, 4)
+
+
 def test_trim_makes_whitespace_missing(rows):
     assert sorted(r.id for r in split_valid(rows, CRITICAL, trim=True)[0].collect()) == ["a", "d"]
 

@@ -143,6 +143,16 @@ def test_scratch_lies_in_the_checkpoint_folder(spark):
     assert one.startswith(base) and one != other
 
 
+def test_staging_never_overwrites(spark, tmp_path):
+    base = tmp_path / "work"
+    base.mkdir()
+    (base / "mine.txt").write_text("keep")
+    one = scratch.staged(spark.range(3), str(base))
+    other = scratch.staged(spark.range(5), str(base))
+    assert (one.count(), other.count()) == (3, 5)
+    assert (base / "mine.txt").read_text() == "keep"
+
+
 def test_scratch_needs_the_setting_on_a_cluster():
     class Conf:
         def get(self, name, default=None):
