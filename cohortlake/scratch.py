@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,16 +10,14 @@ SETTING = "spark.checkpoint.dir"
 
 
 def scratch_dir(spark: SparkSession, base: str | None = None) -> str:
-    """A new folder name under ``base``, or else under the folder of ``spark.checkpoint.dir``.
-
-    Every executor must see the folder, so only a session that runs in local mode may do without
-    the setting.
-    """
-    base = base or spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"{SETTING} must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="cohortlake-")
+    """A new folder name under ``base``, or else under the folder of ``spark.checkpoint.dir``, or
+    else under the warehouse folder: each is one that all executors see."""
+    base = (
+        base
+        or spark.conf.get(SETTING, None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
     return f"{base.rstrip('/')}/cohortlake-{uuid.uuid4().hex}"
 
 

@@ -8,7 +8,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from cohortlake.plans.catalog import ORACLE_SQL, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -25,12 +26,12 @@ def comparable(rows):
     return sorted(rows, key=lambda row: [(v is not None, type(v).__name__, v or 0) for v in row])
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_same_result(spark, oracle, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     mine = [tuple(row[c] for c in columns) for row in df.collect()]
-    result = oracle.execute(oracle_sql()[name])
+    result = oracle.execute(ORACLE_SQL[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     theirs = [tuple(row[names.index(c)] for c in columns) for row in result.fetchall()]
@@ -39,7 +40,7 @@ def test_same_result(spark, oracle, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 def test_entry(spark):
@@ -53,8 +54,8 @@ def test_result_does_not_depend_on_partitions(spark, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
-        rows = queries()["cohort_stats"](spark, SF_DIR).collect()
+        rows = QUERIES["cohort_stats"](spark, SF_DIR).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    again = queries()["cohort_stats"](spark, SF_DIR).collect()
+    again = QUERIES["cohort_stats"](spark, SF_DIR).collect()
     assert sorted(rows) == sorted(again)
