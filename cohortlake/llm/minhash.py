@@ -313,3 +313,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
         )
     )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows that ``near_duplicates`` keeps, with all their columns. Of rows that share a kept
+    doc_id all stay; rows without a doc_id stay."""
+    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL")
+    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
+    identified = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    return identified.unionByName(docs.where("doc_id IS NULL"))

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import bpe, minhash, mixing, tokenfiles, warc
+from cohortlake.llm import (
+    ann,
+    bpe,
+    extraction,
+    minhash,
+    mixing,
+    ngram_lm,
+    semdedup,
+    tokenfiles,
+    toxicity,
+    warc,
+)
 from cohortlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +37,17 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op2_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages")).drop("blocks")
+
+
 @query()
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, sf_dir, "documents"))
@@ -41,6 +63,11 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query()
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages")).select(
@@ -52,6 +79,16 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.scores(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_semdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return semdedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query(mixing.SQL)
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
