@@ -10,10 +10,12 @@ At a similarity of 0.75, two large sets miss each other in all 40 bands with a p
 2.5e-7; small sets, which leave most registers empty, miss each other less often. The estimate
 drops a pair only if it lies five standard deviations under the threshold.
 
-Only classes are told apart, so pairs inside a class needn't all be looked at. Texts with the same
-set are one entry from the start. Round one compares every entry with the smallest one of its
-bucket. Round two compares, in the buckets that still hold several classes, the entries of
-different classes, in cells of bounded size. No pair that could join two classes is left out.
+Pairs aren't listed. Texts with the same set are one entry from the start. Estimates gather entries
+into families: first every entry is held against the smallest one of its bucket; then, in the
+buckets that still hold several families, entries of different families against each other, in
+cells of bounded size that give only which families meet. Links are confirmed within families,
+again in cells of bounded size, on the full sets of the texts; a cell skips pairs that its links
+have joined and gives a forest of links. No pair that could join two classes is left out.
 
 Cases: a null or empty text, or one without words, has no shingles and links with nothing. Rows
 without a doc_id are returned with component_id null and kept true. Rows that share a doc_id are
@@ -170,65 +172,101 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["a", "b"]).filter(pa.array(fits))
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in batches:
-        place: dict[bytes, int] = {}
-        sides = [
-            [place.setdefault(text, len(place)) for text in common.as_bytes(part.column(name))]
-            for name in ("text_a", "text_b")
-        ]
-        sets = [s for few in common.groups(place) for s in shingle_hashes(few)]
-        fits = []
-        for i, j in zip(*sides, strict=True):
-            small, large = sorted((sets[i], sets[j]), key=len)
-            if 100 * len(small) < PERCENT * len(large):
-                fits.append(False)
-                continue
-            at = np.searchsorted(large, small)
-            shared = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-            union = len(small) + len(large) - shared
-            fits.append(union > 0 and 100 * shared >= PERCENT * union)
-        yield part.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+class Forest:
+    """Union-find over positions."""
+
+    def __init__(self, n: int) -> None:
+        self.up = np.arange(n)
+
+    def roots(self) -> np.ndarray:
+        while (self.up[self.up] != self.up).any():
+            self.up = self.up[self.up]
+        return self.up
+
+    def join(self, a: int, b: int) -> bool:
+        up = self.up
+        while up[a] != a:
+            a = up[a] = up[up[a]]
+        while up[b] != b:
+            b = up[b] = up[up[b]]
+        up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _sides(cell: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
+    """The rows of the cell's first and second block, and whether they are one block."""
+    block, i, j = (cell[c].to_numpy() for c in ("block", "i", "j"))
+    return np.flatnonzero(block == i), np.flatnonzero(block == j), i[0] == j[0]
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different classes that may link, from rows sorted by (key, row, column); a cell of
-    a bucket has at most twice CELL entries, give or take the hash's evenness."""
+def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which families a bucket's entries join by the estimates, from rows of (key, i, j)."""
     for cell in common.runs(batches, ["key", "i", "j"]):
-        ids = cell["doc_id"].to_numpy()
-        group = cell["component"].to_numpy()
-        same = cell["i"][0] == cell["j"][0]
-        left = np.flatnonzero(cell["block"].to_numpy() == cell["i"].to_numpy())
-        right = np.flatnonzero(cell["block"].to_numpy() == cell["j"].to_numpy())
-        sizes = cell["n_shingles"].to_numpy()
-        rows = _rows_of(cell["sketch"])
-        for a in left:
-            others = right[ids[right] > ids[a]] if same else right
-            others = others[group[others] != group[a]]
+        families, group = np.unique(cell["component"].to_numpy(), return_inverse=True)
+        if len(families) < 2:
+            continue
+        left, right, same = _sides(cell)
+        rows, sizes = _rows_of(cell["sketch"]), cell["n_shingles"].to_numpy()
+        forest = Forest(len(families))
+        for at, a in enumerate(left):
+            others = right[at + 1 :] if same else right
+            roots = forest.roots()[group]
+            others = others[roots[others] != roots[a]]
             if len(others):
                 fits = may_link(rows[a], rows[others], np.full(len(others), sizes[a]), sizes[others])
-                if fits.any():
-                    b = ids[others[fits]]
-                    a_id = np.full(len(b), ids[a])
-                    yield common.batch(["a", "b"], np.minimum(a_id, b), np.maximum(a_id, b))
-
-
-def _links(pairs: DataFrame, entries: DataFrame, docs: DataFrame, estimate: bool) -> DataFrame:
-    """The pairs (a, b) that link, confirmed on full sets."""
-    if estimate:
-        side = lambda s: entries.select(
-            F.col("doc_id").alias(s),
-            F.col("n_shingles").alias(f"n_{s}"),
-            F.col("sketch").alias(f"sketch_{s}"),
-        )
-        pairs = pairs.join(side("a"), "a").join(side("b"), "b")
-        pairs = pairs.mapInArrow(_estimated, "a long, b long")
-    pairs = staged(pairs.distinct())
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = staged(docs.join(needed, "doc_id", "left_semi"))
-    text = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
-    joined = pairs.join(text("a"), "a").join(text("b"), "b")
-    return staged(joined.mapInArrow(_confirmed, "a long, b long").distinct())
+                for other in np.unique(group[others[fits]]):
+                    forest.join(group[a], other)
+        ends = forest.roots()
+        moved = ends != np.arange(len(ends))
+        yield common.batch(["a", "b"], families[ends[moved]], families[moved])
+
+
+def links(one: np.ndarray, other: np.ndarray) -> bool:
+    """Whether two sorted sets of hashes are similar enough."""
+    small, large = (one, other) if len(one) <= len(other) else (other, one)
+    if not len(small) or 100 * len(small) < PERCENT * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    shared = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * shared >= PERCENT * (len(small) + len(large) - shared)
+
+
+def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A forest of links within each cell of a family, from rows of (family, i, j)."""
+    for cell in common.runs(batches, ["family", "i", "j"]):
+        ids = cell["doc_id"].to_numpy()
+        texts = common.as_bytes(cell["text"].combine_chunks())
+        sets = [s for few in common.groups(texts) for s in shingle_hashes(few)]
+        rows, sizes = np.stack([registers(s) for s in sets]), np.array([len(s) for s in sets])
+        left, right, same = _sides(cell)
+        forest, found = Forest(len(ids)), []
+        for at, a in enumerate(left):
+            others = right[at + 1 :] if same else right
+            roots = forest.roots()
+            others = others[roots[others] != roots[a]]
+            if not len(others):
+                continue
+            fits = may_link(rows[a], rows[others], np.full(len(others), sizes[a]), sizes[others])
+            for b in others[fits]:
+                if forest.roots()[a] != forest.roots()[b] and links(sets[a], sets[b]):
+                    forest.join(a, b)
+                    found.append((ids[a], ids[b]))
+        if found:
+            pairs = np.array(found, dtype=np.int64)
+            yield common.batch(["a", "b"], pairs[:, 0], pairs[:, 1])
+
+
+def _grid(rows: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
+    """Deal the rows of a key to blocks by doc_id, and each block to the cells of all its pairs of
+    blocks: adds block, i and j. ``sizes`` has the key and its number of blocks."""
+    return (
+        rows.join(sizes, key)
+        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("block", "other"))
+        .withColumn("j", F.greatest("block", "other"))
+        .drop("blocks", "other")
+    )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -239,7 +277,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sketched = staged(sketches(docs))
     filled = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = filled.groupBy("digest").agg(F.min("doc_id").alias("entry"))
-    members = staged(
+    copies = staged(
         filled.select("doc_id", "digest").join(classes, "digest").select("doc_id", "entry")
     )
     entries = staged(
@@ -256,48 +294,51 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     met = staged(rows.join(shared, "key").distinct())
 
+    side = lambda s: entries.select(
+        F.col("doc_id").alias(s),
+        F.col("n_shingles").alias(f"n_{s}"),
+        F.col("sketch").alias(f"sketch_{s}"),
+    )
     stars = met.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    stars = staged(stars.distinct())
-    links = _links(stars, entries, docs, estimate=True)
-    found = common.components(links)
-
-    left = met.join(
-        found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
-    ).withColumn("component", F.coalesce("component", "doc_id"))
-    left = staged(left.select("key", "doc_id", "component"))
-    open_keys = (
+    stars = stars.distinct().join(side("a"), "a").join(side("b"), "b")
+    near = staged(stars.mapInArrow(_estimated, "a long, b long").distinct())
+    family = common.components(near)
+
+    blocks = F.ceil(F.count("*") / CELL).cast("int").alias("blocks")
+    left = staged(
+        met.select("key", "doc_id")
+        .join(family.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .withColumn("component", F.coalesce("component", "doc_id"))
+    )
+    several = (
         left.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+        .agg(blocks, F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
         .where("n > 2 AND x < y")
-        .select("key", F.ceil(F.col("n") / CELL).cast("int").alias("blocks"))
+        .select("key", "blocks")
     )
-    cells = (
-        left.join(open_keys, "key")
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("i", F.least("block", "other"))
-        .withColumn("j", F.greatest("block", "other"))
-        .drop("blocks", "other")
-        .join(entries.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    cells = _grid(left, "key", several).join(
+        entries.select("doc_id", "n_shingles", "sketch"), "doc_id"
     )
-    more = (
-        common.dealt(cells, "key", "i", "j")
-        .mapInArrow(_cells, "a long, b long")
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
+    more = common.dealt(cells, "key", "i", "j").mapInArrow(_families, "a long, b long")
+    family = staged(common.components(near.union(more.distinct())).withColumnRenamed("component", "family"))
+
+    members = family.withColumnRenamed("node", "doc_id")
+    texts = members.join(docs, "doc_id")
+    cells = _grid(texts, "family", members.groupBy("family").agg(blocks))
+    confirmed = staged(
+        common.dealt(cells, "family", "i", "j").mapInArrow(_confirmed, "a long, b long").distinct()
     )
-    links = links.union(_links(more, entries, docs, estimate=False))
 
     # Rows that share a doc_id are one document, also if their texts belong to different classes.
     several = (
-        members.groupBy("doc_id")
+        copies.groupBy("doc_id")
         .agg(F.min("entry").alias("a"), F.max("entry").alias("b"), F.count("*").alias("n"))
         .where("n > 1 AND a < b")
     )
-    ties = members.join(several, "doc_id").select("a", F.col("entry").alias("b")).where("a <> b")
-    found = common.components(links.union(ties))
+    ties = copies.join(several, "doc_id").select("a", F.col("entry").alias("b")).where("a <> b")
+    found = common.components(confirmed.union(ties))
     by_doc = (
-        members.groupBy("doc_id")
+        copies.groupBy("doc_id")
         .agg(F.min("entry").alias("entry"))
         .join(found.select(F.col("node").alias("entry"), "component"), "entry", "left")
         .select("doc_id", F.coalesce("component", "entry").alias("component"))

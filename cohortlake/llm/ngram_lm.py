@@ -39,7 +39,7 @@ from cohortlake.llm.mixing import size_of
 ORDER = 2
 BACKOFF = 0.4
 #: Bytes of text in a block, about.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 _U = np.uint64
 _FACTORS = common._stream(53, 16) | _U(1)
