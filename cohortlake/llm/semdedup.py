@@ -3,9 +3,11 @@
 The two halves of a vector, scaled to length one, have codebooks of their own; the cells are the
 product of the two. A vector lies in the cell of its nearest centroids. It visits cells in the order
 of a lower bound of the distance to anything in them: per half, how far the half would have to
-move until another centroid is the nearer one; the squares add up. The walk ends where the bound
-passes the distance that the threshold stands for, so the target recall is 1: no link can lie
-further on. Who meets is verified by the exact cosine.
+move until another centroid is the nearer one; the squares add up. Two vectors lie on two sides of
+the planes between their cells, and their distances to those planes add up to no more than their
+own distance; so of each link one vector, at least, has half of the squared distance as its bound
+for the other's cell. The walk ends there, and the target recall is 1. Who meets is verified by the
+exact cosine. A link that both vectors walk to counts once.
 
 The codebooks come from ``SAMPLE`` rows at most, the first by hash; every row is indexed, and any
 codebook gives the same links, only in more or less time.
@@ -37,7 +39,8 @@ from cohortlake.llm.vectors import cosines, matrix, norms, usable
 
 THRESHOLD = 0.98
 SAMPLE = 8192
-CENTROIDS = 64
+#: Centroids of a half. More of them: fewer comparisons, more cells to visit.
+CENTROIDS = 8
 BLOCK = 512
 
 
@@ -117,11 +120,15 @@ def _linked(cell: pa.Table, threshold: float) -> pa.RecordBatch:
     v, m = np.flatnonzero(visits == 1), np.flatnonzero(visits == 0)
     unit = raw / norms(raw)[:, None]
     near = unit[v] @ unit[m].T
-    links = (near >= threshold) & (who[v][:, None] < who[m][None, :])
-    close = np.argwhere((np.abs(near - threshold) < 1e-9) & (who[v][:, None] < who[m][None, :]))
+    links = near >= threshold
+    close = np.argwhere(np.abs(near - threshold) < 1e-9)
     if len(close):
         exact = cosines(raw[v[close[:, 0]]], raw[m[close[:, 1]]])
         links[close[:, 0], close[:, 1]] = exact >= threshold
+    # where the member visits the visitor's home as well, the one with the smaller name counts
+    walked = np.frombuffer(b"".join(cell["walked"].to_pylist()), np.uint8).reshape(len(who), -1)
+    back = np.unpackbits(walked[m], axis=1)[:, cell["home"].to_numpy()[v]].T.astype(bool)
+    links &= np.where(back, who[v][:, None] < who[m][None, :], who[v][:, None] != who[m][None, :])
     some_v, some_m = links.any(axis=1), links.any(axis=0)
     v, m, links = v[some_v], m[some_m], links[some_v][:, some_m]
     at_v, at_m = who[v].copy(), who[m].copy()
@@ -151,8 +158,8 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             _digest, "vec_id long, label long, dim int, vec binary, digest binary"
         )
     )
-    # Distance between unit vectors with that cosine; a little more, for rounding.
-    limit = 2 * (1 - threshold) + 1e-9
+    # Half of the squared distance of unit vectors with that cosine; a little more, for rounding.
+    limit = 1 - threshold + 1e-9
     books = train(vectors)
     same = ["label", "digest"]
     counted = staged(
@@ -176,25 +183,30 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 cells = [
                     traverse(a, b, limit, len(other)) for a, b in zip(far_a, far_b, strict=True)
                 ]
+                walked = np.zeros((len(raw), len(one) * len(other)), dtype=bool)
+                for i, visited in enumerate(cells):
+                    walked[i, visited] = True
                 yield pa.RecordBatch.from_arrays(
                     [
                         own.column("label"), own.column("dim"), own.column("vec_id"),
                         own.column("copies"), own.column("vec"),
                         pa.array(home_a * len(other) + home_b, pa.int64()),
                         pa.array(cells, pa.list_(pa.int64())),
+                        pa.array([w.tobytes() for w in np.packbits(walked, axis=1)], pa.binary()),
                     ],
-                    names=["label", "dim", "entry", "copies", "vec", "home", "cells"],
+                    names=["label", "dim", "entry", "copies", "vec", "home", "cells", "walked"],
                 )
 
     placed = staged(
         entries.mapInArrow(
             place,
-            "label long, dim int, entry long, copies long, vec binary, home long, cells array<long>",
+            "label long, dim int, entry long, copies long, vec binary, home long, cells array<long>, "
+            "walked binary",
         )
     )
     where = ["label", "dim", "cell"]
-    members = placed.withColumnRenamed("home", "cell").drop("cells")
-    visitors = placed.withColumn("cell", F.explode("cells")).drop("home", "cells")
+    members = placed.withColumn("cell", F.col("home")).drop("cells")
+    visitors = placed.withColumn("cell", F.explode("cells")).drop("cells")
     blocks = lambda name: F.ceil(F.count("*") / BLOCK).cast("int").alias(name)
     sizes = (
         members.groupBy(*where)
