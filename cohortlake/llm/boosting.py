@@ -11,7 +11,7 @@ class Trees:
     """Boosted trees of one depth; a tree is an array of (feature, bin) in heap order and leaf
     values. Fitting is deterministic."""
 
-    def __init__(self, rounds: int = 80, depth: int = 4, rate: float = 0.15, ridge: float = 2.0):
+    def __init__(self, rounds: int = 50, depth: int = 4, rate: float = 0.2, ridge: float = 2.0):
         self.rounds, self.depth, self.rate, self.ridge = rounds, depth, rate, ridge
         self.edges: list[np.ndarray] = []
         self.base = 0.0

@@ -40,8 +40,9 @@ REGISTERS = 160
 BAND = 4
 MANTISSA = 10
 PERCENT = 75
-#: Entries of a bucket that are compared in one cell with as many others.
-CELL = 256
+#: Entries of a block: sketches of a bucket, texts of a family. A cell holds two blocks.
+SKETCHES = 1024
+TEXTS = 256
 
 _U = np.uint64
 _FACTORS = common._stream(23, SHINGLE) | _U(1)
@@ -304,7 +305,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     near = staged(stars.mapInArrow(_estimated, "a long, b long").distinct())
     family = common.components(near)
 
-    blocks = F.ceil(F.count("*") / CELL).cast("int").alias("blocks")
+    blocks = lambda n: F.ceil(F.count("*") / n).cast("int").alias("blocks")
     left = staged(
         met.select("key", "doc_id")
         .join(family.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -312,7 +313,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     several = (
         left.groupBy("key")
-        .agg(blocks, F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+        .agg(blocks(SKETCHES), F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
         .where("n > 2 AND x < y")
         .select("key", "blocks")
     )
@@ -324,7 +325,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     members = family.withColumnRenamed("node", "doc_id")
     texts = members.join(docs, "doc_id")
-    cells = _grid(texts, "family", members.groupBy("family").agg(blocks))
+    cells = _grid(texts, "family", members.groupBy("family").agg(blocks(TEXTS)))
     confirmed = staged(
         common.dealt(cells, "family", "i", "j").mapInArrow(_confirmed, "a long, b long").distinct()
     )
