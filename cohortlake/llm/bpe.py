@@ -34,6 +34,9 @@ REMEMBERED = 1_000_000
 #: New chunks that are encoded in one go.
 TOGETHER = 100_000
 NONE = np.iinfo(np.int64).max
+#: A chunk that ends in one of these after a letter below U+0130 is its two parts' ids: such letters
+#: stay letters when normalized, so a word ends there.
+STOPS, LETTERS = frozenset(".,;:!?"), "\u0130"
 
 
 def vocabulary_path() -> str:
@@ -202,30 +205,48 @@ class Memory(dict):
 
     def _begin(self) -> None:
         self.clear()
-        self._new: list[str] = []
+        self._new: list[tuple[str, tuple[int, int] | None]] = []
         self._flat = np.empty(1 << 16, dtype=self.dtype)
         self._used = 0
         self._offsets = np.empty(0, dtype=np.int64)
         self._sizes = np.empty(0, dtype=np.int64)
 
     def __missing__(self, chunk: str) -> int:
+        parts = None
+        if len(chunk) > 1 and chunk[-1] in STOPS and chunk[-2] < LETTERS and chunk[-2].isalpha():
+            parts = self[chunk[:-1]], self[chunk[-1]]
         self[chunk] = i = len(self)
-        self._new.append(chunk)
+        self._new.append((chunk, parts))
         return i
 
     def _learn(self) -> None:
         if not self._new:
             return
-        flat, sizes = self._encode(self._new)
-        need = self._used + len(flat)
+        whole = np.array([parts is None for _, parts in self._new])
+        flat, own = self._encode([chunk for chunk, parts in self._new if parts is None])
+        sizes, offsets = (np.zeros(len(self._new), dtype=np.int64) for _ in range(2))
+        sizes[whole], offsets[whole] = own, self._keep(flat) + np.cumsum(own) - own
+        self._sizes = np.concatenate([self._sizes, sizes])
+        self._offsets = np.concatenate([self._offsets, offsets])
+        if not whole.all():
+            at = np.array([parts for _, parts in self._new if parts is not None])
+            begin = len(self._sizes) - len(whole)
+            own = self._sizes[at].sum(axis=1)
+            flat = gather(self._flat, self._offsets[at.ravel()], self._sizes[at.ravel()])
+            self._sizes[begin:][~whole] = own
+            self._offsets[begin:][~whole] = self._keep(flat) + np.cumsum(own) - own
+        self._new = []
+
+    def _keep(self, flat: np.ndarray) -> int:
+        """Append ids to those that are remembered; returns where they begin."""
+        begin, need = self._used, self._used + len(flat)
         if need > len(self._flat):
             grown = np.empty(max(need, 2 * len(self._flat)), dtype=self.dtype)
-            grown[: self._used] = self._flat[: self._used]
+            grown[:begin] = self._flat[:begin]
             self._flat = grown
-        self._flat[self._used : need] = flat
-        self._offsets = np.concatenate([self._offsets, self._used + np.cumsum(sizes) - sizes])
-        self._sizes = np.concatenate([self._sizes, sizes])
-        self._used, self._new = need, []
+        self._flat[begin:need] = flat
+        self._used = need
+        return begin
 
     def encode(self, texts: Iterator[str | None]) -> Iterator[np.ndarray]:
         """The ids of every text, in order."""

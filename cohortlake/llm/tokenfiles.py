@@ -23,6 +23,7 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -165,8 +166,8 @@ def library_memory(path: str) -> Memory:
             several = tokenizer.encode_batch(chunks[begin : begin + 4096], add_special_tokens=False)
             ids = [x.ids for x in several]
             counts += map(len, ids)
-            flat.append(np.fromiter((i for x in ids for i in x), dtype=np.int64))
-        return np.concatenate(flat), np.array(counts, dtype=np.int64)
+            flat.append(np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=sum(map(len, ids))))
+        return np.concatenate([np.empty(0, np.int64), *flat]), np.array(counts, dtype=np.int64)
 
     return Memory(encode, tokenizer.get_vocab_size(with_added_tokens=True))
 
