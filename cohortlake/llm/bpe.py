@@ -45,7 +45,7 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _byte_symbols() -> list[str]:
+def byte_symbols() -> list[str]:
     """The printable character that stands for each byte: printable ones for themselves, the rest
     from code point 256 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -70,7 +70,7 @@ class Bpe:
         self.tokens = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for token, i in [*vocab.items(), *self.special.items()]:
             self.tokens[i] = token.encode()
-        symbols = _byte_symbols()
+        symbols = byte_symbols()
         self._inner = np.array([vocab[s] for s in symbols], dtype=np.int64)
         self._final = np.array([vocab[s + suffix] for s in symbols], dtype=np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]

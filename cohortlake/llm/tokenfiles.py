@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm.bpe import Memory, vocabulary_path
+from cohortlake.llm.bpe import LETTERS, Memory, byte_symbols, vocabulary_path
 from cohortlake.llm.common import _stream, mix, prepare, scratch_dir, staged
 from cohortlake.llm.store import open_file, write_file
 
@@ -160,14 +160,28 @@ def library_memory(path: str) -> Memory:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
+    names_of = str.maketrans({chr(b): name for b, name in enumerate(byte_symbols())})
+    model = tokenizer.model
+
     def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        flat, counts = [], []
-        for begin in range(0, len(chunks), 4096):
-            several = tokenizer.encode_batch(chunks[begin : begin + 4096], add_special_tokens=False)
-            ids = [x.ids for x in several]
-            counts += map(len, ids)
-            flat.append(np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=sum(map(len, ids))))
-        return np.concatenate([np.empty(0, np.int64), *flat]), np.array(counts, dtype=np.int64)
+        """A chunk of letters below U+0130 is one word that normalizing only puts in lower case, so
+        it goes to the library's model at once; others go the library's whole way."""
+        ids: list[list[int] | None] = []
+        for chunk in chunks:
+            if chunk.isalpha() and max(chunk) < LETTERS:
+                word = chunk.lower().encode().decode("latin-1").translate(names_of)
+                ids.append([token.id for token in model.tokenize(word)])
+            else:
+                ids.append(None)
+        rest = [i for i, known in enumerate(ids) if known is None]
+        for begin in range(0, len(rest), 4096):
+            some = rest[begin : begin + 4096]
+            found = tokenizer.encode_batch([chunks[i] for i in some], add_special_tokens=False)
+            for i, one in zip(some, found, strict=True):
+                ids[i] = one.ids
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum()))
+        return flat, counts
 
     return Memory(encode, tokenizer.get_vocab_size(with_added_tokens=True))
 
