@@ -201,9 +201,10 @@ class Memory(dict):
         super().__init__()
         self._encode, self._most = encode_chunks, most
         self.dtype = np.uint16 if vocabulary <= 1 << 16 else np.uint32
-        self._begin()
+        self.begin()
 
-    def _begin(self) -> None:
+    def begin(self) -> None:
+        """Forget all chunks."""
         self.clear()
         self._new: list[tuple[str, tuple[int, int] | None]] = []
         self._flat = np.empty(1 << 16, dtype=self.dtype)
@@ -261,7 +262,7 @@ class Memory(dict):
                 yield from self._flush(waiting)
                 waiting, length = [], 0
                 if len(self) > self._most:
-                    self._begin()
+                    self.begin()
         yield from self._flush(waiting)
 
     def _flush(self, waiting: list[np.ndarray]) -> Iterator[np.ndarray]:
@@ -277,9 +278,10 @@ def load(path: str) -> Bpe:
 
 @cache
 def memory(path: str) -> Memory:
-    """A worker's own memory for one vocabulary file; it lives as long as the worker."""
+    """A worker's own memory for one vocabulary file; it is emptied when a task ends, so that what
+    runs next in the worker has the room."""
     bpe = load(path)
-    return Memory(bpe.encode_chunks, len(bpe.tokens))
+    return Memory(bpe.encode_chunks, len(bpe.tokens), REMEMBERED // 4)
 
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -295,6 +297,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
                 pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
                 pa.array([bpe.decode(x).decode() for x in ids], pa.string()),
             )
+        own.begin()
 
     where = path or vocabulary_path()
     return _input(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
@@ -319,6 +322,7 @@ def encoding_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                 pa.array(of_ids, pa.string()),
                 pa.array(of_text, pa.string()),
             )
+        own.begin()
 
     where = path or vocabulary_path()
     return _input(docs).mapInArrow(
