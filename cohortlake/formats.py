@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
-# A header line, and quotes doubled inside quoted fields.
-CSV_OPTIONS = {"header": "true", "escape": '"'}
+# A header line, quotes doubled inside quoted fields, blanks at the ends of a field
+# kept, and times to the microsecond.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
 
 
 def options_of(format: str) -> dict[str, str]:

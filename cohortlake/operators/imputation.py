@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from cohortlake.functions.columns import column, no_nan
 from cohortlake.scratch import staged
 
-# The most values that are ranked one by one in one task, and the steps that get a column below
-# it: buckets per doubling of the value, then buckets of a linear split.
-ONE_TASK_ROWS = 1 << 20
+# Buckets per doubling of the value, then buckets of a linear split: few, so that map tasks combine
+# the values of a narrow range as well.
 LOG_BUCKETS = 1024
-LINEAR_BUCKETS = 1 << 20
+LINEAR_BUCKETS = 4096
+#: The largest sketch there is.
+MOST_SKETCH = 65535
 # Quantile sketches are merged in this many groups before the last merge.
 MERGE_GROUPS = 256
 
@@ -29,7 +30,9 @@ def magnitude(v: Column) -> Column:
 def linear(v: Column, lo: float, hi: float) -> Column:
     """A whole number that never falls as ``v`` grows: equal steps from ``lo`` to ``hi``, one
     bucket below and one above."""
-    offset = (v - F.lit(lo)) / F.lit(hi - lo)
+    # halves, where the range is wider than the largest double
+    scale = 1.0 if math.isfinite(hi - lo) else 0.5
+    offset = (v * F.lit(scale) - F.lit(lo * scale)) / F.lit(hi * scale - lo * scale)
     return (
         F.when(v < F.lit(lo), F.lit(-1))
         .when(v > F.lit(hi), F.lit(LINEAR_BUCKETS + 1))
@@ -39,10 +42,6 @@ def linear(v: Column, lo: float, hi: float) -> Column:
     )
 
 
-def clamped(v: Column, lo: float, hi: float) -> Column:
-    return F.greatest(F.lit(lo), F.least(v, F.lit(hi)))
-
-
 def _holders(values: DataFrame, bucket: Column) -> list[tuple[float, float, int]]:
     """(first, last, count) of the one or two buckets that hold the two middle values.
 
@@ -75,34 +74,38 @@ def exact_median(values: DataFrame) -> float | None:
 
     1. by magnitude: 1024 buckets per doubling of the value (2 * 2100 * 1024 if the data spans
        every double there is);
-    2. by 2^20 linear steps of that bucket, again while more than 2^20 values are left in it.
-       Doubles are 2^-53 apart at the closest, so no more than three of these can follow;
-    3. by value.
+    2. by 4096 linear steps of that bucket, and of the bucket found there, and so on. The first
+       and the last value of a bucket never fall into the same one again, so it ends; doubles of
+       a bucket are 2^-53 apart at the closest, so no more than six of these passes follow.
 
     It ends as soon as the bucket holds a single distinct value, or the two middle values are
     the last of one bucket and the first of the next: with few distinct values, or one that
-    fills a third of the table, after the first pass or two. What is shuffled is bounded by the
-    buckets, whatever the number of rows or distinct values.
+    fills a third of the table, after the first pass or two. A map task shuffles a row per bucket
+    that it meets, at most; that bounds the shuffle by tasks times buckets.
     """
     held = _holders(values, magnitude(F.col("v")))
     while len(held) == 1 and held[0][0] < held[0][1]:
-        lo, hi, n = held[0]
-        if n <= ONE_TASK_ROWS:
-            inside = values.select(clamped(F.col("v"), lo, hi).alias("v"))
-            held = _holders(inside, F.col("v"))
-        else:
-            held = _holders(values, linear(F.col("v"), lo, hi))
+        lo, hi, _ = held[0]
+        held = _holders(values, linear(F.col("v"), lo, hi))
     if not held:
         return None
     lower, upper = held[0][1], held[-1][0]
-    return lower if lower == upper else lower + (upper - lower) / 2
+    if lower == upper or not math.isfinite(lower):
+        return lower
+    if not math.isfinite(upper):
+        return upper
+    gap = upper - lower
+    return lower + gap / 2 if math.isfinite(gap) else lower / 2 + upper / 2
 
 
 def sketch_size(error: float) -> int:
     """Size of a KLL sketch whose rank error stays within ``error`` (99 % confidence)."""
     if not 0 < error < 1:
         raise ValueError("error must lie between 0 and 1")
-    return min(65535, max(8, math.ceil((2.296 / error) ** (1 / 0.9021))))
+    size = max(8, math.ceil((2.296 / error) ** (1 / 0.9021)))
+    if size > MOST_SKETCH:
+        raise ValueError(f"no sketch keeps an error of {error}; use the exact method")
+    return size
 
 
 def merge_group() -> Column:

@@ -24,7 +24,6 @@ def frame(spark, values, parts=3):
 @pytest.fixture
 def narrow(monkeypatch):
     """Make the linear passes run on small data, with few and coarse buckets."""
-    monkeypatch.setattr(module, "ONE_TASK_ROWS", 2)
     monkeypatch.setattr(module, "LOG_BUCKETS", 2)
     monkeypatch.setattr(module, "LINEAR_BUCKETS", 3)
 
@@ -52,6 +51,10 @@ CASES = [
     [-INF, -INF, 7.0],
     [1.0, 1.0 + 2**-52, 1.0 + 2**-51, 1.0 + 2**-50],
     [float(v) for v in range(1000)],
+    [-INF, 5.0],
+    [5.0, INF],
+    [-1.7e308, 1.7e308],
+    [-1.7e308, 1.6e308, 1.7e308, 1.0],
 ]
 
 
@@ -76,7 +79,6 @@ def test_narrowing_on_any_values(spark, narrow, values):
 
 
 def test_many_distinct_values_take_more_passes(spark, monkeypatch, passes):
-    monkeypatch.setattr(module, "ONE_TASK_ROWS", 3)
     monkeypatch.setattr(module, "LOG_BUCKETS", 4)
     draw = random.Random(7)
     values = [draw.lognormvariate(0, 4) for _ in range(5001)]
@@ -90,15 +92,22 @@ def test_few_distinct_values_take_one_pass(spark, passes):
     assert len(passes) == 1
 
 
-def test_closest_doubles_end(spark, monkeypatch, passes):
-    """A hot value between its direct neighbours, with nothing ranked one by one."""
-    monkeypatch.setattr(module, "ONE_TASK_ROWS", 0)
+def test_closest_doubles_end(spark, passes):
+    """A hot value between its direct neighbours."""
     near = [1.5 - 2**-52, 1.5 + 2**-52, 1.5 + 2**-51]
     values = [1.0] * 10 + near * 3 + [1.5] * 30 + [1.75] * 10
     assert median(frame(spark, values, 4), "x") == statistics.median(values)
     assert len(passes) <= 4
 
 
+def test_a_narrow_range_is_combined_in_the_map_tasks(spark):
+    """What a linear pass shuffles is bounded by tasks times buckets, and not by the values."""
+    df = spark.range(0, 400_000, 1, 4).select((F.col("id") / 1_600_000 + 1000).alias("v"))
+    plan = df.groupBy(linear(F.col("v"), 1000.0, 1000.25).alias("bucket")).count()
+    assert plan.count() <= module.LINEAR_BUCKETS + 2 < 400_000 / 50
+    assert median(df, "v", reread=True) == df.selectExpr("percentile(v, 0.5)").first()[0]
+
+
 def test_rereading_gives_the_same(spark):
     df = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
     assert median(df, "l_extendedprice", reread=True) == median(df, "l_extendedprice")
@@ -154,6 +163,12 @@ def test_sketch_size_follows_the_error():
         sketch_size(0)
 
 
+@pytest.mark.parametrize("error", [1e-4, 1e-5])
+def test_an_error_that_no_sketch_keeps_is_told(error):
+    with pytest.raises(ValueError, match="exact"):
+        sketch_size(error)
+
+
 def test_unknown_method(spark):
     with pytest.raises(ValueError):
         median(frame(spark, [1.0]), "x", "guess")
