@@ -1,0 +1,304 @@
+"""The operators on documents, held against brute force and the tokenizers library."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from cohortlake.llm import bpe, common, minhash, mixing, ngram_lm, tokenfiles, toxicity
+from cohortlake.llm.queries import ORACLE_SQL, QUERIES
+
+
+def words(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", low)
+
+
+def shingles(text):
+    w = words(text)
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+
+
+def expected_components(rows):
+    """doc_id -> smallest doc_id reachable, by comparing all pairs."""
+    sets = [(i, shingles(t)) for i, t in rows if i is not None]
+    up = {i: i for i, _ in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    meets = collections.defaultdict(list)
+    for at, (_, s) in enumerate(sets):
+        for one in s:
+            meets[one].append(at)
+    for a, b in {(a, b) for group in meets.values() for a in group for b in group if a < b}:
+        (i, s), (j, t) = sets[a], sets[b]
+        if 100 * len(s & t) >= 75 * len(s | t):
+            x, y = root(i), root(j)
+            up[max(x, y)] = min(x, y)
+    return {i: root(i) for i in up}
+
+
+def test_near_duplicates_against_all_pairs(spark, sf, given):
+    docs = given("documents")
+    wanted = expected_components(zip(docs.doc_id, docs.text, strict=True))
+    sizes = {i: len(shingles(t)) for i, t in zip(docs.doc_id, docs.text, strict=True)}
+    rows = QUERIES["op5_minhash"](spark, sf).collect()
+    assert {r.doc_id: r.component_id for r in rows} == wanted
+    assert {r.doc_id: r.n_shingles for r in rows} == sizes
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+
+
+def test_near_copies_in_chains_and_large_groups(spark):
+    rng = np.random.default_rng(1)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base)]
+    for _ in range(700):
+        copy = base.copy()
+        for at in rng.integers(0, 60, int(rng.integers(0, 3))):
+            copy[at] = f"v{rng.integers(10_000)}"
+        texts.append(" ".join(copy))
+    rows = list(enumerate(texts, 10))
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == expected_components(rows)
+
+
+def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
+    rows = minhash.near_duplicates(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    by_id = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert [by_id[i].component_id for i in (1, 2, 3, 4, 5, 6, 7)] == [1, 2, 3, 4, 4, 6, 6]
+    assert by_id[1].n_shingles == by_id[3].n_shingles == 0 and by_id[6].n_shingles == 1
+    assert all(r.component_id is None and r.kept for r in rows if r.doc_id is None)
+    assert minhash.near_duplicates(no_docs).count() == 0
+    kept = [r.doc_id for r in minhash.representatives(odd_docs).collect()]
+    assert sorted(i for i in kept if i is not None) == [1, 2, 3, 4, 6, 8, 9] and kept.count(None) == 2
+
+
+def test_sketches_estimate_similarity():
+    rng = np.random.default_rng(2)
+    for share in (0.3, 0.75, 0.95):
+        estimates = []
+        for _ in range(60):
+            n = 3000
+            shared = int(n * 2 * share / (1 + share))
+            pool = rng.integers(0, 1 << 63, 2 * n - shared, dtype=np.uint64) * np.uint64(2)
+            one, other = np.sort(pool[:n]), np.sort(pool[n - shared :])
+            size = np.array([n])
+            a, b = minhash.registers(one), minhash.registers(other)
+            estimates.append(minhash.similarity(a[None], b[None], size, size)[0][0])
+        assert abs(np.mean(estimates) - share) < 0.02
+
+
+def test_words_across_pieces(monkeypatch):
+    texts = [b"ab CD\tef", b"", b"x" * 9000, b"ab cd ef " * 400]
+    whole = common.word_hashes(texts)
+    monkeypatch.setattr(common, "PIECE", 64)
+    for one, other in zip(whole, common.word_hashes(texts), strict=True):
+        assert (one == other).all()
+    assert len(whole[0]) == 3 + 1 + 1200 and len(set(whole[1].tolist())) == 4
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(bpe.vocabulary_path())
+
+
+ODD = [
+    "", " ", "aaaaaaaaaaaaaaa", "abababab", "Σίσυφος ΑΣ", "İstanbul İ,", "éa̸!", "it's I'LL 'd",
+    "a\x1c!b \x85 \xa0", "<|endoftext|>x<|startoftext|>", "<|endoftext|", "中文日本 😀👍🏽 가", "½²٣ 12345", "the.,the. the",
+]
+
+
+def test_encoding_is_the_librarys(library, given):
+    coder = bpe.load(bpe.vocabulary_path())
+    memory = bpe.Memory(coder.encode_chunks, len(coder.tokens))
+    other = tokenfiles.library_memory(bpe.vocabulary_path())
+    texts = ODD + given("documents").text.tolist()[:150]
+    for text, ids, same in zip(texts, memory.encode(iter(texts)), other.encode(iter(texts)), strict=True):
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == wanted == same.tolist()
+        assert coder.decode(ids).decode() == library.decode(wanted, skip_special_tokens=False)
+
+
+def test_forgetting_chunks_changes_nothing(library):
+    coder = bpe.load(bpe.vocabulary_path())
+    memory = bpe.Memory(coder.encode_chunks, len(coder.tokens), most=3)
+    texts = [t for t in ODD for _ in range(2)]
+    for text, ids in zip(texts, memory.encode(iter(texts)), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_encoding_query(spark, sf, given, library):
+    rows = {r.doc_id: r for r in QUERIES["op3_bpe"](spark, sf).collect()}
+    docs = given("documents")
+    assert len(rows) == len(docs)
+    for i, text in list(zip(docs.doc_id, docs.text, strict=True))[::7]:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert rows[i].n_tokens == len(ids)
+        assert rows[i].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert rows[i].decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_encoding_of_odd_rows(odd_docs, no_docs, library):
+    rows = bpe.encode_documents(odd_docs).collect()
+    wanted = [library.encode(r.text or "", add_special_tokens=False).ids for r in odd_docs.collect()]
+    assert sorted(r.ids for r in rows) == sorted(wanted)
+    assert bpe.encode_documents(no_docs).count() == 0
+
+
+def test_token_files_query(spark, sf, given, library):
+    rows = {r.doc_id: r for r in QUERIES["op4_token_files"](spark, sf).collect()}
+    docs, start = given("documents").sort_values("doc_id"), 0
+    assert len(rows) == len(docs)
+    for i, text in zip(docs.doc_id, docs.text, strict=True):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        assert tuple(rows[i])[1:] == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+def test_keyed_reads(spark, odd_docs, no_docs, library, tmp_path):
+    shards = tokenfiles.Shards(str(tmp_path), tokenfiles.write_shards(odd_docs, str(tmp_path)))
+    found = shards.lookup([4, 5, 1, 77])
+    assert [len(f) for f in found] == [1, 2, 1, 0]
+    text = "one two three four five six seven eight nine ten"
+    assert found[0][0].tolist() == [*library.encode(text).ids, 2] and found[2][0].tolist() == [2]
+    rows = shards.documents(spark).collect()
+    assert sorted(r.start for r in rows)[0] == 0 and len(rows) == odd_docs.count()
+    assert {r.start + r.n_tokens for r in rows} >= {r.start for r in rows} - {0}
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r.start)][:2] == [None, None]
+    assert tokenfiles.token_files(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 1000])
+def test_perfect_hash(n):
+    keys = np.unique(np.random.default_rng(n).integers(-(1 << 62), 1 << 62, n))
+    shifts, slots = tokenfiles.perfect_hash(keys)
+    assert sorted(slots) == list(range(len(keys)))
+    index = tokenfiles.Index.build(keys.tolist(), [2] * len(keys), 2)
+    again = tokenfiles.Index.from_bytes(index.to_bytes())
+    assert (again.find(keys) == np.arange(len(keys))).all()
+    assert (again.find(keys + 1) == -1).sum() >= len(keys) - 1
+
+
+def test_mixing_against_sql(spark, sf, odd_docs, no_docs):
+    for rows in (spark.read.parquet(f"{sf}/documents.parquet"), odd_docs, no_docs):
+        documents = rows.select("doc_id", "source", "text").toPandas()  # noqa: F841
+        documents["doc_id"] = documents.doc_id.astype("Int64")
+        wanted = duckdb.sql(ORACLE_SQL["op10_mixing"]).fetchall() if len(documents) else []
+        mixed = mixing.mix_sources(rows)
+        found = [
+            (r.doc_id, r.size, r.source_size, r.target, r.taken) for r in mixed.collect() for _ in range(r.n)
+        ]
+        assert sorted(map(str, found)) == sorted(map(str, wanted))
+
+
+def test_mix_meets_its_targets(spark, sf):
+    mixed = mixing.mix_sources(spark.read.parquet(f"{sf}/documents.parquet"))
+    rows = mixed.toPandas()
+    assert (rows.taken <= 2 * rows["size"]).all()
+    total = rows.groupby("source").agg(t=("target", "first"), taken=("taken", "sum"), s=("source_size", "first"), most=("size", "max"))
+    assert ((total.taken - total.t).abs() <= total.most / 2).all()
+    assert math.isclose(total.t.sum(), 1.5 * total.s.sum())
+    assert rows.sort_values(["doc_id"]).taken.tolist() == mixed.toPandas().sort_values("doc_id").taken.tolist()
+
+
+def test_mixed_documents_are_copies(odd_docs, no_docs):
+    taken = {(r.source, r.doc_id, r["size"]): r.copies for r in mixing.mix_sources(odd_docs).collect()}
+    rows = mixing.mixed_documents(odd_docs)
+    assert rows.columns == odd_docs.columns
+    counts = collections.Counter((r.source, r.doc_id, len(words(r.text))) for r in rows.collect())
+    rows_of = collections.Counter((r.source, r.doc_id, len(words(r.text))) for r in odd_docs.collect())
+    assert all(counts[k] == n * rows_of[k] for k, n in taken.items())
+    assert mixing.mixed_documents(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_lm_scores_against_counting(spark, order, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "BLOCK_BYTES", 400)
+    rng = np.random.default_rng(order)
+    texts = [" ".join(rng.choice(["The", "a", "b,", "c", "dd"], rng.integers(0, 40))) for _ in range(60)]
+    texts += ["rare words here", None, "", "a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in ngram_lm.scores(docs, order).collect()}
+    of = [words(t) for t in texts]
+    grams = lambda w, n: collections.Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+    counts = [sum((grams(w, n) for w in of), collections.Counter()) for n in range(1, order + 1)]
+    everything = sum(map(len, of))
+    for i, w in enumerate(of):
+        own = [grams(w, n) for n in range(1, order + 1)]
+        left = lambda g: counts[len(g) - 1][g] - own[len(g) - 1][g]  # noqa: E731, B023
+        n = max(everything - len(w), 1)
+
+        def score(context, word):
+            if not context:
+                return (left((word,)) or 0.4) / n  # noqa: B023
+            if c := left((*context, word)):  # noqa: B023
+                return c / left(context)  # noqa: B023
+            return 0.4 * score(context[1:], word)
+
+        total = sum(math.log(score(tuple(w[max(0, k - order + 1) : k]), x)) for k, x in enumerate(w))
+        assert rows[i].n_words == len(w)
+        assert rows[i].log_score is None if not w else math.isclose(rows[i].log_score, total, rel_tol=1e-9)
+
+
+def test_lm_scores_of_odd_rows(spark, odd_docs, no_docs):
+    rows = ngram_lm.scores(odd_docs).collect()
+    assert len(rows) == odd_docs.count() and sum(r.log_score is None for r in rows) == 4
+    assert ngram_lm.scores(no_docs).count() == 0
+    alone = ngram_lm.scores(spark.createDataFrame([(1, "a b")], "doc_id long, text string")).first()
+    assert math.isclose(alone.log_score, math.log(0.4) + math.log(0.16))
+
+
+def test_packed_hashes_round_trip():
+    hashes = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 999).astype(np.uint64) * np.uint64(2))
+    assert (ngram_lm.unpack(ngram_lm.pack(hashes)) == hashes).all()
+
+
+def test_toxicity_learns_pairs(spark):
+    """Neither of two terms is toxic alone; together they are."""
+    rng = np.random.default_rng(4)
+    filler = [f"f{i}" for i in range(30)]
+    rows, labels = [], []
+    for i in range(3000):
+        a, b = rng.random(2) < 0.5
+        w = list(rng.choice(filler, 20)) + ["insult"] * int(a) + ["group"] * int(b)
+        rows.append((i, " ".join(rng.permutation(w))))
+        labels.append((i, int(a and b)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    machine = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    scored = {r.doc_id: r for r in toxicity.score(docs, machine).collect()}
+    held = [i for i in scored if scored[i].held_out]
+    assert 400 < len(held) < 800
+    assert np.mean([scored[i].predicted == labels[i][1] for i in held]) > 0.98
+
+
+def test_toxicity_query(spark, sf):
+    rows = QUERIES["op1_toxicity"](spark, sf).collect()
+    assert len(rows) == 1000 and all(0 <= r.score <= 1 for r in rows)
+    assert all(r.predicted == (r.score >= 0.5) for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    known = [r for r in rows if r.held_out and labels.get(r.doc_id) is not None]
+    assert np.mean([r.predicted == labels[r.doc_id] for r in known]) > 0.9
+
+
+def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(4, 1), (6, 0), (7, None), (None, 1), (8, 7)], "doc_id long, toxic int")
+    for some in (labels, labels.where("false"), labels.where("toxic = 1")):
+        machine = toxicity.train(odd_docs, some)
+        assert toxicity.score(odd_docs, machine).count() == odd_docs.count()
+        assert toxicity.score(no_docs, machine).count() == 0
+        assert toxicity.without_toxic(odd_docs, machine).columns == odd_docs.columns
+    assert toxicity.train(odd_docs, labels.where("false")).bias == -500
