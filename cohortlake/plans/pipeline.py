@@ -6,6 +6,9 @@ are computed from the written table, of which only the needed columns are read.
 
 from __future__ import annotations
 
+import itertools
+import posixpath
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
@@ -139,14 +142,25 @@ class PipelineResult:
     metrics: dict[str, object]
 
 
-def check_paths(config: PipelineConfig) -> None:
+def located(spark: SparkSession, path: str) -> tuple[str, str]:
+    """The store and the absolute folder of a path as Hadoop sees it, with ``..`` and double slashes
+    resolved; of a pattern, the folder that all its matches are in."""
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = made.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = system.makeQualified(made).toUri()
+    parts = posixpath.normpath(uri.getPath()).split("/")
+    fixed = itertools.takewhile(lambda part: not set("*?[{") & set(part), parts)
+    scheme = re.sub("^s3[an]$", "s3", uri.getScheme() or "")
+    return f"{scheme}://{uri.getAuthority() or ''}", "/".join(fixed).rstrip("/") + "/"
+
+
+def check_paths(spark: SparkSession, config: PipelineConfig) -> None:
     """No path may equal or contain another one: an overwrite would destroy it."""
-    plain = [
-        p.removeprefix("file://").removeprefix("file:").rstrip("/") + "/" for p in config.paths()
-    ]
-    for i, one in enumerate(plain):
-        for other in plain[i + 1 :]:
-            if one.startswith(other) or other.startswith(one):
+    found = [(path, *located(spark, path)) for path in config.paths()]
+    for i, (one, store, folder) in enumerate(found):
+        for other, other_store, other_folder in found[i + 1 :]:
+            near = folder.startswith(other_folder) or other_folder.startswith(folder)
+            if store == other_store and near:
                 raise ValueError(f"paths overlap: {one} and {other}")
 
 
@@ -255,7 +269,7 @@ def run_summary(
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
     """Run it all. Nothing is overwritten before the input has proved to hold valid records."""
-    check_paths(config)
+    check_paths(spark, config)
     contract = config.contract
     raw = read_raw(
         spark, config.input_path, contract, config.multi_line, **dict(config.read_options)
@@ -291,8 +305,10 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
         max_records_per_file=config.max_records_per_file,
         format=config.output_format,
     )
+    # line breaks in fields come out as they came in
+    lines = {"multiLine": "true"} if config.multi_line and config.output_format == "csv" else {}
     records = read_partitioned(
-        spark, config.output_path, transformed.schema, format=config.output_format
+        spark, config.output_path, transformed.schema, format=config.output_format, **lines
     )
     written = records.count()
     if written != metrics["valid_records"]:

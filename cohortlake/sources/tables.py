@@ -19,13 +19,14 @@ def read_partitioned(
     schema: T.StructType,
     where: Mapping[str, object] | None = None,
     format: str = "parquet",
+    **options: str,
 ) -> DataFrame:
     """A written table under its own schema, restricted to the given column values.
 
     The schema keeps partition values in their type: a drug named ``2023`` stays text. A
     restriction on a partition column skips the folders of all other values.
     """
-    reader = spark.read.schema(schema).format(format).options(**options_of(format))
+    reader = spark.read.schema(schema).format(format).options(**options_of(format), **options)
     df = _loaded(reader, path)
     for name, value in (where or {}).items():
         df = df.where(column(name) == F.lit(value))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 import statistics
 from pathlib import Path
 
@@ -190,15 +191,21 @@ def test_missing_input(spark, tmp_path):
         ("/d/in/x.csv", "/d/in", "/d/stats"),
         ("file:///d/in", "/d/in/out", "/d/stats"),
         (["/d/one", "/d/two"], "/d/two", "/d/stats"),
+        ("/d/lake/*/part.csv", "/d/lake/raw", "/d/stats"),
+        ("/d/in", "/d//in/x", "/d/stats"),
+        ("/d/in", "/d/other/../in", "/d/stats"),
+        ("in", f"{os.getcwd()}/in/out", "/d/stats"),
+        ("/d/in/2024-{01,02}/", "/d/in/2023", "/d/stats"),
     ],
 )
-def test_overlapping_paths(paths):
+def test_overlapping_paths(spark, paths):
     with pytest.raises(ValueError, match="overlap"):
-        pl.check_paths(pl.PipelineConfig(*paths))
+        pl.check_paths(spark, pl.PipelineConfig(*paths))
 
 
-def test_paths_with_a_common_start_do_not_overlap():
-    pl.check_paths(pl.PipelineConfig("/d/in", "/d/in2", "/d/in3"))
+def test_paths_with_a_common_start_do_not_overlap(spark):
+    pl.check_paths(spark, pl.PipelineConfig("/d/in", "/d/in2", "/d/in3"))
+    pl.check_paths(spark, pl.PipelineConfig("/d/in/*.csv", "/d/in2", "/d/in3"))
 
 
 def test_changed_input_is_noticed(spark, config, monkeypatch):

@@ -130,6 +130,18 @@ def test_csv_has_fixed_order_and_doubled_quotes(spark, tmp_path):
     assert tuple(read_text_columns(spark, path).first()) == ("1", 'say "a, b"', None)
 
 
+def test_csv_keeps_every_field(spark, tmp_path):
+    """Blanks at the ends, blanks only, quotes, separators and line breaks, and microseconds."""
+    rows = [("T1 ", "2024-01-02 03:04:05.123456"), (" T1", None), ("  ", None), ('a "b", c\nd', None)]
+    df = spark.createDataFrame(rows, "trial string, at string").selectExpr(
+        "trial", "CAST(at AS timestamp) AS at"
+    )
+    path = str(tmp_path / "out")
+    write_table(df, path, "csv")
+    back = read_partitioned(spark, path, df.schema, format="csv", multiLine="true")
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
 def test_overwrite_of_a_table(spark, tmp_path):
     path = str(tmp_path / "out")
     write_table(spark.range(5), path)
