@@ -10,6 +10,11 @@ from cohortlake.contract import Contract
 
 FLOATING = (T.DoubleType, T.FloatType)
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
+FLOATING_NUMBER = (
+    r"^[\x00-\x20]*[-+]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?[dDfF]?"
+    r"|0[xX][0-9a-fA-F]*\.?[0-9a-fA-F]*[pP][-+]?[0-9]+[dDfF]?"
+    r"|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN])[\x00-\x20]*$"
+)
 WHOLE_NUMBER = r"^[\x00-\x20\x7f]*[+-]?\d+[\x00-\x20\x7f]*\z"
 
 
@@ -67,6 +72,8 @@ def _parsed(source: T.StructField, target: T.StructField, contract: Contract) ->
         return date_of(c, contract.date_format)
     if isinstance(target.dataType, T.IntegralType):
         c = F.when(c.rlike(WHOLE_NUMBER), c)
+    if isinstance(target.dataType, FLOATING):
+        c = F.when(c.rlike(FLOATING_NUMBER), c)
     return c.try_cast(target.dataType)
 
 

@@ -4,8 +4,10 @@ import datetime as dt
 import math
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlake.functions.columns import FLOATING_NUMBER
 from cohortlake.contract import RECORDS, Contract, ContractError
 from cohortlake.operators import (
     apply_contract,
@@ -186,3 +188,15 @@ def test_names_with_dots(spark):
 
 def test_default_contract():
     assert RECORDS.key == "patient_id" and len(RECORDS.names) == 10
+
+
+def test_the_pattern_of_numbers_lets_all_through_that_parse(spark):
+    signs, blanks = ["", "+", "-"], ["", " ", "\t", "\n"]
+    cores = ["1", "1.", ".5", "1.5", "1e5", "1E-5", "1.e+5", "1d", "1.5F", "0x1p3", "0X1.8P-1d", "inf", "Infinity",
+             "iNf", "nan", "NaN", "", ".", "e5", "1e", "0x1", "forty", "1,5", "1 5", "--1", "infinit", "1e400"]
+    texts = [f"{b}{s}{c}{e}" for b in blanks for s in signs for c in cores for e in blanks]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    parses, passes = F.col("x").try_cast("double").isNotNull(), F.col("x").rlike(FLOATING_NUMBER)
+    assert df.where(parses & ~passes).count() == 0
+    assert df.where(parses).count() > 500
+    assert df.where("x IN ('forty', '1,5', '--1')").where(passes).count() == 0
