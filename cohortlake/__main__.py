@@ -6,6 +6,7 @@ On a cluster, submit this file with ``spark-submit --py-files``; the session's o
 from __future__ import annotations
 
 import argparse
+import dataclasses
 
 from pyspark.sql import SparkSession
 
@@ -33,13 +34,22 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--null-keys", choices=("keep", "drop"), default="keep")
     p.add_argument("--layout", choices=("direct", "rebalance"), default="direct")
     p.add_argument("--format", choices=("parquet", "orc", "csv"), default="parquet")
+    p.add_argument("--work", help="folder of staged tables")
+    p.add_argument("--trim", action="store_true", help="a field of blanks counts as missing")
+    p.add_argument("--multi-line", action="store_true", help="fields may hold line breaks")
+    p.add_argument("--null-value", action="append", help="text that stands for null; repeatable")
+    p.add_argument("--processed-at", help="load time, now by default")
+    p.add_argument("--error", type=float, default=0.0025, help="rank error of --median approx")
+    p.add_argument("--max-records-per-file", type=int)
     return p
 
 
-def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
-    args = parser().parse_args(argv)
+def config_of(args: argparse.Namespace) -> pl.PipelineConfig:
     dated = {"run_date": args.run_date} if args.run_date else {}
-    config = pl.PipelineConfig(
+    contract = pl.PipelineConfig.contract
+    if args.null_value:
+        contract = dataclasses.replace(contract, null_values=tuple(args.null_value))
+    return pl.PipelineConfig(
         input_path=args.input,
         output_path=args.output,
         stats_path=args.stats,
@@ -53,8 +63,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         layout=args.layout,
         output_format=args.format,
         stats_format=args.format,
+        work_path=args.work,
+        contract=contract,
+        trim=args.trim,
+        multi_line=args.multi_line,
+        processed_at=args.processed_at,
+        median_error=args.error,
+        max_records_per_file=args.max_records_per_file,
         **dated,
     )
+
+
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
+    config = config_of(parser().parse_args(argv))
     session = spark or SparkSession.builder.appName("cohortlake").getOrCreate()
     result = pl.run_pipeline(session, config)
     result.summary.show(truncate=False)

@@ -142,6 +142,28 @@ def test_command_line(spark, config, tmp_path):
     assert labels["P1"] == "low"
 
 
+@pytest.mark.parametrize(
+    "option, field, value",
+    [
+        (["--work", "/w"], "work_path", "/w"),
+        (["--trim"], "trim", True),
+        (["--multi-line"], "multi_line", True),
+        (["--processed-at", "2024-01-02 03:04:05"], "processed_at", "2024-01-02 03:04:05"),
+        (["--error", "0.01"], "median_error", 0.01),
+        (["--max-records-per-file", "7"], "max_records_per_file", 7),
+    ],
+)
+def test_command_line_options(option, field, value):
+    from cohortlake import __main__ as command
+
+    plain = command.config_of(command.parser().parse_args(["in", "out", "stats"]))
+    made = command.config_of(command.parser().parse_args(["in", "out", "stats", *option]))
+    assert getattr(made, field) == value != getattr(plain, field)
+    null = ["--null-value", "NA", "--null-value", "-"]
+    made = command.config_of(command.parser().parse_args(["in", "out", "stats", *null]))
+    assert tuple(made.contract.null_values) == ("NA", "-")
+
+
 def test_rejected_and_validated_rows_can_be_kept(spark, config, tmp_path):
     valid, invalid = str(tmp_path / "valid"), str(tmp_path / "invalid")
     pl.run_pipeline(spark, config(validated_path=valid, invalid_path=invalid))
