@@ -181,11 +181,11 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @records_query(
     """
     SELECT patient_id, drug, CASE WHEN drug = 'A' THEN age + 1 ELSE age END AS age
-    FROM records WHERE drug IS NOT NULL
+    FROM records
     """
 )
 def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = trial_records(spark, sf_dir, "patient_id", "drug", "age").where("drug IS NOT NULL")
+    df = trial_records(spark, sf_dir, "patient_id", "drug", "age")
     path = scratch_dir(spark)
     sinks.write_partitioned(df, path, "drug")
     later = df.where("drug = 'A'").withColumn("age", F.col("age") + 1)
