@@ -32,7 +32,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--digits", default="2", help="places the median is rounded to, or 'none'")
     p.add_argument("--ranges", choices=sorted(RANGES), default="left")
     p.add_argument("--null-keys", choices=("keep", "drop"), default="keep")
-    p.add_argument("--layout", choices=("direct", "rebalance"), default="direct")
+    p.add_argument("--layout", choices=("direct", "rebalance"), default="rebalance")
     p.add_argument("--format", choices=("parquet", "orc", "csv"), default="parquet")
     p.add_argument("--work", help="folder of staged tables")
     p.add_argument("--trim", action="store_true", help="a field of blanks counts as missing")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.functions.columns import column, no_nan
-from cohortlake.scratch import staged
+from cohortlake.scratch import staged, temporary
 
 # Buckets per doubling of the value, then buckets of a linear split: few, so that map tasks combine
 # the values of a narrow range as well.
@@ -118,12 +118,16 @@ def sketch(v: Column, error: float) -> Column:
     return F.kll_sketch_agg_double(v, F.lit(sketch_size(error))).alias("sketch")
 
 
+def sketch_middle(sketches: str) -> Column:
+    """An aggregate: the median from a column of sketches; null for no values."""
+    merged = F.kll_merge_agg_double(sketches)
+    some = F.kll_sketch_get_n_double(merged) > 0
+    return F.when(some, F.kll_sketch_get_quantile_double(merged, F.lit(0.5)))
+
+
 def sketch_median(parts: DataFrame) -> float | None:
     """The median from the ``sketch`` of every merge group; None for no values."""
-    merged = F.kll_merge_agg_double("sketch")
-    some = F.kll_sketch_get_n_double(merged) > 0
-    middle = F.when(some, F.kll_sketch_get_quantile_double(merged, F.lit(0.5)))
-    return parts.agg(middle.alias("median")).first()["median"]
+    return parts.agg(sketch_middle("sketch").alias("median")).first()["median"]
 
 
 def median(
@@ -137,14 +141,17 @@ def median(
     """The median of a numeric column; null and NaN are left out, None if nothing is left.
 
     ``exact`` interpolates between the two middle values and is reproducible. It reads ``df``
-    once to stage the column under ``work_path``, or else under ``spark.checkpoint.dir``; with
-    ``reread`` it stages nothing and reads ``df`` on every pass, which is better for a plain
+    once to stage the column under ``work_path``, or else under ``spark.checkpoint.dir``, until the
+    median is found; with ``reread`` it stages nothing and reads ``df`` on every pass, which is better for a plain
     columnar table. ``approx`` reads ``df`` once and returns a value whose rank is off by no more
     than ``error`` of the rows.
     """
     values = df.select(no_nan(column(col)).alias("v")).where(F.col("v").isNotNull())
     if method == "exact":
-        return exact_median(values if reread else staged(values, work_path))
+        if reread:
+            return exact_median(values)
+        with temporary(df.sparkSession, work_path) as folder:
+            return exact_median(staged(values, folder))
     if method == "approx":
         return sketch_median(values.groupBy(merge_group()).agg(sketch(F.col("v"), error)))
     raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")

@@ -12,6 +12,7 @@ from cohortlake.functions.columns import column, no_nan
 # Grouping keys, names of the measures, and the status that is counted.
 COHORT_KEYS = ("trial_id", "drug")
 ADVERSE_STATUS = "adverse_event"
+NULL_KEYS = ("keep", "drop")
 
 
 def record_measures() -> dict[str, Column]:
@@ -38,7 +39,7 @@ def cohort_stats(
     both times counting in the map tasks before the shuffle, so one group holding a third of
     the rows is spread over many tasks.
     """
-    if null_keys not in ("keep", "drop"):
+    if null_keys not in NULL_KEYS:
         raise ValueError(f"null_keys must be 'keep' or 'drop', not {null_keys!r}")
     if null_keys == "drop":
         df = df.dropna(subset=list(keys))

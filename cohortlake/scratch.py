@@ -1,8 +1,10 @@
-"""Where staged tables go."""
+"""Where staged tables go, and how finished ones get to their place."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +30,50 @@ def staged(df: DataFrame, base: str | None = None) -> DataFrame:
     path = scratch_dir(spark, base)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _located(spark: SparkSession, path: str):
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return made.getFileSystem(spark._jsc.hadoopConfiguration()), made
+
+
+@contextmanager
+def temporary(spark: SparkSession, base: str | None = None) -> Iterator[str]:
+    """A new folder for staged tables, which is removed at the end of the block: nothing that is
+    read later may depend on it."""
+    path = scratch_dir(spark, base)
+    try:
+        yield path
+    finally:
+        discard(spark, path)
+
+
+def beside(path: str) -> str:
+    """A new folder name next to a folder, so that ``publish`` can rename one into the other."""
+    return f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that was made by this run, if it is there."""
+    system, made = _located(spark, path)
+    system.delete(made, True)
+
+
+def publish(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of the one at ``path``, by renaming.
+
+    The old folder goes aside first and is removed last; if the new one can't be moved in, the old
+    one goes back. On file systems a rename is one step; object stores copy the files.
+    """
+    system, finished = _located(spark, new)
+    _, place = _located(spark, path)
+    aside = _located(spark, beside(path))[1]
+    replaced = system.exists(place)
+    if replaced and not system.rename(place, aside):
+        raise OSError(f"can't move {path} aside")
+    if not system.rename(finished, place):
+        if replaced:
+            system.rename(aside, place)
+        raise OSError(f"can't move {new} to {path}")
+    if replaced:
+        system.delete(aside, True)

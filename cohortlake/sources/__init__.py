@@ -1,8 +1,16 @@
-from cohortlake.sources.records import read_raw, read_records, read_text_columns
+from cohortlake.sources.records import (
+    files_by_header,
+    read_frames,
+    read_raw,
+    read_records,
+    read_text_columns,
+)
 from cohortlake.sources.tables import output_inventory, read_partitioned
 
 __all__ = [
+    "files_by_header",
     "output_inventory",
+    "read_frames",
     "read_partitioned",
     "read_raw",
     "read_records",

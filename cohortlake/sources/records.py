@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortlake.contract import Contract, EmptyInputError
 from cohortlake.formats import CSV_OPTIONS
 from cohortlake.functions.columns import column
 from cohortlake.operators.quality import apply_contract, check_columns
 
+#: Options that say which files are read and how lines end.
+LISTING = ("pathglobfilter", "recursivefilelookup", "modifiedbefore", "modifiedafter", "linesep")
+#: Every file is one task of the pass over the headers, which ends after the first lines.
+ONE_FILE_A_TASK = {
+    "spark.sql.files.maxPartitionBytes": 1 << 40,
+    "spark.sql.files.openCostInBytes": 1 << 40,
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 16,
+}
+
 
 def _loaded(reader, path: str | list[str]) -> DataFrame:
     try:
@@ -20,16 +35,68 @@ def _loaded(reader, path: str | list[str]) -> DataFrame:
         raise
 
 
-def read_text_columns(
+def _first_lines(text: DataFrame, whole: bool) -> DataFrame:
+    """(file, line): the first line that isn't blank. Unless ``whole``, a task stops after the
+    first one it finds, whatever files it has left."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["start"] == 0 and row["file"] != seen and row["line"].strip():
+                    seen = row["file"]
+                    yield pa.RecordBatch.from_pylist([{"file": seen, "line": row["line"]}])
+                    if not whole:
+                        return
+
+    return text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.col("value").alias("line"),
+    ).mapInArrow(first, "file string, line string")
+
+
+def files_by_header(
+    spark: SparkSession, path: str | list[str], **options: str
+) -> dict[str, list[str]]:
+    """The files of each distinct header line; empty if all files have the same one.
+
+    The tasks read the first lines of a file each. Names of files come to the driver, which lists
+    them anyway, and only if headers differ.
+    """
+    session = spark.newSession()
+    for name, value in ONE_FILE_A_TASK.items():
+        session.conf.set(name, value)
+    wanted = {k: v for k, v in options.items() if k.lower() in LISTING}
+    text = _loaded(session.read.format("text").options(**wanted), path)
+    files = {unquote(f) for f in text.inputFiles()}
+    if len(files) < 2:
+        return {}
+    heads = _first_lines(text, whole=False)
+    found = heads.agg(F.count("*"), F.min("line"), F.max("line")).first()
+    if found[0] == len(files) and found[1] == found[2]:
+        return {}
+    lines = {unquote(file): line for file, line in heads.collect()}
+    # files without a line, and any that shared a task with another
+    rest = sorted(files - lines.keys())
+    if rest:
+        others = session.read.format("text").options(**wanted).load(rest)
+        lines |= {unquote(file): line for file, line in _first_lines(others, whole=True).collect()}
+    groups: dict[str, list[str]] = {}
+    for file in sorted(lines):
+        groups.setdefault(lines[file], []).append(file)
+    return groups if len(groups) > 1 else {}
+
+
+def read_frames(
     spark: SparkSession, path: str | list[str], multi_line: bool = False, **options: str
-) -> DataFrame:
-    """All columns of CSV files with a header line, as text.
+) -> list[DataFrame]:
+    """CSV files with a header line, all columns as text: one frame per distinct header.
 
-    No type inference, so nothing but the first file's header is read up front. Every file's own
-    header is compared with that one (``enforceSchema`` off): files whose columns stand in
-    another order fail instead of being read into the wrong columns. Quotes inside quoted fields
-    are doubled. ``multi_line`` allows line breaks in quoted fields, but then a file cannot be
-    split over tasks.
+    Columns keep their names whatever order a file has them in. Spark compares every file's
+    header with that of its frame (``enforceSchema`` off), so that no value can get into another
+    column. No type inference. Quotes inside quoted fields are doubled. ``multi_line`` allows line
+    breaks in quoted fields, but then a file cannot be split over tasks.
     """
     reader = (
         spark.read.format("csv")
@@ -37,10 +104,32 @@ def read_text_columns(
         .option("enforceSchema", False)
         .option("multiLine", multi_line)
     )
-    df = _loaded(reader, path)
-    if not df.columns:
+    groups = files_by_header(spark, path, **options)
+    if not groups:
+        frames = [_loaded(reader, path)]
+    else:
+        if isinstance(path, str) and not set("*?[{") & set(path):
+            reader = reader.option("basePath", path)
+        frames = [_loaded(reader, files) for files in groups.values()]
+    if not all(frame.columns for frame in frames):
         raise EmptyInputError(f"no header and no records in {path}")
-    return df
+    return frames
+
+
+def read_text_columns(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, **options: str
+) -> DataFrame:
+    """All columns of all files by name, as text; null where a file lacks a column."""
+    frames = read_frames(spark, path, multi_line, **options)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def raw_records(frames: list[DataFrame], contract: Contract) -> DataFrame:
+    """The contract's columns of all frames, as text; raises if a frame lacks one."""
+    for frame in frames:
+        check_columns(frame, contract)
+    names = [column(name) for name in contract.names]
+    return reduce(DataFrame.unionAll, [frame.select(*names) for frame in frames])
 
 
 def read_raw(
@@ -50,10 +139,8 @@ def read_raw(
     multi_line: bool = False,
     **options: str,
 ) -> DataFrame:
-    """The contract's columns by name, as text; raises if one is absent."""
-    df = read_text_columns(spark, path, multi_line, **options)
-    check_columns(df, contract)
-    return df.select(*[column(name) for name in contract.names])
+    """The contract's columns by name, as text; raises if a file lacks one."""
+    return raw_records(read_frames(spark, path, multi_line, **options), contract)
 
 
 def read_records(

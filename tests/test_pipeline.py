@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import json
 import os
@@ -93,9 +94,26 @@ def test_stats_and_summary(spark, config, tmp_path):
         "status": "SUCCESS",
         "imputed_records": 1,
         "median": 20.0,
+        "extra_columns": [],
+        "output_files": 2,
     }
 
 
+def test_a_failed_run_says_so(spark, config, tmp_path):
+    pl.run_pipeline(spark, config())
+    bad = config(HEADER + ",more\n" + LINES[4] + ",x\n", summary_path=str(tmp_path / "summary"))
+    with pytest.raises(EmptyInputError):
+        pl.run_pipeline(spark, bad)
+    summary = json.loads(next((tmp_path / "summary").glob("*.json")).read_text())
+    assert summary["status"] == "FAILED" and "no valid records" in summary["error"]
+    assert summary["total_records_ingested"] == 1 and summary["extra_columns"] == ["more"]
+    gone = dataclasses.replace(bad, input_path=str(tmp_path / "gone"))
+    with pytest.raises(FileNotFoundError):
+        pl.run_pipeline(spark, gone)
+    summary = json.loads(next((tmp_path / "summary").glob("*.json")).read_text())
+    assert summary["status"] == "FAILED" and "valid_records" not in summary
+
+
 def test_output_is_partitioned(spark, config, tmp_path):
     pl.run_pipeline(spark, config())
     assert sorted(p.name for p in (tmp_path / "records").glob("drug=*")) == ["drug=A", "drug=B"]
@@ -231,12 +249,17 @@ def test_paths_with_a_common_start_do_not_overlap(spark):
 
 
 def test_changed_input_is_noticed(spark, config, monkeypatch):
+    pl.run_pipeline(spark, config())
     metrics = pl.source_metrics
     monkeypatch.setattr(
         pl, "source_metrics", lambda *a: {**metrics(*a), "valid_records": 5}
     )
+    changed = config(f"{HEADER}\n" + "\n".join(LINES).replace("P4", "P9") + "\n")
     with pytest.raises(RuntimeError, match="4 records written, 5 valid ones read"):
-        pl.run_pipeline(spark, config())
+        pl.run_pipeline(spark, changed)
+    kept = {r.patient_id for r in spark.read.parquet(changed.output_path).collect()}
+    assert kept == {"P1", "P2", "P3", "P4"}
+    assert spark.read.parquet(changed.stats_path).agg(F.sum("patient_count")).first()[0] == 4
 
 
 @pytest.mark.parametrize("layout", ["direct", "rebalance"])
@@ -271,17 +294,28 @@ def test_shape_of_the_statistics(spark):
     assert sum(r.adverse_events for r in rows) == events
 
 
-def test_source_is_read_twice(spark, tmp_path, monkeypatch):
-    """Once for the metrics and once for the write, apart from the header."""
+@pytest.mark.parametrize("method", ["exact", "approx"])
+@pytest.mark.parametrize("format", ["parquet", "csv"])
+def test_source_is_read_twice(spark, tmp_path, monkeypatch, method, format):
+    """Once for the metrics and once for the write, apart from the header, with all outputs."""
     source = str(tmp_path / "in")
     write_table(as_text(trial_records(spark, SF_DIR)), source, "csv")
     reads = spark.sparkContext.accumulator(0)
     rows = read_text_columns(spark, source).count()
-    config = pl.PipelineConfig(source, str(tmp_path / "records"), str(tmp_path / "stats"))
-    original = pl.read_raw
+    config = pl.PipelineConfig(
+        source,
+        str(tmp_path / "records"),
+        str(tmp_path / "stats"),
+        validated_path=str(tmp_path / "valid"),
+        invalid_path=str(tmp_path / "invalid"),
+        work_path=str(tmp_path / "work"),
+        median_method=method,
+        output_format=format,
+    )
+    original = pl.raw_records
 
-    def counted(*args, **kwargs):
-        df = original(*args, **kwargs)
+    def counted(*args):
+        df = original(*args)
 
         def pass_on(batches):
             for batch in batches:
@@ -290,8 +324,11 @@ def test_source_is_read_twice(spark, tmp_path, monkeypatch):
 
         return df.mapInArrow(pass_on, df.schema)
 
-    monkeypatch.setattr(pl, "read_raw", counted)
+    monkeypatch.setattr(pl, "raw_records", counted)
     pl.run_pipeline(spark, config)
+    left = {p.name for p in tmp_path.iterdir()} - {"work"}
+    assert left == {"in", "records", "stats", "valid", "invalid"}
+    assert not list((tmp_path / "work").glob("*"))
     assert rows > 1000
     assert reads.value == 2 * rows
 

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from cohortlake.contract import RECORDS, Contract, ContractError, EmptyInputError
 from cohortlake.operators import record_count
-from cohortlake.sources import read_raw, read_records, read_text_columns
+from cohortlake.sources import files_by_header, read_raw, read_records, read_text_columns, records
 
 HEADER = ",".join(RECORDS.names)
 ROW = "P1,T1,A,S,10.5,40,70,2023-01-05,active,55.25"
@@ -99,12 +99,39 @@ def test_many_files(spark, write, tmp_path):
     assert sorted(read(spark, both)) == [("P1", 40), ("P2", 41)]
 
 
-@pytest.mark.parametrize("other", ["age,id\n41,P2\n", "id,more,age\nP2,x,41\n"])
-def test_files_with_other_column_order_fail(spark, write, tmp_path, other):
-    write("id,age\nP1,40\n", "mixed/1.csv")
+@pytest.mark.parametrize("other", ["age,id\n41,P2\n", "\nid,more,age\nP2,x,41\n"])
+def test_files_with_other_column_order(spark, write, tmp_path, other):
+    write("id,age\nP1,40\n", "mixed/a 1.csv")
     write(other, "mixed/2.csv")
-    with pytest.raises(Exception, match="CSV header does not conform|FAILED_READ_FILE"):
-        read(spark, str(tmp_path / "mixed"))
+    write(other, "mixed/day=1/3.csv")
+    write("", "mixed/4.csv")
+    write("id,age\nP4,43\n", "mixed/5.csv")
+    path = str(tmp_path / "mixed")
+    expected = [("P1", 40), ("P2", 41), ("P4", 43)]
+    assert sorted(read(spark, path + "/*.csv")) == expected
+    every = read(spark, path, recursiveFileLookup="true")
+    assert sorted(every) == sorted([*expected, ("P2", 41)])
+    groups = files_by_header(spark, path, recursiveFileLookup="true")
+    assert sorted(map(len, groups.values())) == [2, 2]
+
+
+def test_headers_are_read_without_a_task_per_file(spark, write, tmp_path, monkeypatch):
+    """Files that share a task are found as well."""
+    for i in range(9):
+        write("\n" * i + ("id,age\n" if i % 2 else "age,id\n") + "1,2\n" * 50, f"s/{i}.csv")
+    monkeypatch.setattr(records, "ONE_FILE_A_TASK", {"spark.sql.files.openCostInBytes": 1})
+    groups = files_by_header(spark, str(tmp_path / "s"))
+    assert sorted(map(len, groups.values())) == [4, 5]
+
+
+def test_a_file_without_a_column(spark, write, tmp_path):
+    write("id,age\nP1,40\n", "less/1.csv")
+    write("id,more\nP2,x\n", "less/2.csv")
+    path = str(tmp_path / "less")
+    with pytest.raises(ContractError, match="missing columns: age"):
+        read(spark, path)
+    rows = read_text_columns(spark, path).select("id", "age", "more").collect()
+    assert sorted(map(tuple, rows)) == [("P1", "40", None), ("P2", None, "x")]
 
 
 def test_only_needed_columns_are_parsed(spark, write, plan_of):
