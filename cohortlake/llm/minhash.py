@@ -15,7 +15,11 @@ into families: first every entry is held against the smallest one of its bucket;
 buckets that still hold several families, entries of different families against each other, in
 cells of bounded size that give only which families meet. Links are confirmed within families,
 again in cells of bounded size, on the full sets of the texts; a cell skips pairs that its links
-have joined and gives a forest of links. No pair that could join two classes is left out.
+have joined and gives a forest of links. That takes two steps. First a family's texts are dealt to
+blocks, the family's first text to all of them, and each block is compared within itself: a large
+group of near copies is one class after that, for work that grows with its size. Then, in families
+that still hold several classes, the texts outside the largest class are compared with each other
+and with that class. No pair that could join two classes is left out.
 
 Cases: a null or empty text, or one without words, has no shingles and links with nothing. Rows
 without a doc_id are returned with component_id null and kept true. Rows that share a doc_id are
@@ -233,7 +237,8 @@ def links(one: np.ndarray, other: np.ndarray) -> bool:
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A forest of links within each cell of a family, from rows of (family, i, j)."""
+    """A forest of links within each cell of a family, from rows of (family, i, j). Texts of the
+    same ``component`` are joined already."""
     for cell in common.runs(batches, ["family", "i", "j"]):
         ids = cell["doc_id"].to_numpy()
         texts = common.as_bytes(cell["text"].combine_chunks())
@@ -241,6 +246,10 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, sizes = np.stack([registers(s) for s in sets]), np.array([len(s) for s in sets])
         left, right, same = _sides(cell)
         forest, found = Forest(len(ids)), []
+        _, known, of = np.unique(
+            cell["component"].to_numpy(), return_index=True, return_inverse=True
+        )
+        forest.up = known[of]
         for at, a in enumerate(left):
             others = right[at + 1 :] if same else right
             roots = forest.roots()
@@ -270,6 +279,53 @@ def _grid(rows: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
     )
 
 
+def _blocks_with_first(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(family, doc_id, component, block, i, j): every member in one block of its family, and the
+    first one in all of them; a block is a cell."""
+    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    own = F.when(F.col("doc_id") == F.col("family"), every).otherwise(F.array(block))
+    return (
+        members.join(sizes, "family")
+        .select("family", "doc_id", F.col("doc_id").alias("component"), F.explode(own).alias("block"))
+        .withColumns({"i": F.col("block"), "j": F.col("block")})
+    )
+
+
+def _outside_the_largest(state: DataFrame) -> DataFrame:
+    """Cells, as of ``_blocks_with_first``, of the families that hold several components: all pairs
+    of blocks but those within the largest component, whose blocks come first."""
+    size = F.struct("n", (-F.col("component")).alias("first"))
+    several = (
+        state.groupBy("family", "component")
+        .agg(F.count("*").alias("n"))
+        .groupBy("family")
+        .agg(
+            F.max_by("component", size).alias("largest"),
+            F.max("n").alias("most"),
+            F.sum("n").alias("all"),
+            F.count("*").alias("kinds"),
+        )
+        .where("kinds > 1")
+        .select(
+            "family",
+            "largest",
+            F.ceil(F.col("most") / TEXTS).cast("int").alias("inner"),
+            F.ceil((F.col("all") - F.col("most")) / TEXTS).cast("int").alias("outer"),
+        )
+    )
+    inside, key = F.col("component") == F.col("largest"), F.xxhash64("doc_id")
+    inner, outer = F.col("inner"), F.col("outer")
+    block = F.when(inside, F.pmod(key, inner)).otherwise(inner + F.pmod(key, outer)).cast("int")
+    others = F.sequence(F.when(inside, inner).otherwise(F.lit(0)), inner + outer - 1)
+    return (
+        state.join(several, "family")
+        .select("family", "doc_id", "component", block.alias("block"), F.explode(others).alias("other"))
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+        .drop("other")
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id that links lead to), kept."""
     spark = docs.sparkSession
@@ -324,11 +380,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     family = staged(common.components(near.union(more.distinct())).withColumnRenamed("component", "family"))
 
     members = family.withColumnRenamed("node", "doc_id")
-    texts = members.join(docs, "doc_id")
-    cells = _grid(texts, "family", members.groupBy("family").agg(blocks(TEXTS)))
-    confirmed = staged(
-        common.dealt(cells, "family", "i", "j").mapInArrow(_confirmed, "a long, b long").distinct()
+
+    def confirm(cells: DataFrame) -> DataFrame:
+        rows = common.dealt(cells.join(docs, "doc_id"), "family", "i", "j")
+        return staged(rows.mapInArrow(_confirmed, "a long, b long").distinct())
+
+    linked = confirm(_blocks_with_first(members, members.groupBy("family").agg(blocks(TEXTS))))
+    classes = common.components(linked).withColumnRenamed("node", "doc_id")
+    state = staged(
+        members.join(classes, "doc_id", "left").withColumn(
+            "component", F.coalesce("component", "doc_id")
+        )
     )
+    confirmed = linked.union(confirm(_outside_the_largest(state)))
 
     # Rows that share a doc_id are one document, also if their texts belong to different classes.
     several = (

@@ -73,6 +73,29 @@ def test_near_copies_in_chains_and_large_groups(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == expected_components(rows)
 
 
+@pytest.mark.parametrize("block", [3, 64])
+def test_families_of_several_classes_in_small_blocks(spark, monkeypatch, block):
+    """Versions about as far apart as the threshold: families hold several classes, and blocks few
+    of their texts."""
+    monkeypatch.setattr(minhash, "TEXTS", block)
+    monkeypatch.setattr(minhash, "SKETCHES", 2 * block)
+    rng = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(90):
+        words = list(base)
+        # changes in a row cost a shingle each
+        at, n = rng.integers(0, 250), rng.integers(1, 50)
+        words[at : at + n] = [f"v{i % 7}x{k}" for k in range(n)]
+        texts.append(" ".join(words))
+    rows = [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts, strict=True)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r.component_id for r in found.collect()}
+    expected = expected_components(rows)
+    assert got == expected
+    assert 1 < len(set(expected.values())) < len(texts)
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     rows = minhash.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
