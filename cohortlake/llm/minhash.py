@@ -18,7 +18,7 @@ again in cells of bounded size, on the full sets of the texts; a cell skips pair
 have joined and gives a forest of links. That takes two steps. First a family's texts are dealt to
 blocks, the family's first text to all of them, and each block is compared within itself: a large
 group of near copies is one class after that, for work that grows with its size. Then, in families
-that still hold several classes, the texts outside the largest class are compared with each other
+of several blocks that still hold several classes, the texts outside the largest class are compared with each other
 and with that class. No pair that could join two classes is left out.
 
 Cases: a null or empty text, or one without words, has no shingles and links with nothing. Rows
@@ -281,20 +281,25 @@ def _grid(rows: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
 
 def _blocks_with_first(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """(family, doc_id, component, block, i, j): every member in one block of its family, and the
-    first one in all of them; a block is a cell."""
+    first one in all of them; a block is a cell. ``home`` is the block that is a row's own."""
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     own = F.when(F.col("doc_id") == F.col("family"), every).otherwise(F.array(block))
     return (
         members.join(sizes, "family")
-        .select("family", "doc_id", F.col("doc_id").alias("component"), F.explode(own).alias("block"))
-        .withColumns({"i": F.col("block"), "j": F.col("block")})
+        .select(
+            "family", "doc_id", F.col("doc_id").alias("component"), "blocks",
+            block.alias("own"), F.explode(own).alias("block"),
+        )
+        .withColumns({"i": F.col("block"), "j": F.col("block"), "home": F.col("block") == F.col("own")})
+        .drop("own")
     )
 
 
 def _outside_the_largest(state: DataFrame) -> DataFrame:
-    """Cells, as of ``_blocks_with_first``, of the families that hold several components: all pairs
-    of blocks but those within the largest component, whose blocks come first."""
+    """Cells, as of ``_blocks_with_first``, of the families that were more than one block and hold
+    several components: all pairs of blocks but those within the largest component, whose blocks
+    come first."""
     size = F.struct("n", (-F.col("component")).alias("first"))
     several = (
         state.groupBy("family", "component")
@@ -306,7 +311,7 @@ def _outside_the_largest(state: DataFrame) -> DataFrame:
             F.sum("n").alias("all"),
             F.count("*").alias("kinds"),
         )
-        .where("kinds > 1")
+        .where((F.col("kinds") > 1) & (F.col("all") > TEXTS))
         .select(
             "family",
             "largest",
@@ -382,17 +387,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = family.withColumnRenamed("node", "doc_id")
 
     def confirm(cells: DataFrame) -> DataFrame:
-        rows = common.dealt(cells.join(docs, "doc_id"), "family", "i", "j")
+        rows = common.dealt(cells, "family", "i", "j")
         return staged(rows.mapInArrow(_confirmed, "a long, b long").distinct())
 
-    linked = confirm(_blocks_with_first(members, members.groupBy("family").agg(blocks(TEXTS))))
+    sizes = members.groupBy("family").agg(blocks(TEXTS))
+    cells = staged(_blocks_with_first(members, sizes).join(docs, "doc_id"))
+    linked = confirm(cells.drop("blocks", "home"))
     classes = common.components(linked).withColumnRenamed("node", "doc_id")
     state = staged(
         members.join(classes, "doc_id", "left").withColumn(
             "component", F.coalesce("component", "doc_id")
         )
     )
-    confirmed = linked.union(confirm(_outside_the_largest(state)))
+    texts = cells.where("blocks > 1 AND home").select("doc_id", "text")
+    confirmed = linked.union(confirm(_outside_the_largest(state).join(texts, "doc_id")))
 
     # Rows that share a doc_id are one document, also if their texts belong to different classes.
     several = (
