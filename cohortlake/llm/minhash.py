@@ -280,7 +280,7 @@ def _grid(rows: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
 
 
 def _blocks_with_first(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(family, doc_id, component, block, i, j): every member in one block of its family, and the
+    """(family, doc_id, component, text, block, i, j): every member in one block of its family, and the
     first one in all of them; a block is a cell. ``home`` is the block that is a row's own."""
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -288,7 +288,7 @@ def _blocks_with_first(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return (
         members.join(sizes, "family")
         .select(
-            "family", "doc_id", F.col("doc_id").alias("component"), "blocks",
+            "family", "doc_id", F.col("doc_id").alias("component"), "blocks", "text",
             block.alias("own"), F.explode(own).alias("block"),
         )
         .withColumns({"i": F.col("block"), "j": F.col("block"), "home": F.col("block") == F.col("own")})
@@ -296,7 +296,7 @@ def _blocks_with_first(members: DataFrame, sizes: DataFrame) -> DataFrame:
     )
 
 
-def _outside_the_largest(state: DataFrame) -> DataFrame:
+def _outside_the_largest(state: DataFrame, texts: DataFrame) -> DataFrame:
     """Cells, as of ``_blocks_with_first``, of the families that were more than one block and hold
     several components: all pairs of blocks but those within the largest component, whose blocks
     come first."""
@@ -325,9 +325,11 @@ def _outside_the_largest(state: DataFrame) -> DataFrame:
     others = F.sequence(F.when(inside, inner).otherwise(F.lit(0)), inner + outer - 1)
     return (
         state.join(several, "family")
-        .select("family", "doc_id", "component", block.alias("block"), F.explode(others).alias("other"))
+        .select("family", "doc_id", "component", block.alias("block"), others.alias("others"))
+        .join(texts, "doc_id")
+        .withColumn("other", F.explode("others"))
         .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-        .drop("other")
+        .drop("other", "others")
     )
 
 
@@ -391,7 +393,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return staged(rows.mapInArrow(_confirmed, "a long, b long").distinct())
 
     sizes = members.groupBy("family").agg(blocks(TEXTS))
-    cells = staged(_blocks_with_first(members, sizes).join(docs, "doc_id"))
+    cells = staged(_blocks_with_first(members.join(docs, "doc_id"), sizes))
     linked = confirm(cells.drop("blocks", "home"))
     classes = common.components(linked).withColumnRenamed("node", "doc_id")
     state = staged(
@@ -400,7 +402,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
     )
     texts = cells.where("blocks > 1 AND home").select("doc_id", "text")
-    confirmed = linked.union(confirm(_outside_the_largest(state).join(texts, "doc_id")))
+    confirmed = linked.union(confirm(_outside_the_largest(state, texts)))
 
     # Rows that share a doc_id are one document, also if their texts belong to different classes.
     several = (
