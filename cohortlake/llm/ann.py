@@ -6,7 +6,7 @@ product with the code (how well the code stands for it), and its inner product w
 Searching: the inner product of a query with the code, divided by the second number, estimates
 the cosine without bias; the error shrinks with the dimension and has a bound that holds with a
 confidence that ``WIDTH`` sets. Of a cell only vectors whose upper bound reaches the k-th best lower
-bound are reranked, by the exact cosine of the original vectors.
+bound of distinct ids are reranked, by the exact cosine of the original vectors.
 
 Every row is indexed and every query meets every row, in cells of bounded size: rows are dealt by
 hash to cells, queries likewise, and a task holds one cell of each. Each cell gives its k best; the
@@ -120,7 +120,12 @@ def _best(cell: pa.Table, middle: dict[int, np.ndarray], k: int) -> Iterator[tup
         itself = own[:, None] == ids[None, :]
         lower = np.where(itself, -np.inf, estimate - width)
         upper = np.where(itself, -np.inf, estimate + width)
-        kth = np.partition(lower, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(own), -np.inf)
+        # the bound is over ids, an id with its largest: copies of one must not take several places
+        by_id = np.argsort(ids, kind="stable")
+        starts = np.flatnonzero(np.diff(ids[by_id], prepend=ids[by_id[0]] - 1))
+        if len(starts) < len(ids):
+            lower = np.maximum.reduceat(lower[:, by_id], starts, axis=1)
+        kth = np.partition(lower, -k, axis=1)[:, -k] if len(starts) > k else np.full(len(own), -np.inf)
         for q in range(len(own)):
             near = np.flatnonzero((upper[q] >= kth[q]) & ~itself[q])
             score = cosines(raw[near], np.broadcast_to(queries[q], (len(near), dim)))

@@ -149,6 +149,22 @@ def test_nearest_against_all_pairs(spark, clustered):
     assert right / total > 0.99
 
 
+@pytest.mark.parametrize("copies", [2, 6])
+def test_copies_of_a_neighbour_take_one_place(spark, copies):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(10, 256))
+    rows = [(i * 10, (centres[i % 10] + rng.normal(size=256) * 0.2).tolist(), 0) for i in range(40)]
+    found = ann.nearest(spark.createDataFrame(rows * copies, VECTORS), F.col("vec_id") % 50 == 0)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in found.collect()}
+    v = np.array([r[1] for r in rows], dtype=np.float32).astype(np.float64)
+    unit = v / np.sqrt((v * v).sum(axis=1))[:, None]
+    score = unit @ unit.T
+    np.fill_diagonal(score, -9)
+    wanted = {(q * 10, n + 1): i for q in range(0, 40, 5) for n, i in enumerate(np.argsort(-score[q])[:5])}
+    assert {at: i for at, (i, _) in got.items()} == {at: i * 10 for at, i in wanted.items()}
+    assert all(math.isclose(s, score[q // 10, i // 10], rel_tol=1e-12) for (q, _), (i, s) in got.items())
+
+
 def test_links_against_all_pairs(spark, clustered):
     rows = semdedup.near_duplicates(spark.createDataFrame(clustered, VECTORS)).collect()
     v = np.array([r[1] for r in clustered], dtype=np.float32).astype(np.float64)
