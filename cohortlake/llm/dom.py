@@ -19,13 +19,17 @@ PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 SPACE = re.compile(r"\s+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no text of the page.
-SKIPPED = frozenset(
-    "script style title noscript template textarea iframe svg math object canvas select".split()
-)
+#: Raw-text elements: what follows up to the end tag is no text of the page, nor holds tags.
+SKIPPED = frozenset("script style title textarea iframe".split())
+#: Elements with a drawing, a choice or a fallback. One gets a node when text or a block comes up in
+#: it, so that an icon splits no paragraph; one without an end tag counts as a plain element.
+HOLDERS = frozenset("noscript template svg object canvas select".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s "
-    "samp small span strike strong sub sup time tt u var wbr br".split()
+    "samp small span strike strong sub sup time tt u var wbr br "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced msub msup "
+    "msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mlabeledtr mtd mspace "
+    "maction semantics annotation annotation-xml none".split()
 )
 #: What an opening tag closes, if it is open above: element -> (closed elements, where to stop).
 _BLOCKS = frozenset(
@@ -37,7 +41,9 @@ _TERM = (frozenset(["dt", "dd"]), frozenset(["dl"]))
 _CELL = (frozenset(["td", "th"]), frozenset(["tr", "table"]))
 _ROW = (frozenset(["tr", "td", "th"]), frozenset(["table", "tbody", "thead", "tfoot"]))
 CLOSES = {"li": _LIST, "dt": _TERM, "dd": _TERM, "td": _CELL, "th": _CELL, "tr": _ROW}
-_SCOPE = frozenset(["table", "td", "th", "button"])
+#: Other tags that end a drawing or a choice.
+ENDS = frozenset("html head body li dt dd tr td th thead tbody tfoot caption button label input".split())
+_SCOPE = frozenset(["table", "td", "th", "button", "object", "template", "foreignobject"])
 
 #: Words in class, id and role, by what they speak for.
 TOKENS = {
@@ -67,9 +73,10 @@ TAGS = {
     "dl": 2, "dt": 2, "dd": 2, "article": 3, "main": 3, "nav": 4, "menu": 4, "footer": 4,
     "aside": 4, "form": 5, "button": 5, "label": 5, "fieldset": 5, "legend": 5, "option": 5,
     "header": 6, "table": 7, "tr": 7, "td": 7, "th": 7, "blockquote": 8, "pre": 8, "figure": 9,
-    "figcaption": 9, "dialog": 5, "address": 4,
+    "figcaption": 9, "dialog": 5, "address": 4, "select": 5, "noscript": 10,
+    "object": 10, "canvas": 10, "svg": 11, "template": 11,
 }
-N_TAGS, N_GROUPS = 10, len(GROUPS)
+N_TAGS, N_GROUPS = 12, len(GROUPS)
 #: Columns that are looked up in ancestors.
 FEATURES = 2 * (N_TAGS + N_GROUPS) + 14
 
@@ -112,6 +119,9 @@ class Page:
         run: list[str] = []
         # of the run: characters in links, groups of its inline elements; and the open inline tags
         state = {"linked": 0, "marks": set(), "open": []}
+        # holders without a node yet, and what was open before those with one: (tag, marks, open)
+        held: list[tuple[str, tuple[int, ...], list]] = []
+        outside: dict[int, list] = {}
 
         def flush() -> None:
             raw = "".join(run)
@@ -123,15 +133,38 @@ class Page:
             state["linked"] = 0
             state["marks"] = {g for _, marks in state["open"] for g in marks}
 
+        def settle() -> None:
+            for tag, marks, opened in held:
+                flush()
+                node = self._node(tag, stack[-1][1], marks, "", 0)
+                stack.append((tag, node))
+                outside[node] = opened
+            held.clear()
+
         def say(text: str) -> None:
+            if held and not text.isspace():
+                settle()
             run.append(text)
             if any(tag == "a" for tag, _ in state["open"]):
                 state["linked"] += len(text.strip())
 
+        def plain(depth: int) -> None:
+            for tag, node in stack[depth:]:
+                if tag in HOLDERS:
+                    self.tag[node], self.marks[node] = "div", ()
+
         def close(depth: int) -> None:
             flush()
+            held.clear()
+            plain(depth + 1)
+            opened = outside.get(stack[depth][1], [])
             del stack[depth:]
-            state["open"], state["marks"] = [], set()
+            state["open"], state["marks"] = opened, {g for _, marks in opened for g in marks}
+
+        def within() -> str:
+            """The drawing or choice that a tag is in: it has no blocks and ends at one."""
+            tag = held[-1][0] if held else stack[-1][0]
+            return tag if tag in ("svg", "select") else ""
 
         at, end = 0, len(source)
         while at < end:
@@ -155,6 +188,19 @@ class Page:
                     stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
                     at = stop.end() if stop else end
                 run.append(" ")
+            elif name in HOLDERS:
+                if not slash:
+                    if not attributes.endswith("/"):
+                        held.append((name, groups_of(attributes), list(state["open"])))
+                elif any(tag == name for tag, _, _ in held):
+                    while held.pop()[0] != name:
+                        pass
+                else:
+                    for depth in range(len(stack) - 1, 0, -1):
+                        if stack[depth][0] == name:
+                            close(depth)
+                            break
+                run.append(" ")
             elif name in ("br", "wbr", "img"):
                 run.append("" if name == "wbr" else " ")
             elif name in INLINE:
@@ -167,6 +213,10 @@ class Page:
                         if state["open"][i][0] == name:
                             del state["open"][i]
                             break
+            elif held and name in VOID and name not in ("hr", "input") or (
+                within() and name not in _BLOCKS and name not in ENDS and name != "foreignobject"
+            ):
+                run.append(" ")
             elif slash:
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth][0] == name:
@@ -175,6 +225,13 @@ class Page:
                 else:
                     flush()
             else:
+                while name not in ("foreignobject", "hr") and within():
+                    if held:
+                        held.pop()
+                    else:
+                        close(len(stack) - 1)
+                if name not in ("html", "head", "body") and name not in VOID:
+                    settle()
                 self._implied(name, stack, close)
                 flush()
                 if name in ("html", "head", "body") or name in VOID:
@@ -187,6 +244,7 @@ class Page:
                 if not attributes.endswith("/"):
                     stack.append((name, node))
         flush()
+        plain(0)
 
     @staticmethod
     def _implied(name: str, stack: list[tuple[str, int]], close) -> None:

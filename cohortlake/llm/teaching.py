@@ -2,7 +2,8 @@
 
 A page is dealt from layouts that web pages use: with semantic elements or with classes and ids,
 main parts with or without a wrapper, and menus, headers, footers, sidebars, notices, adverts,
-forms and reader comments around and inside the article. Each text block is marked as main text
+forms and reader comments around and inside the article, with drawings, choices and fallbacks in
+them, some without an end tag. Each text block is marked as main text
 or not by the part that it was written for. Words are invented.
 """
 
@@ -179,6 +180,40 @@ class Writer:
 
         self.holder("comment", ["div", "section", "section"], inside)
 
+    def fallback(self, main: bool) -> None:
+        """What is shown where scripts or plug-ins aren't: as main as the part around it."""
+        tag = self.pick(["object", "canvas", "noscript"])
+        write = lambda: self.text(self.prose(int(self.rng.integers(1, 5))), main)
+        if self.chance(0.5):
+            self.element(tag, write)
+        else:
+            self.element(tag, lambda: [self.element("p", write) for _ in range(int(self.rng.integers(1, 3)))])
+
+    def drawing(self) -> None:
+        """A labelled drawing, a choice or a template."""
+        kind = self.rng.random()
+        if kind < 0.4:
+            labels = "".join(f'<g><path d="M0 0"/><text x="1">{w}</text></g>' for w in self.words(1, 6))
+            self.out.append(f'<svg viewBox="0 0 9 9">{labels}</svg>')
+            self.truth.append(False)
+        elif kind < 0.8:
+            options = "".join(f"<option>{w}</option>" for w in self.words(2, 12))
+            self.out.append(f"<select>{options}</select>")
+            self.truth.append(False)
+        else:
+            write = lambda: self.text(self.prose(int(self.rng.integers(1, 4))), False)
+            self.element("template", write if self.chance(0.3) else lambda: self.element("p", write))
+
+    def unclosed(self) -> None:
+        """A holder whose end tag is missing; a block comes next."""
+        tag = self.pick(["object", "canvas", "noscript", "svg", "select", "template"])
+        self.out.append(f'<{tag}{self.pick(["", self.named("plain"), self.named("ad")])}>')
+        if tag == "select" and self.chance(0.7):
+            self.out.append("<option>" + "<option>".join(self.words(2, 6)))
+            self.truth.append(False)
+        elif tag == "svg":
+            self.out.append('<path d="M0 0">')
+
     # --- the article
 
     def paragraph(self) -> None:
@@ -230,6 +265,13 @@ class Writer:
             self.paragraph()
             if self.chance(0.06):
                 self.pick(inside)()
+            if self.chance(0.03):
+                self.fallback(True)
+            if self.chance(0.02):
+                self.drawing()
+            if self.chance(0.01):
+                self.unclosed()
+                self.element("p", lambda: self.text(self.prose(2), True))
         if self.chance(0.15):
             self.comments()
 
@@ -238,6 +280,10 @@ class Writer:
                         (self.form, 0.15), (self.side, 0.2)):
             if self.chance(p):
                 part()
+            if self.chance(0.02):
+                self.pick([lambda: self.fallback(False), self.drawing])()
+        if self.chance(0.08):
+            self.unclosed()
         kind = self.rng.random()
         if kind < 0.45:
             main = lambda: self.element("article", self.article, self.named("content") if self.chance(0.2) else "")

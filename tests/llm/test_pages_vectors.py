@@ -71,6 +71,35 @@ def test_text_of_a_page():
     assert [t for t in page.text if t] == ["A & b c d", "e", "g", "h", "<i>"]
 
 
+def texts(source):
+    return [t for t in Page(source).text if t]
+
+
+def test_text_in_drawings_formulas_and_fallbacks():
+    assert texts("<p>Let <math><msup><mi>x</mi><mn>2</mn></msup></math> be.</p>") == ["Let x2 be."]
+    assert texts("<object data='a'><p>a</p></object><canvas>b</canvas><p>c</p>") == ["a", "b", "c"]
+    assert texts("<object>a<object>b</object>c</object><p>d</p>") == ["a", "b", "c", "d"]
+    assert texts("<p><a href='/'><svg><path d='M0'/></svg> a <svg/></a>b<noscript><img></noscript>") == ["a b"]
+    assert texts("<p>a <object><param name='x'><embed></object> b</p>") == ["a b"]
+    page = Page("<div><select><option>a<option>b</select><svg><g><text>c</text></g></svg></div><template>d</template>")
+    assert [page.tag[page.parent[i]] for i, t in enumerate(page.text) if t] == ["select", "svg", "template"]
+    assert [t for t in page.text if t] == ["a b", "c", "d"]
+
+
+PROSE = "<p>The committee met on Tuesday to discuss the plan, and agreed on most of its points.</p>"
+
+
+@pytest.mark.parametrize("tag", ["noscript", "template", "svg", "math", "object", "canvas", "select"])
+@pytest.mark.parametrize("shape", ["before", "inside", "nested"])
+def test_an_unclosed_element_takes_no_text_with_it(tag, shape):
+    first = {"before": f"<div><{tag}></div><{tag}>", "inside": "", "nested": ""}[shape]
+    inner = {"before": "", "inside": f"<{tag}>", "nested": f"<{tag}><{tag}></{tag}>"}[shape]
+    article = f"<article><h1>On the plan</h1>{PROSE * 2}{inner}{PROSE * 4}</article>"
+    source = f"<html><body><nav><ul><li><a href='/'>Home</a></ul></nav>{first}{article}<footer>Legal</footer></body>"
+    (kept,) = extraction.main_texts([source], extraction.trained())
+    assert kept == ["On the plan", *[PROSE[3:-4]] * 6]
+
+
 def test_warc_query(spark, sf, given):
     rows = {r.page_id: r for r in QUERIES["op7_warc"](spark, sf).collect()}
     pages, first = given("pages").sort_values("page_id"), {}
