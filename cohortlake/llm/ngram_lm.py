@@ -21,7 +21,7 @@ and without words before it c(w) / n, or 0.4 / n if no other document has it.
 Words are runs without white space, ASCII letters in lower case. Cases: a null or empty text has
 n_words 0 and null for the scores. A single document, with no others to learn from, has only unseen
 words and n = 1. Rows that share a doc_id are documents of their own. Rows without a doc_id are
-scored too; they go to blocks by text. An empty table gives an empty result. Other columns are not
+scored too. Rows go to blocks by id and text, so a repeated id isn't one block. An empty table gives an empty result. Other columns are not
 looked at.
 """
 
@@ -29,14 +29,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.llm import common
 from cohortlake.llm.common import mix, prepare
 from cohortlake.llm.mixing import size_of
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 #: Bytes of text in a block, about.
 BLOCK_BYTES = 8 << 20
@@ -209,6 +209,10 @@ def _score_block(
     )
 
 
+def block_of(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
+
+
 def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score, perplexity) of every row."""
     prepare(docs.sparkSession)
@@ -217,9 +221,7 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     )
     size, all_words = rows.agg(F.sum(F.octet_length("text")), F.sum(size_of(F.col("text")))).first()
     blocks = parts = max(1, -(-(size or 0) // BLOCK_BYTES))
-    by = F.coalesce(F.xxhash64(F.when(F.col("doc_id").isNotNull(), F.col("doc_id"))), F.lit(0))
-    by = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(by)
-    rows = rows.withColumn("block", F.pmod(by, F.lit(blocks)).cast("int"))
+    rows = rows.withColumn("block", block_of(blocks))
 
     # plain functions without hints: Spark tells the kind of function by its arguments
     def count(key, rows):

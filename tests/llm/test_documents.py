@@ -276,6 +276,17 @@ def test_lm_scores_against_counting(spark, order, monkeypatch):
         assert rows[i].log_score is None if not w else math.isclose(rows[i].log_score, total, rel_tol=1e-9)
 
 
+def test_lm_scores_take_contexts_of_two_words(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, "x b d")], "doc_id long, text string")
+    rows = {r.doc_id: r.log_score for r in ngram_lm.scores(docs).collect()}
+    assert math.isclose(rows[1], math.log(1 / 6)) and math.isclose(rows[2], math.log(1 / 6))
+
+
+def test_a_repeated_id_is_not_one_block(spark):
+    docs = spark.createDataFrame([(7, f"text {i}") for i in range(200)], "doc_id long, text string")
+    assert docs.select(ngram_lm.block_of(8)).distinct().count() == 8
+
+
 def test_lm_scores_of_odd_rows(spark, odd_docs, no_docs):
     rows = ngram_lm.scores(odd_docs).collect()
     assert len(rows) == odd_docs.count() and sum(r.log_score is None for r in rows) == 4
