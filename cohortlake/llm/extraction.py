@@ -30,7 +30,7 @@ from cohortlake.llm.dom import Page
 from cohortlake.llm.teaching import pages as teaching_pages
 
 #: Pages that the trees are trained on.
-TEACHING = 1000
+TEACHING = 1500
 #: Pages whose nodes are scored together.
 TOGETHER = 256
 

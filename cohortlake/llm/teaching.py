@@ -1,7 +1,7 @@
 """Pages whose main text is known, to train the extraction of it.
 
 A page is dealt from layouts that web pages use: with semantic elements or with classes and ids,
-main parts with or without a wrapper, and menus, headers, footers, sidebars, notices, adverts,
+in tables or not, main parts with or without a wrapper, and menus, headers, footers, sidebars, notices, adverts,
 forms and reader comments around and inside the article, with drawings, choices and fallbacks in
 them, some without an end tag. Each text block is marked as main text
 or not by the part that it was written for. Words are invented.
@@ -37,6 +37,7 @@ class Writer:
         self.rng = np.random.default_rng(seed)
         self.out: list[str] = []
         self.truth: list[bool] = []
+        self.tabled = False
 
     def pick(self, options):
         return options[int(self.rng.integers(len(options)))]
@@ -80,12 +81,31 @@ class Writer:
 
     def holder(self, kind: str, tags: list[str], write) -> None:
         """A part in a semantic element, in a named one, or in both."""
+        if self.tabled:
+            self.cell(write, self.named(kind) if self.chance(0.6) else "")
+            return
         tag = self.pick(tags)
         named = tag in ("div", "section", "ul", "p", "form") or self.chance(0.4)
         self.element(tag, write, self.named(kind) if named else "")
 
+    def cell(self, write, attribute: str) -> None:
+        """A part of a page that is laid out as a table."""
+        self.tabled = False
+        if self.chance(0.8):
+            self.out.append("<tr>")
+        self.element("td", write, attribute)
+        self.tabled = True
+
     # --- parts without main text
 
+    def bar(self) -> None:
+        """Links in one line."""
+        n = int(self.rng.integers(2, 8))
+        between = self.pick([" | ", " ", " &middot; "])
+        line = between.join(f'<a href="/x">{" ".join(self.words(1, 3))}</a>' for _ in range(n))
+        self.truth.append(False)
+        self.out.append(self.pick([f"<p>{line}</p>", f"{line}<hr>"]))
+
     def links(self) -> None:
         def item() -> None:
             text = " ".join(self.words(1, 4))
@@ -96,7 +116,9 @@ class Writer:
             for _ in range(int(self.rng.integers(2, 9))):
                 self.element("li", item)
 
-        if self.chance(0.8):
+        if self.chance(0.15):
+            self.bar()
+        elif self.chance(0.8):
             self.element("ul", listed)
         else:
             for _ in range(int(self.rng.integers(2, 6))):
@@ -276,6 +298,9 @@ class Writer:
             self.comments()
 
     def body(self) -> None:
+        self.tabled = self.chance(0.08)
+        if self.tabled:
+            self.out.append("<table>")
         for part, p in ((self.notice, 0.25), (self.header, 0.5), (self.nav, 0.6), (self.ad, 0.5),
                         (self.form, 0.15), (self.side, 0.2)):
             if self.chance(p):
@@ -285,7 +310,9 @@ class Writer:
         if self.chance(0.08):
             self.unclosed()
         kind = self.rng.random()
-        if kind < 0.45:
+        if self.tabled:
+            main = lambda: self.cell(self.article, self.named("content") if self.chance(0.5) else "")
+        elif kind < 0.45:
             main = lambda: self.element("article", self.article, self.named("content") if self.chance(0.2) else "")
         elif kind < 0.8:
             main = lambda: self.element(self.pick(["div", "section"]), self.article, self.named("content"))
@@ -293,7 +320,9 @@ class Writer:
             main = lambda: self.element(self.pick(["div", "section"]), self.article, self.named("plain"))
         else:
             main = self.article
-        if self.chance(0.25):
+        if self.tabled:
+            main()
+        elif self.chance(0.25):
             self.element("main", main)
         elif self.chance(0.25):
             self.element("div", main, self.named("plain"))
@@ -303,6 +332,8 @@ class Writer:
                         (self.ad, 0.25), (self.notice, 0.15), (self.footer, 0.8)):
             if self.chance(p):
                 part()
+        if self.tabled:
+            self.out.append("</table>")
 
     def page(self) -> tuple[str, list[bool]]:
         title = " ".join(self.words(2, 7))
