@@ -7,8 +7,9 @@ against the sketches (matching registers less the collisions to be expected), an
 the threshold is confirmed on the full sets.
 
 At a similarity of 0.75, two large sets miss each other in all 40 bands with a probability of
-2.5e-7; small sets, which leave most registers empty, miss each other less often. The estimate
-drops a pair only if it lies five standard deviations under the threshold.
+2.5e-7. Small sets fill few bands and would miss each other more often, so sets of up to ``FEW``
+shingles meet on shingles as well: on the smallest hashes, as many as a pair that links must share one of.
+The estimate drops a pair only if it lies five standard deviations under the threshold.
 
 Pairs aren't listed. Texts with the same set are one entry from the start. Estimates gather entries
 into families: first every entry is held against the smallest one of its bucket; then, in the
@@ -44,6 +45,8 @@ REGISTERS = 160
 BAND = 4
 MANTISSA = 10
 PERCENT = 75
+#: Shingles of a set that also meets others on its shingles.
+FEW = 10
 #: Entries of a block: sketches of a bucket, texts of a family. A cell holds two blocks.
 SKETCHES = 1024
 TEXTS = 256
@@ -116,7 +119,7 @@ def may_link(one: np.ndarray, other: np.ndarray, n: np.ndarray, m: np.ndarray) -
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in batches:
-        sizes, digests, sketches = [], [], []
+        sizes, digests, sketches, few = [], [], [], []
         for texts in common.groups(common.as_bytes(part.column("text"))):
             for hashes in shingle_hashes(texts):
                 sizes.append(len(hashes))
@@ -126,19 +129,24 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     hashlib.blake2b(raw, digest_size=16).digest() if filled else None
                 )
                 sketches.append(registers(hashes).tobytes() if filled else None)
+                # two sets that link share at least PERCENT of either: one of these, if sorted alike
+                n = len(hashes)
+                few.append(hashes[: n - -(-PERCENT * n // 100) + 1 if 0 < n <= FEW else 0].view(np.int64))
         yield common.batch(
-            ["doc_id", "n_shingles", "digest", "sketch"],
+            ["doc_id", "n_shingles", "digest", "sketch", "few"],
             part.column("doc_id"),
             pa.array(sizes, pa.int64()),
             pa.array(digests, pa.binary()),
             pa.array(sketches, pa.binary()),
+            pa.array(few, pa.list_(pa.int64())),
         )
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, sketch) of every row; no shingles: null, null."""
+    """(doc_id, n_shingles, digest of the set, sketch, hashes that a small set meets others on) of
+    every row; no shingles: null, null, none."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _sketch, "doc_id long, n_shingles long, digest binary, sketch binary"
+        _sketch, "doc_id long, n_shingles long, digest binary, sketch binary, few array<long>"
     )
 
 
@@ -162,6 +170,11 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield common.batch(
                 ["key", "doc_id"], keys.ravel()[filled], np.repeat(own, bands)[filled]
             )
+            few = part.column("few").slice(begin, 2048)
+            hashes = few.flatten().to_numpy().view(_U)
+            if len(hashes):
+                of = np.repeat(own, few.value_lengths().to_numpy())
+                yield common.batch(["key", "doc_id"], mix(hashes ^ tag[0]).view(np.int64), of)
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,7 +362,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             classes.select("digest", F.col("entry").alias("doc_id")), ["digest", "doc_id"], "left_semi"
         ).dropDuplicates(["digest", "doc_id"])
     )
-    rows = entries.select("doc_id", "sketch").mapInArrow(_bands, "key long, doc_id long")
+    rows = entries.select("doc_id", "sketch", "few").mapInArrow(_bands, "key long, doc_id long")
     shared = (
         rows.groupBy("key")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))

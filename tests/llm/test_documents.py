@@ -49,6 +49,17 @@ def expected_components(rows):
     return {i: root(i) for i in up}
 
 
+def test_short_texts_meet_on_shingles(spark):
+    # the fourth shingle of each falls into the one band that the other three fill
+    texts = [
+        "w267 w754 w246 w972 w791 w218 w228 w102", "w130 w340 w993 w440 w808 w213 w830 w885",
+        "w420 w274 w657 w278 w73 w425 w185 w864", "w602 w111 w348 w939 w609 w569 w974 w542",
+    ]
+    rows = [(2 * i + j, t if j else t.rsplit(" ", 1)[0]) for i, t in enumerate(texts) for j in (0, 1)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == expected_components(rows) == {i: i // 2 * 2 for i in range(8)}
+
+
 def test_near_duplicates_against_all_pairs(spark, sf, given):
     docs = given("documents")
     wanted = expected_components(zip(docs.doc_id, docs.text, strict=True))
