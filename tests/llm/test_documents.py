@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from cohortlake.llm import bpe, common, minhash, mixing, ngram_lm, tokenfiles, toxicity
 from cohortlake.llm.queries import ORACLE_SQL, QUERIES
 
@@ -347,3 +348,22 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
         assert toxicity.score(no_docs, machine).count() == 0
         assert toxicity.without_toxic(odd_docs, machine).columns == odd_docs.columns
     assert toxicity.train(odd_docs, labels.where("false")).bias == -500
+
+
+def test_pipeline_against_brute_force(spark, sf, given, library):
+    """All rows and columns, from the flags that op1 predicts, in other means than the stages'."""
+    toxic = {r.doc_id for r in QUERIES["op1_toxicity"](spark, sf).where("predicted = 1").collect()}
+    documents = given("documents")[["doc_id", "source", "text"]]
+    documents = documents[~documents.doc_id.isin(toxic)]
+    component = expected_components(list(zip(documents.doc_id, documents.text, strict=True)))
+    documents = documents[[component[i] == i for i in documents.doc_id]]
+    text = dict(zip(documents.doc_id, documents.text, strict=True))
+    assert 0 < len(toxic) and len(text) == len(documents) < len(component)
+    wanted = collections.Counter()
+    for i, size, _, _, taken in duckdb.sql(ORACLE_SQL["op10_mixing"]).fetchall():
+        ids = library.encode(text[i], add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False).encode()
+        digests = (hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(back).hexdigest())
+        if taken:
+            wanted[(i, len(ids), *digests)] += taken // size
+    assert collections.Counter(map(tuple, corpus_pipeline.run(spark, sf).collect())) == wanted
