@@ -14,9 +14,12 @@ from cohortlake.llm import (
     minhash,
     mixing,
     ngram_lm,
+    pii,
+    resample,
     semdedup,
     tokenfiles,
     toxicity,
+    variants,
     warc,
 )
 from cohortlake.llm.common import table
@@ -95,3 +98,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
+
+
+@query()
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
