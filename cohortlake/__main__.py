@@ -41,6 +41,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--processed-at", help="load time, now by default")
     p.add_argument("--error", type=float, default=0.0025, help="rank error of --median approx")
     p.add_argument("--max-records-per-file", type=int)
+    p.add_argument("--overwrite", choices=pl.OVERWRITE, default="static", help="dynamic: a partial run")
+    p.add_argument("--publishing", choices=pl.PUBLISHING, default="rename")
+    p.add_argument("--ragged", choices=pl.RAGGED_ROWS, default="keep")
+    p.add_argument("--cluster-by", nargs="*", default=[], metavar="COLUMN")
     return p
 
 
@@ -70,6 +74,10 @@ def config_of(args: argparse.Namespace) -> pl.PipelineConfig:
         processed_at=args.processed_at,
         median_error=args.error,
         max_records_per_file=args.max_records_per_file,
+        overwrite=args.overwrite,
+        publishing=args.publishing,
+        ragged=args.ragged,
+        cluster_by=args.cluster_by,
         **dated,
     )
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from cohortlake.functions.columns import column, no_nan
@@ -14,10 +15,8 @@ from cohortlake.scratch import staged, temporary
 # the values of a narrow range as well.
 LOG_BUCKETS = 1024
 LINEAR_BUCKETS = 4096
-#: The largest sketch there is.
-MOST_SKETCH = 65535
-# Quantile sketches are merged in this many groups before the last merge.
-MERGE_GROUPS = 256
+# A bucket is kept aside for the passes to come if it holds no more than this share of the rows.
+ASIDE = 0.25
 
 
 def magnitude(v: Column) -> Column:
@@ -42,54 +41,90 @@ def linear(v: Column, lo: float, hi: float) -> Column:
     )
 
 
-def _holders(values: DataFrame, bucket: Column) -> list[tuple[float, float, int]]:
-    """(first, last, count) of the one or two buckets that hold the two middle values.
-
-    ``bucket`` must not fall as ``v`` grows. Each map task sends one row per bucket, and only
-    the bucket totals come together in one task.
-    """
-    totals = (
-        values.groupBy(bucket.alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
-        .select(
-            "first",
-            "last",
-            "n",
-            F.sum("n").over(Window.orderBy("bucket")).alias("upto"),
-            F.sum("n").over(Window.partitionBy()).alias("total"),
-        )
+def bucket_totals(
+    rows: DataFrame, bucket: Column, more: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """(n, first, last) of the values ``v`` in every bucket, and ``more`` aggregates of its rows. Rows
+    without a value are a bucket of their own. Each map task sends one row per bucket."""
+    return rows.groupBy(bucket.alias("bucket")).agg(
+        F.count("v").alias("n"),
+        F.min("v").alias("first"),
+        F.max("v").alias("last"),
+        *[c.alias(name) for name, c in (more or {}).items()],
     )
-    below = F.col("upto") - F.col("n")
-    lower, upper = F.expr("(total + 1) div 2"), F.expr("total div 2 + 1")
-    holds = [(below < rank) & (rank <= F.col("upto")) for rank in (lower, upper)]
-    rows = totals.where(holds[0] | holds[1]).orderBy("upto").select("first", "last", "n").collect()
-    return [tuple(row) for row in rows]
-
-
-def exact_median(values: DataFrame) -> float | None:
-    """The median of the non-null doubles ``v``; None if there are none.
 
-    ``values`` is read again by every pass, so it should be a written table or a columnar
-    source. A pass puts the values into buckets and keeps the one with the middle:
 
-    1. by magnitude: 1024 buckets per doubling of the value (2 * 2100 * 1024 if the data spans
-       every double there is);
-    2. by 4096 linear steps of that bucket, and of the bucket found there, and so on. The first
-       and the last value of a bucket never fall into the same one again, so it ends; doubles of
-       a bucket are 2^-53 apart at the closest, so no more than six of these passes follow.
+def _holders(totals: DataFrame, ranks: tuple[int, int] | None = None) -> list[Row]:
+    """(first, last, n, below, total) of the one or two buckets that hold the values of the two given
+    ranks, by default the two in the middle: ``below`` values come before the bucket, of ``total``.
 
-    It ends as soon as the bucket holds a single distinct value, or the two middle values are
-    the last of one bucket and the first of the next: with few distinct values, or one that
-    fills a third of the table, after the first pass or two. A map task shuffles a row per bucket
-    that it meets, at most; that bounds the shuffle by tasks times buckets.
+    ``bucket`` must not fall as ``v`` grows. Only the bucket totals come together in one task.
     """
-    held = _holders(values, magnitude(F.col("v")))
-    while len(held) == 1 and held[0][0] < held[0][1]:
-        lo, hi, _ = held[0]
-        held = _holders(values, linear(F.col("v"), lo, hi))
+    totals = totals.where("n > 0").select(
+        "first",
+        "last",
+        "n",
+        F.sum("n").over(Window.orderBy("bucket")).alias("upto"),
+        F.sum("n").over(Window.partitionBy()).alias("total"),
+    )
+    below = F.col("upto") - F.col("n")
+    if ranks is None:
+        wanted = [F.expr("(total + 1) div 2"), F.expr("total div 2 + 1")]
+    else:
+        wanted = [F.lit(rank) for rank in ranks]
+    holds = [(below < rank) & (rank <= F.col("upto")) for rank in wanted]
+    found = totals.where(holds[0] | holds[1]).orderBy("upto")
+    return found.select("first", "last", "n", below.alias("below"), "total").collect()
+
+
+def select_middle(
+    values: DataFrame, totals: DataFrame, share: float, folder: str | None = None
+) -> tuple[float, float] | None:
+    """The two middle values of the non-null doubles ``v``, or two values of a bucket that holds
+    both and no more than ``share`` of all rows; None if there are no values.
+
+    ``totals`` are those of ``values`` by ``magnitude``: 1024 buckets per doubling of the value
+    (2 * 2100 * 1024 if the data spans every double there is). Further passes split the bucket with the
+    middle into 4096 linear steps, and the bucket found there, and so on. Once a bucket holds at most
+    ``ASIDE`` of the rows, they are staged in ``folder``, and later passes read only them: counts are
+    exact, so the middle can't lie elsewhere. That is the second pass over all values, and the last one, unless
+    most of them lie within a thousandth of each other.
+
+    The first and the last value of a bucket never fall into the same one again, so it ends;
+    doubles of a bucket are 2^-53 apart at the closest, so no more than six linear passes follow. It
+    ends as soon as the bucket holds a single distinct value, or the two middle values are the
+    last of one bucket and the first of the next: with few distinct values, or one that fills a third
+    of the table, after the first pass or two. A map task shuffles a row per bucket that it meets, at
+    most; that bounds the shuffle by tasks times buckets.
+    """
+    held = _holders(totals)
     if not held:
         return None
-    lower, upper = held[0][1], held[-1][0]
+    total = size = held[0]["total"]
+    ranks = ((total + 1) // 2, total // 2 + 1)
+    while len(held) == 1 and held[0]["first"] < held[0]["last"] and held[0]["n"] > share * total:
+        (bucket,) = held
+        lo, hi = bucket["first"], bucket["last"]
+        values = values.where(F.col("v").between(lo, hi))
+        ranks = tuple(rank - bucket["below"] for rank in ranks)
+        if bucket["n"] <= ASIDE * size:
+            values, size = staged(values, folder), bucket["n"]
+        held = _holders(bucket_totals(values, linear(F.col("v"), lo, hi)), ranks)
+    return held[0]["last"] if len(held) > 1 else held[0]["first"], held[-1]["first"]
+
+
+def exact_median(
+    values: DataFrame, totals: DataFrame | None = None, folder: str | None = None
+) -> float | None:
+    """The median of the non-null doubles ``v``, interpolated between the two middle values; None if
+    there are none. ``values`` is read again by a pass or two, so it should be a written table or a
+    columnar source."""
+    if totals is None:
+        totals = bucket_totals(values, magnitude(F.col("v")))
+    found = select_middle(values, totals, 0, folder)
+    if found is None:
+        return None
+    lower, upper = found
     if lower == upper or not math.isfinite(lower):
         return lower
     if not math.isfinite(upper):
@@ -98,36 +133,20 @@ def exact_median(values: DataFrame) -> float | None:
     return lower + gap / 2 if math.isfinite(gap) else lower / 2 + upper / 2
 
 
-def sketch_size(error: float) -> int:
-    """Size of a KLL sketch whose rank error stays within ``error`` (99 % confidence)."""
+def near_median(
+    values: DataFrame, error: float, totals: DataFrame | None = None, folder: str | None = None
+) -> float | None:
+    """One of the non-null doubles ``v`` whose rank is off the middle by no more than ``error`` of the
+    rows; None if there are none. The bound is certain, as it rests on counts, and reruns agree.
+
+    One pass is enough unless more than ``error`` of the rows lie within a thousandth of the median.
+    """
     if not 0 < error < 1:
         raise ValueError("error must lie between 0 and 1")
-    size = max(8, math.ceil((2.296 / error) ** (1 / 0.9021)))
-    if size > MOST_SKETCH:
-        raise ValueError(f"no sketch keeps an error of {error}; use the exact method")
-    return size
-
-
-def merge_group() -> Column:
-    """Sketches of the same group are merged in one task, and the groups after that, so that the
-    last task merges a fixed number of them however many tasks read the source."""
-    return (F.spark_partition_id() % MERGE_GROUPS).alias("part")
-
-
-def sketch(v: Column, error: float) -> Column:
-    return F.kll_sketch_agg_double(v, F.lit(sketch_size(error))).alias("sketch")
-
-
-def sketch_middle(sketches: str) -> Column:
-    """An aggregate: the median from a column of sketches; null for no values."""
-    merged = F.kll_merge_agg_double(sketches)
-    some = F.kll_sketch_get_n_double(merged) > 0
-    return F.when(some, F.kll_sketch_get_quantile_double(merged, F.lit(0.5)))
-
-
-def sketch_median(parts: DataFrame) -> float | None:
-    """The median from the ``sketch`` of every merge group; None for no values."""
-    return parts.agg(sketch_middle("sketch").alias("median")).first()["median"]
+    if totals is None:
+        totals = bucket_totals(values, magnitude(F.col("v")))
+    found = select_middle(values, totals, error, folder)
+    return found[0] if found else None
 
 
 def median(
@@ -140,21 +159,19 @@ def median(
 ) -> float | None:
     """The median of a numeric column; null and NaN are left out, None if nothing is left.
 
-    ``exact`` interpolates between the two middle values and is reproducible. It reads ``df``
-    once to stage the column under ``work_path``, or else under ``spark.checkpoint.dir``, until the
-    median is found; with ``reread`` it stages nothing and reads ``df`` on every pass, which is better for a plain
-    columnar table. ``approx`` reads ``df`` once and returns a value whose rank is off by no more
-    than ``error`` of the rows.
+    ``exact`` interpolates between the two middle values, ``approx`` returns a value whose rank is off by
+    no more than ``error`` of the rows; both are reproducible. ``exact`` reads ``df`` once to stage the
+    column under ``work_path``, or else under ``spark.checkpoint.dir``, until the median is found; with
+    ``reread`` it stages only what lies near the middle and reads ``df`` once or twice more, which is
+    better for a plain columnar table. ``approx`` mostly ends after the one pass and always does the latter.
     """
     values = df.select(no_nan(column(col)).alias("v")).where(F.col("v").isNotNull())
-    if method == "exact":
-        if reread:
-            return exact_median(values)
-        with temporary(df.sparkSession, work_path) as folder:
-            return exact_median(staged(values, folder))
-    if method == "approx":
-        return sketch_median(values.groupBy(merge_group()).agg(sketch(F.col("v"), error)))
-    raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
+    if method not in ("exact", "approx"):
+        raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
+    with temporary(df.sparkSession, work_path) as folder:
+        if method == "approx":
+            return near_median(values, error, folder=folder)
+        return exact_median(values if reread else staged(values, folder), folder=folder)
 
 
 def fill_measure(df: DataFrame, col: str, fill: float | None, digits: int | None) -> DataFrame:

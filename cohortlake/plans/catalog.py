@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlake import operators as ops
-from cohortlake import sinks, sources
+from cohortlake import sinks, sources, versions
 from cohortlake.contract import (
     DOSAGE_EDGES,
     DOSAGE_LABELS,
@@ -132,6 +132,76 @@ def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_records(spark, [f"{base}/one", f"{base}/other"], RECORDS)
 
 
+LINE_CONTRACT = Contract(
+    schema=T.StructType(
+        [
+            T.StructField("l_orderkey", T.LongType()),
+            T.StructField("l_linenumber", T.IntegerType()),
+            T.StructField("l_returnflag", T.StringType()),
+        ]
+    ),
+    critical=("l_orderkey",),
+    key="l_orderkey",
+)
+LINES_SQL = """
+SELECT l_orderkey, CASE
+  WHEN l_orderkey % 7 = 0 THEN concat_ws(',', l_orderkey, l_linenumber)
+  WHEN l_orderkey % 11 = 0 THEN concat_ws(',', l_orderkey, l_linenumber, l_returnflag, 'more')
+  ELSE concat_ws(',', l_orderkey, l_linenumber, l_returnflag) END AS line
+FROM lineitem
+""".strip()
+
+
+def uneven_lines(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of CSV files in which some rows have two or four fields under a header of three."""
+    key, number, flag = (F.col(name) for name in LINE_CONTRACT.names)
+    line = (
+        F.when(key % 7 == 0, F.concat_ws(",", key, number))
+        .when(key % 11 == 0, F.concat_ws(",", key, number, flag, F.lit("more")))
+        .otherwise(F.concat_ws(",", key, number, flag))
+    )
+    path = scratch_dir(spark)
+    # one column whose name is the header; its separator doesn't occur, so nothing gets quoted
+    lines = load(spark, sf_dir, "lineitem").select(line.alias(",".join(LINE_CONTRACT.names)))
+    lines.write.format("csv").options(header=True, sep="\x01").save(path)
+    return path
+
+
+@query(f"SELECT line AS text FROM ({LINES_SQL}) WHERE l_orderkey % 7 = 0 OR l_orderkey % 11 = 0")
+def ragged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.ragged_rows(spark, uneven_lines(spark, sf_dir)).select("text")
+
+
+@query(
+    """
+    SELECT l_orderkey, cast(l_linenumber AS integer) AS l_linenumber,
+           CASE WHEN l_orderkey % 7 <> 0 THEN l_returnflag END AS l_returnflag
+    FROM lineitem
+    """
+)
+def ragged_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What rows of a wrong length share with the header is kept."""
+    return sources.read_records(spark, uneven_lines(spark, sf_dir), LINE_CONTRACT)
+
+
+@query(
+    """
+    SELECT count(*) AS total_records, count(*) FILTER (WHERE even) AS valid_records,
+           count(*) FILTER (WHERE NOT even) AS invalid_records,
+           count(*) FILTER (WHERE NOT even) AS ragged_records
+    FROM (SELECT l_orderkey % 7 <> 0 AND l_orderkey % 11 <> 0 AS even FROM lineitem)
+    """
+)
+def ragged_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of a run that rejects rows of a wrong length."""
+    frames = sources.read_frames(spark, uneven_lines(spark, sf_dir), ragged=True)
+    raw = sources.raw_records(frames, LINE_CONTRACT)
+    metrics = pl.source_metrics(raw, LINE_CONTRACT, "l_linenumber", ragged="reject")
+    return pl.metrics_row(spark, metrics).select(
+        "total_records", "valid_records", "invalid_records", "ragged_records"
+    )
+
+
 @records_query(
     """
     SELECT column_name,
@@ -178,6 +248,21 @@ def partition_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_partitioned(spark, path, df.schema, where={"drug": "R"})
 
 
+@records_query(
+    """
+    SELECT patient_id, trial_id, drug, outcome_score FROM valid
+    WHERE drug = 'R' AND trial_id = '1-URGENT'
+    """
+)
+def clustered_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One trial of one drug: the folders of other drugs and the row groups of other trials are skipped."""
+    df = _valid(spark, sf_dir, "patient_id", "trial_id", "drug", "outcome_score").drop("site")
+    path = scratch_dir(spark)
+    sinks.write_partitioned(df, path, "drug", layout="rebalance", cluster_by=["trial_id"])
+    wanted = {"drug": "R", "trial_id": "1-URGENT"}
+    return sources.read_partitioned(spark, path, df.schema, where=wanted)
+
+
 # ---- sinks ---------------------------------------------------------------------------------
 
 
@@ -204,6 +289,35 @@ def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_partitioned(spark, path, df.schema)
 
 
+AGED_SQL = "SELECT patient_id, drug, CASE WHEN drug = 'A' THEN age + {} ELSE age END AS age FROM records"
+
+
+def _aged_twice(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A versioned table whose partition A was replaced twice, so that it has three versions."""
+    df = trial_records(spark, sf_dir, "patient_id", "drug", "age")
+    path = scratch_dir(spark)
+    sinks.write_versioned(df, path, "drug")
+    for years in (1, 2):
+        later = df.where("drug = 'A'").withColumn("age", F.col("age") + years)
+        sinks.write_versioned(later, path, "drug", overwrite="dynamic")
+    return path, df
+
+
+@records_query(AGED_SQL.format(2))
+def versioned_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, df = _aged_twice(spark, sf_dir)
+    return sources.read_partitioned(spark, path, df.schema)
+
+
+@records_query(f"{AGED_SQL.format(1)} WHERE drug = 'A'")
+def version_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of three versions brought back, all others removed."""
+    path, df = _aged_twice(spark, sf_dir)
+    versions.restore(spark, path, 2)
+    versions.expire(spark, path)
+    return sources.read_partitioned(spark, path, df.schema, where={"drug": "A"})
+
+
 @records_query(f"{STATS_SQL} FROM clean GROUP BY trial_id, drug")
 def stats_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = ops.ordered(ops.cohort_stats(_clean(spark, sf_dir, *STATS_COLUMNS)))
@@ -244,17 +358,23 @@ def summary_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT l_returnflag, count(*) AS row_count, TRUE AS has_files FROM lineitem
-    GROUP BY l_returnflag
+    SELECT l_returnflag, count(*) AS row_count, count(DISTINCT l_orderkey % 4) AS file_count,
+           min(l_linenumber) AS min_l_linenumber, max(l_linenumber) AS max_l_linenumber,
+           min(l_quantity) AS min_l_quantity, max(l_quantity) AS max_l_quantity
+    FROM lineitem GROUP BY l_returnflag
     """
 )
 def output_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many files there are depends on the layout, so only their presence is compared."""
-    df = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    """Four tasks write, so a flag has a file for each of them that holds one of its rows."""
+    df = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"
+    )
+    task = (F.col("l_orderkey") % 4).cast("int")
     path = scratch_dir(spark)
-    sinks.write_partitioned(df, path, "l_returnflag", layout="rebalance")
-    files = sources.output_inventory(spark, path, "l_returnflag", df.schema)
-    return files.select("l_returnflag", "row_count", (F.col("file_count") > 0).alias("has_files"))
+    sinks.write_partitioned(df.repartitionById(4, task), path, "l_returnflag")
+    ranges = ("l_linenumber", "l_quantity")
+    found = sources.output_inventory(spark, path, "l_returnflag", df.schema, ranges)
+    return found.drop("byte_count")
 
 
 # ---- validation and quality ----------------------------------------------------------------
@@ -520,6 +640,8 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
            (SELECT score FROM middle) AS median,
            cast(0 AS bigint) AS parse_failures,
            'note' AS extra_columns,
+           cast(0 AS bigint) AS ragged_records,
+           count(*) FILTER (WHERE NOT ({MISSING})) AS written_records,
            TRUE AS has_files,
            cast(NULL AS varchar) AS error
     FROM records
@@ -542,6 +664,8 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "median",
         failures.alias("parse_failures"),
         F.array_join("extra_columns", ",").alias("extra_columns"),
+        "ragged_records",
+        "written_records",
         (F.col("output_files") > 0).alias("has_files"),
         "error",
     )
@@ -553,13 +677,32 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
            count(*) FILTER (WHERE NOT ({MISSING})) AS valid_records,
            count(*) FILTER (WHERE {MISSING}) AS invalid_records,
            count(*) FILTER (WHERE NOT ({MISSING}) AND outcome_score IS NULL) AS imputed_records,
-           (SELECT score FROM middle) AS median
+           (SELECT score FROM middle) AS median,
+           count(*) FILTER (WHERE status = 'withdrawn') AS bad_ages,
+           count(*) FILTER (WHERE status = 'active') AS bad_days
     FROM records
     """
 )
 def observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = pl.source_metrics(as_text(trial_records(spark, sf_dir)))
-    return pl.metrics_row(spark, metrics).drop("parse_failures")
+    """With ages and days of some rows that don't parse."""
+    text = as_text(trial_records(spark, sf_dir))
+    age, day, status = (F.col(name) for name in ("age", "enrollment_date", "status"))
+    text = text.withColumns(
+        {
+            "age": F.when(status == "withdrawn", F.concat(age, F.lit("y"))).otherwise(age),
+            "enrollment_date": F.when(status == "active", F.translate(day, "-", ".")).otherwise(day),
+        }
+    )
+    failed = F.col("parse_failures")
+    return pl.metrics_row(spark, pl.source_metrics(text)).select(
+        "total_records",
+        "valid_records",
+        "invalid_records",
+        "imputed_records",
+        "median",
+        failed["age"].alias("bad_ages"),
+        failed["enrollment_date"].alias("bad_days"),
+    )
 
 
 def run_on_tables(spark: SparkSession, sf_dir: str, **options: object) -> pl.PipelineResult:
@@ -648,3 +791,59 @@ def end_to_end_null_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.records.select(
         "patient_id", "trial_id", "drug", "outcome_score", "dosage_bucket", "weight_group"
     )
+
+
+@records_query(
+    f"""
+    {STATS_SQL}
+    FROM (SELECT * REPLACE (coalesce(outcome_score, (SELECT score FROM middle)) AS outcome_score)
+          FROM valid)
+    GROUP BY trial_id, drug
+    """
+)
+def end_to_end_csv_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of the unrounded median, as CSV."""
+    return run_on_tables(
+        spark, sf_dir, median_digits=None, output_format="csv", stats_format="csv"
+    ).stats
+
+
+PARTIAL = "SELECT * REPLACE (CASE WHEN drug = 'A' THEN age + 1 ELSE age END AS age) FROM valid"
+
+
+def _partial_run(spark: SparkSession, sf_dir: str, publishing: str) -> pl.PipelineResult:
+    """A whole run, then one of a single drug's records, a year later."""
+    records, base = trial_records(spark, sf_dir), scratch_dir(spark)
+    later = records.where("drug = 'A'").withColumn("age", F.col("age") + 1)
+    for name, df, overwrite in (("all", records, "static"), ("later", later, "dynamic")):
+        sinks.write_table(as_text(df), f"{base}/{name}", "csv")
+        config = pl.PipelineConfig(
+            input_path=f"{base}/{name}",
+            output_path=f"{base}/records",
+            stats_path=f"{base}/stats",
+            work_path=f"{base}/work",
+            run_date="2024-06-01",
+            overwrite=overwrite,
+            publishing=publishing,
+        )
+        result = pl.run_pipeline(spark, config)
+    return result
+
+
+@records_query(f"SELECT patient_id, trial_id, drug, site, age, status FROM ({PARTIAL})")
+def partial_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = _partial_run(spark, sf_dir, "rename")
+    return result.records.select("patient_id", "trial_id", "drug", "site", "age", "status")
+
+
+@records_query(
+    f"""
+    SELECT trial_id, drug, count(patient_id) AS patient_count, avg(age) AS avg_age,
+           count(DISTINCT site) AS site_count
+    FROM ({PARTIAL}) GROUP BY trial_id, drug
+    """
+)
+def partial_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published by pointing to versions."""
+    stats = _partial_run(spark, sf_dir, "version").stats
+    return stats.select("trial_id", "drug", "patient_count", "avg_age", "site_count")

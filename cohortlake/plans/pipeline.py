@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlake import versions
 from cohortlake.contract import (
     DOSAGE_EDGES,
     DOSAGE_LABELS,
@@ -28,14 +29,14 @@ from cohortlake.contract import (
     ContractError,
     EmptyInputError,
 )
-from cohortlake.functions.columns import is_valid, no_nan, parse_failed, typed
+from cohortlake.functions.columns import column, is_valid, no_nan, parse_failed, typed
 from cohortlake.operators.features import bucketize, stamp
 from cohortlake.operators.imputation import (
+    bucket_totals,
     exact_median,
     fill_measure,
-    merge_group,
-    sketch,
-    sketch_middle,
+    magnitude,
+    near_median,
 )
 from cohortlake.operators.quality import apply_contract, check_columns
 from cohortlake.operators.stats import (
@@ -45,10 +46,14 @@ from cohortlake.operators.stats import (
     ordered,
     record_measures,
 )
-from cohortlake.scratch import beside, discard, publish, staged, temporary
-from cohortlake.sinks.tables import write_partitioned, write_table, write_validated
-from cohortlake.sources.records import raw_records, read_frames
-from cohortlake.sources.tables import read_partitioned
+from cohortlake.scratch import Publication, beside, discard, staged, temporary
+from cohortlake.sinks.tables import LAYOUTS, write_partitioned, write_table, write_validated
+from cohortlake.sources.records import RAGGED, header_differs, raw_records, read_frames
+from cohortlake.sources.tables import file_manifest, read_partitioned
+
+OVERWRITE = ("static", "dynamic")
+PUBLISHING = ("rename", "version")
+RAGGED_ROWS = ("keep", "reject")
 
 
 @dataclass(frozen=True)
@@ -97,8 +102,21 @@ class PipelineConfig:
     made from that. Staged tables lie in a new folder under ``work_path``, or else under
     ``spark.checkpoint.dir``, until the run ends.
 
-    ``median_method="approx"`` is off by no more than ``median_error`` in rank with 99 %
-    confidence, and two runs may fill in different values; ``"exact"`` is reproducible.
+    ``overwrite="dynamic"`` is a partial run, such as one day's: it replaces the partitions that occur in
+    its valid records, and the cohorts of those partitions in the statistics, and leaves all others as they
+    are, file by file. The partition column must then be one of the ``keys``. Validated and rejected
+    rows are always those of the run.
+
+    ``publishing="rename"`` puts finished folders in place by renaming. ``"version"`` makes every output a
+    versioned table (``cohortlake.versions``): a run adds one small file per output, and nothing is moved.
+
+    ``ragged`` says what becomes of rows with more or fewer fields than the header. They are counted in any
+    case; ``"keep"`` cuts them or fills them with nulls, ``"reject"`` makes them invalid.
+
+    ``cluster_by`` sorts the records of every file, see ``write_partitioned``.
+
+    ``median_method="approx"`` is off by no more than ``median_error`` in rank and stages no column;
+    both methods are reproducible.
     """
 
     input_path: str | list[str]
@@ -121,6 +139,10 @@ class PipelineConfig:
     partition_by: str = "drug"
     layout: str = "rebalance"
     max_records_per_file: int | None = None
+    cluster_by: Sequence[str] = ()
+    overwrite: str = "static"
+    publishing: str = "rename"
+    ragged: str = "keep"
     output_format: str = "parquet"
     stats_format: str = "parquet"
     keys: Sequence[str] = COHORT_KEYS
@@ -182,6 +204,7 @@ METRICS = T.StructType(
         T.StructField("total_records", T.LongType()),
         T.StructField("valid_records", T.LongType()),
         T.StructField("invalid_records", T.LongType()),
+        T.StructField("ragged_records", T.LongType()),
         T.StructField("imputed_records", T.LongType()),
         T.StructField("median", T.DoubleType()),
         T.StructField("parse_failures", T.MapType(T.StringType(), T.LongType())),
@@ -189,6 +212,12 @@ METRICS = T.StructType(
 )
 
 
+def valid_row(raw: DataFrame, contract: Contract, trim: bool, ragged: str) -> Column:
+    """Whether a row of the source has all critical fields, and if need be as many as the header."""
+    valid = is_valid(raw.schema, contract.critical, contract.null_values, trim)
+    return valid & F.col(RAGGED).isNull() if ragged == "reject" else valid
+
+
 def source_metrics(
     raw: DataFrame,
     contract: Contract = RECORDS,
@@ -197,53 +226,56 @@ def source_metrics(
     error: float = 0.0025,
     trim: bool = False,
     work_path: str | None = None,
+    ragged: str = "keep",
 ) -> dict[str, object]:
-    """The fields of ``METRICS`` from one pass over the source: total, valid, invalid and to be
-    imputed records, the median of the valid records' measure, and parse failures per column.
+    """The fields of ``METRICS`` from one pass over the source: total, valid, invalid, ragged and to be
+    imputed records, the median of the valid records' measure, and parse failures per column. Ragged
+    ones are counted if ``raw`` has the column ``RAGGED``, else they are None.
 
     For the exact median the pass writes, without a shuffle, a slim table of the measure and one
-    flag per check, and all metrics are read off that table; for the approximate one it is a
-    single aggregation. The metrics are results of ordinary aggregations: work redone after
-    a lost executor is not counted twice, as it can be by accumulators and observed metrics ahead
-    of a shuffle.
+    flag per check, and all metrics are read off that table. For the approximate one it is an
+    aggregation by the buckets of the median, whose totals hold everything else as well; the source is
+    read again only if the bucket with the middle is too full. The metrics are results of ordinary
+    aggregations: work redone after a lost executor is not counted twice, as it can be by
+    accumulators and observed metrics ahead of a shuffle.
     """
     if method not in ("exact", "approx"):
         raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
     if not isinstance(contract.schema[measure].dataType, T.NumericType):
         raise ContractError(f"the measure {measure} must be numeric")
-    valid = is_valid(raw.schema, contract.critical, contract.null_values, trim)
+    valid = valid_row(raw, contract, trim, ragged)
+    uneven = F.col(RAGGED).isNotNull() if RAGGED in raw.columns else F.lit(False)
     value = no_nan(typed(raw.schema[measure], contract.schema[measure], contract))
     parsed = [f for f in contract.schema if not isinstance(f.dataType, T.StringType)]
     flags = {f.name: f"bad_{f.name}" for f in parsed}
     slim = raw.select(
         valid.alias("valid"),
         F.when(valid, value).alias("v"),
+        uneven.alias("ragged"),
         *[parse_failed(raw.schema[f.name], f, contract).alias(flags[f.name]) for f in parsed],
     )
     counted = {
         "total": F.count(F.lit(1)),
         "valid": F.count_if("valid"),
         "measured": F.count("v"),
+        "ragged": F.count_if("ragged"),
         **{flag: F.count_if(flag) for flag in flags.values()},
     }
-    if method == "exact":
-        with temporary(raw.sparkSession, work_path) as folder:
+    with temporary(raw.sparkSession, work_path) as folder:
+        if method == "exact":
             slim = staged(slim, folder)
-            counts = slim.agg(*[c.alias(name) for name, c in counted.items()]).first()
-            median = exact_median(slim.select("v").where(F.col("v").isNotNull()))
-    else:
-        parts = slim.groupBy(merge_group()).agg(
-            sketch(F.col("v"), error), *[c.alias(name) for name, c in counted.items()]
-        )
-        merged = sketch_middle("sketch").alias("median")
-        counts = parts.agg(
-            merged, *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counted]
-        ).first()
-        median = counts["median"]
+        totals = staged(bucket_totals(slim, magnitude(F.col("v")), counted), folder)
+        counts = totals.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counted]).first()
+        values = slim.select("v").where(F.col("v").isNotNull())
+        if method == "exact":
+            median = exact_median(values, totals, folder)
+        else:
+            median = near_median(values, error, totals, folder)
     return {
         "total_records": counts["total"],
         "valid_records": counts["valid"],
         "invalid_records": counts["total"] - counts["valid"],
+        "ragged_records": counts["ragged"] if RAGGED in raw.columns else None,
         "imputed_records": counts["valid"] - counts["measured"],
         "median": median,
         "parse_failures": {name: counts[flag] for name, flag in flags.items()},
@@ -279,7 +311,7 @@ def run_summary(
 ) -> DataFrame:
     """The summary row of a run from its one row of metrics; further metrics are kept, and
     ``more`` columns follow."""
-    kept = [c for c in ("imputed_records", "median", "parse_failures") if c in metrics.columns]
+    kept = [c for c in ("ragged_records", "imputed_records", "median", "parse_failures") if c in metrics.columns]
     return metrics.select(
         F.lit(name).alias("pipeline"),
         F.lit(run_date).alias("run_date"),
@@ -292,8 +324,8 @@ def run_summary(
     )
 
 
-#: Names that the run adds to its own tables.
-VALID, ROWS = "__valid", "__rows"
+#: A name that the run adds to its own table.
+VALID = "__valid"
 
 
 def summary_of(
@@ -306,6 +338,7 @@ def summary_of(
     names = F.lit(None) if extra is None else F.array(*[F.lit(name) for name in extra])
     more = {
         "extra_columns": names.cast("array<string>"),
+        "written_records": F.lit(found.get("written_records")).cast("long"),
         "output_files": F.lit(found.get("output_files")).cast("long"),
         "error": F.lit(error).cast("string"),
     }
@@ -313,18 +346,56 @@ def summary_of(
     return run_summary(metrics_row(spark, metrics), config.name, config.run_date, status, more)
 
 
+def check_options(config: PipelineConfig) -> None:
+    """Raise for an option that isn't known, or that doesn't go with another one."""
+    known = {
+        "null_keys": NULL_KEYS,
+        "layout": LAYOUTS,
+        "overwrite": OVERWRITE,
+        "publishing": PUBLISHING,
+        "ragged": RAGGED_ROWS,
+    }
+    for name, values in known.items():
+        if getattr(config, name) not in values:
+            raise ValueError(f"{name} must be one of {values}, not {getattr(config, name)!r}")
+    if config.overwrite == "dynamic" and config.partition_by not in config.keys:
+        raise ValueError("a partial run needs the partition column among the keys of its statistics")
+
+
+def put_in_place(
+    spark: SparkSession, config: PipelineConfig, new: Mapping[str, str], publication: Publication
+) -> None:
+    """Make the finished folders ``new`` what readers of the outputs see."""
+    for path, finished in new.items():
+        partial = config.overwrite == "dynamic" and path == config.output_path
+        depth = int(path == config.output_path)
+        if config.publishing == "version":
+            mode = "dynamic" if partial else "static"
+            made = versions.commit(spark, path, finished, depth, mode)
+            publication.on_failure(lambda p=path, v=made: versions.withdraw(spark, p, v))
+        elif partial:
+            if versions.current(spark, path):
+                raise ValueError(f"{path} is a versioned table; its partitions can't be renamed into")
+            parts = versions.partitions_of(spark, finished, depth)
+            publication.replace_partitions(finished, path, parts)
+        else:
+            publication.replace(finished, path)
+
+
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
-    """Run it all. Earlier results stay as they are until all new ones are written and checked; the
-    summary is written in any case, also if the run fails."""
+    """Run it all. Earlier results stay as they are until all new ones are written and checked, and come
+    back if one of these can't be put in place; the summary is written in any case, also if the run fails."""
     check_paths(spark, config)
     found: dict[str, object] = {}
     outputs = [config.output_path, config.stats_path, config.validated_path, config.invalid_path]
-    new = {path: beside(path) for path in outputs if path}
+    place = versions.new_folder if config.publishing == "version" else beside
+    new = {path: place(path) for path in outputs if path}
     try:
+        check_options(config)
         with temporary(spark, config.work_path) as folder:
             schemas = write_results(spark, config, new, folder, found)
-        for path, finished in new.items():
-            publish(spark, finished, path)
+        with Publication(spark) as publication:
+            put_in_place(spark, config, new, publication)
     except Exception as error:
         for finished in new.values():
             discard(spark, finished)
@@ -350,6 +421,68 @@ def lines_of(config: PipelineConfig, format: str) -> dict[str, str]:
     return {"multiLine": "true"} if config.multi_line and format == "csv" else {}
 
 
+def read_source(
+    spark: SparkSession, config: PipelineConfig, folder: str, found: dict[str, object]
+) -> DataFrame:
+    """The source's contract columns as text, with ``RAGGED``; adds its metrics to ``found``.
+
+    All files are taken to have one header, which Spark checks as it reads them. Only if one differs,
+    files are sorted by header, and the pass is made again."""
+
+    def measured(look: bool) -> DataFrame:
+        options = dict(config.read_options)
+        frames = read_frames(spark, config.input_path, config.multi_line, look, True, **options)
+        extra = {c for f in frames for c in check_columns(f, config.contract)} - {RAGGED}
+        raw = raw_records(frames, config.contract)
+        metrics = source_metrics(
+            raw,
+            config.contract,
+            config.measure,
+            config.median_method,
+            config.median_error,
+            config.trim,
+            folder,
+            config.ragged,
+        )
+        found.update(extra_columns=sorted(extra), metrics=metrics)
+        return raw
+
+    try:
+        return measured(look=False)
+    except (ContractError, EmptyInputError):
+        # the one file whose header was read may be the odd one
+        return measured(look=True)
+    except Exception as error:
+        if not header_differs(error):
+            raise
+        return measured(look=True)
+
+
+def cohorts_after(
+    spark: SparkSession, config: PipelineConfig, stats: DataFrame, records: T.StructType
+) -> DataFrame:
+    """The statistics of a partial run, with the earlier ones of all other partitions; where there are
+    none, they are computed from the records of these partitions."""
+    touched = stats.select(column(config.partition_by).alias("__touched")).distinct()
+
+    def others(df: DataFrame) -> DataFrame:
+        same = column(config.partition_by).eqNullSafe(F.col("__touched"))
+        return df.join(touched, same, "left_anti")
+
+    try:
+        earlier = others(
+            read_partitioned(spark, config.stats_path, stats.schema, format=config.stats_format)
+        )
+    except FileNotFoundError:
+        try:
+            table = read_partitioned(spark, config.output_path, records, format=config.output_format)
+        except FileNotFoundError:
+            return stats
+        measures = record_measures() if config.measures is None else config.measures
+        earlier = cohort_stats(others(table), config.keys, measures)
+    return stats.unionByName(earlier)
+
+
 def write_results(
     spark: SparkSession,
     config: PipelineConfig,
@@ -360,28 +493,14 @@ def write_results(
     """Write all outputs of a run but the summary to their ``new`` folders, with staged tables in
     ``folder``. Gives the schemas of records and statistics; adds to ``found``."""
     contract = config.contract
-    if config.null_keys not in NULL_KEYS:
-        raise ValueError(f"null_keys must be one of {NULL_KEYS}, not {config.null_keys!r}")
-    frames = read_frames(
-        spark, config.input_path, config.multi_line, **dict(config.read_options)
-    )
-    found["extra_columns"] = sorted({c for f in frames for c in check_columns(f, contract)})
-    raw = raw_records(frames, contract)
-    metrics = found["metrics"] = source_metrics(
-        raw,
-        contract,
-        config.measure,
-        config.median_method,
-        config.median_error,
-        config.trim,
-        folder,
-    )
+    raw = read_source(spark, config, folder, found)
+    metrics = found["metrics"]
     if metrics["total_records"] == 0:
         raise EmptyInputError(f"no records in {config.input_path}")
     if metrics["valid_records"] == 0:
         raise EmptyInputError(f"no valid records in {config.input_path}")
 
-    valid = is_valid(raw.schema, contract.critical, contract.null_values, config.trim)
+    valid = valid_row(raw, contract, config.trim, config.ragged)
     good = raw.where(valid)
     columnar = config.output_format != "csv"
     if config.validated_path or config.invalid_path or not columnar:
@@ -397,26 +516,37 @@ def write_results(
             write_validated(bad, new[config.invalid_path], contract.names)
 
     records = transform_records(apply_contract(good, contract), config, metrics["median"])
-    write_partitioned(
+    seen = write_partitioned(
         records,
         new[config.output_path],
         config.partition_by,
         layout=config.layout,
         max_records_per_file=config.max_records_per_file,
         format=config.output_format,
+        cluster_by=config.cluster_by,
+        observe={"rows": F.count(F.lit(1))},
     )
+    found["written_records"] = seen["rows"]
     written = read_partitioned(
         spark, new[config.output_path], records.schema, format=config.output_format
     )
-    found["output_files"] = len(written.inputFiles())
+    if columnar:
+        files = file_manifest(
+            spark, new[config.output_path], records.schema, format=config.output_format
+        )
+        found["output_files"], kept = files.agg(F.count(F.lit(1)), F.sum("rows")).first()
+    else:
+        # CSV files don't say how many rows they have
+        found["output_files"], kept = len(written.inputFiles()), seen["rows"]
+    if not seen["rows"] == kept == metrics["valid_records"]:
+        raise RuntimeError(
+            f"{seen['rows']} records written, {kept} in the files, {metrics['valid_records']} valid ones read"
+        )
 
     measures = record_measures() if config.measures is None else config.measures
-    measures = {**measures, ROWS: F.count(F.lit(1))}
-    stats = staged(cohort_stats(written if columnar else records, config.keys, measures), folder)
-    rows = stats.agg(F.sum(ROWS)).first()[0]
-    if rows != metrics["valid_records"]:
-        raise RuntimeError(f"{rows} records written, {metrics['valid_records']} valid ones read")
-    stats = stats.drop(ROWS)
+    stats = cohort_stats(written if columnar else records, config.keys, measures)
+    if config.overwrite == "dynamic":
+        stats = cohorts_after(spark, config, staged(stats, folder), records.schema)
     if config.null_keys == "drop":
         stats = stats.dropna(subset=list(config.keys))
     stats = ordered(stats, config.keys)

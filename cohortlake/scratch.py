@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +32,8 @@ def staged(df: DataFrame, base: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _located(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as Hadoop has it."""
     made = spark._jvm.org.apache.hadoop.fs.Path(path)
     return made.getFileSystem(spark._jsc.hadoopConfiguration()), made
 
@@ -55,25 +56,71 @@ def beside(path: str) -> str:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder that was made by this run, if it is there."""
-    system, made = _located(spark, path)
+    system, made = hadoop_path(spark, path)
     system.delete(made, True)
 
 
-def publish(spark: SparkSession, new: str, path: str) -> None:
-    """Put a finished folder in the place of the one at ``path``, by renaming.
+def _rename(spark: SparkSession, path: str, to: str) -> None:
+    system, made = hadoop_path(spark, path)
+    if not system.rename(made, hadoop_path(spark, to)[1]):
+        raise OSError(f"can't move {path} to {to}")
+
 
-    The old folder goes aside first and is removed last; if the new one can't be moved in, the old
-    one goes back. On file systems a rename is one step; object stores copy the files.
+class Publication:
+    """Finished folders that are put in place one after the other, as a block: if one can't be, or
+    anything else in the block fails, those before it go back.
+
+    What is replaced goes aside first and is removed at the end of the block. On file systems a
+    rename is one step; object stores copy the files, so there use versioned tables.
     """
-    system, finished = _located(spark, new)
-    _, place = _located(spark, path)
-    aside = _located(spark, beside(path))[1]
-    replaced = system.exists(place)
-    if replaced and not system.rename(place, aside):
-        raise OSError(f"can't move {path} aside")
-    if not system.rename(finished, place):
-        if replaced:
-            system.rename(aside, place)
-        raise OSError(f"can't move {new} to {path}")
-    if replaced:
-        system.delete(aside, True)
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self._undo: list[Callable[[], None]] = []
+        self._aside: list[str] = []
+
+    def __enter__(self) -> Publication:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        if kind:
+            for step in reversed(self._undo):
+                step()
+        for folder in self._aside:
+            discard(self.spark, folder)
+
+    def on_failure(self, step: Callable[[], None]) -> None:
+        """What else to undo if the block fails."""
+        self._undo.append(step)
+
+    def replace(self, new: str, path: str, aside: str | None = None) -> None:
+        """Put the folder ``new`` in the place of the one at ``path``."""
+        system, place = hadoop_path(self.spark, path)
+        if system.exists(place):
+            if not aside:
+                aside = beside(path)
+                self._aside.append(aside)
+            _rename(self.spark, path, aside)
+            self.on_failure(lambda: _rename(self.spark, aside, path))
+        else:
+            system.mkdirs(place.getParent())
+        _rename(self.spark, new, path)
+        self.on_failure(lambda: _rename(self.spark, path, new))
+
+    def replace_partitions(self, new: str, path: str, partitions: Iterable[str]) -> None:
+        """Put the partitions that the folder ``new`` has in the places of those at ``path``; all others
+        stay as they are."""
+        aside = beside(path)
+        self._aside += [aside, new]
+        for part in partitions:
+            folder = f"{aside}/{part}"
+            system, made = hadoop_path(self.spark, folder)
+            system.mkdirs(made.getParent())
+            self.replace(f"{new}/{part}", f"{path.rstrip('/')}/{part}", folder)
+
+
+def publish(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of the one at ``path``; if it can't be moved in, the old
+    one goes back."""
+    with Publication(spark) as publication:
+        publication.replace(new, path)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
+from cohortlake import versions
 from cohortlake.formats import options_of
+from cohortlake.functions.columns import column
+from cohortlake.scratch import discard
 
 LAYOUTS = ("direct", "rebalance")
 
@@ -19,7 +22,9 @@ def write_partitioned(
     layout: str = "direct",
     max_records_per_file: int | None = None,
     format: str = "parquet",
-) -> None:
+    cluster_by: Sequence[str] = (),
+    observe: Mapping[str, Column] | None = None,
+) -> dict[str, object]:
     """Write a table in one folder per value of ``by``, replacing what is there.
 
     ``overwrite="static"`` replaces the whole table, ``"dynamic"`` only the partitions that
@@ -31,6 +36,12 @@ def write_partitioned(
     adaptive execution join small partitions and split large ones, a value holding a third of
     the rows included; it suits many values, and needs adaptive execution: without it the
     largest value would be one task.
+
+    ``cluster_by`` sorts the rows of every file by these columns, so that a reader that asks for one of
+    their values skips all row groups whose range doesn't hold it.
+
+    ``observe`` are aggregates over the rows as they are written; their values are returned. They belong to
+    the stage that writes, whose tasks count once each however often they are tried.
     """
     by = [by] if isinstance(by, str) else list(by)
     if overwrite not in ("static", "dynamic"):
@@ -46,6 +57,11 @@ def write_partitioned(
             if conf.get(setting, "true").lower() != "true":
                 raise ValueError(f"layout 'rebalance' needs {setting}")
         df = df.hint("rebalance", *by)
+    if cluster_by:
+        df = df.sortWithinPartitions(*[column(name) for name in [*by, *cluster_by]])
+    seen = Observation()
+    if observe:
+        df = df.observe(seen, *[c.alias(name) for name, c in observe.items()])
     writer = (
         df.write.mode("overwrite")
         .partitionBy(*by)
@@ -55,6 +71,30 @@ def write_partitioned(
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.save(path)
+    return dict(seen.get) if observe else {}
+
+
+def write_versioned(
+    df: DataFrame,
+    path: str,
+    by: Sequence[str] | str = (),
+    overwrite: str = "static",
+    format: str = "parquet",
+    **options: object,
+) -> versions.Version:
+    """Make a frame the next version of a versioned table: the whole of it, or with
+    ``overwrite="dynamic"`` its partitions. ``options`` are those of ``write_partitioned``."""
+    by = [by] if isinstance(by, str) else list(by)
+    folder = versions.new_folder(path)
+    try:
+        if by:
+            write_partitioned(df, folder, by, format=format, **options)
+        else:
+            write_table(df, folder, format)
+        return versions.commit(df.sparkSession, path, folder, len(by), overwrite)
+    except Exception:
+        discard(df.sparkSession, folder)
+        raise
 
 
 def write_table(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortlake.operators import imputation as module
 from cohortlake.operators import impute_median, median
-from cohortlake.operators.imputation import linear, magnitude, sketch_size
+from cohortlake.operators.imputation import linear, magnitude
 
 NAN, INF = math.nan, math.inf
 SF_DIR = "/root/testdata/sf0.001"
@@ -151,22 +151,55 @@ def test_approx_stays_within_its_rank_error(spark, table, col, error):
     assert df.where(F.col(col) == found).count() > 0
 
 
-def test_approx_is_exact_while_the_sketch_holds_all_values(spark):
-    values = [float(v) for v in range(101)]
-    assert sketch_size(0.0025) > 101
-    assert median(frame(spark, values), "x", "approx") == 50.0
+@pytest.mark.parametrize("error", [0.2, 0.01, 0.0001])
+@pytest.mark.parametrize(
+    "values",
+    [
+        [float(v) for v in range(3000)],
+        [float(v) for v in reversed(range(3000))],
+        [1.0] * 1000 + [2.0] * 999 + [3.0] * 2,
+        [1000 + v / 1e7 for v in range(3000)],
+        [5.0] * 1499 + [7.0] * 1501,
+        [-INF] * 3 + [INF] * 4,
+    ],
+)
+def test_approx_never_misses_its_bound(spark, values, error):
+    found = {median(frame(spark, values, parts), "x", "approx", error) for parts in (1, 7)}
+    assert len(found) == 1
+    (found,) = found
+    assert found in values
+    assert sum(v < found for v in values) <= (0.5 + error) * len(values)
+    assert sum(v <= found for v in values) >= (0.5 - error) * len(values)
+
+
+def test_approx_takes_one_pass_where_it_can(spark, passes):
+    values = [float(v) for v in range(1, 20_001)]
+    median(frame(spark, values, 4), "x", "approx", 0.01)
+    assert len(passes) == 1
 
 
-def test_sketch_size_follows_the_error():
-    assert sketch_size(0.01) < sketch_size(0.001) <= 65535
-    with pytest.raises(ValueError):
-        sketch_size(0)
+@pytest.mark.parametrize("error", [0, 1, -0.1])
+def test_an_error_must_be_a_share(spark, error):
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        median(frame(spark, [1.0]), "x", "approx", error)
+
+
+def test_two_passes_over_all_values(spark):
+    """One counts, one keeps what lies around the middle; later ones read only that."""
+    reads = spark.sparkContext.accumulator(0)
 
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
 
-@pytest.mark.parametrize("error", [1e-4, 1e-5])
-def test_an_error_that_no_sketch_keeps_is_told(error):
-    with pytest.raises(ValueError, match="exact"):
-        sketch_size(error)
+    n = 200_000
+    df = spark.range(0, n, 1, 4).select((F.pow(F.col("id") + 1.0, 1.7) % 50_021.3).alias("v"))
+    df.write.mode("overwrite").format("noop").save()
+    values = df.mapInArrow(counted, "v double")
+    found = module.exact_median(values)
+    assert found == df.selectExpr("percentile(v, 0.5)").first()[0]
+    assert reads.value == 2 * n
 
 
 def test_unknown_method(spark):

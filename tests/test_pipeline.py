@@ -53,6 +53,7 @@ def test_metrics(spark, config):
         "total_records": 7,
         "valid_records": 4,
         "invalid_records": 3,
+        "ragged_records": 0,
         "imputed_records": 1,
         "median": 20.0,
         "parse_failures": {
@@ -92,9 +93,11 @@ def test_stats_and_summary(spark, config, tmp_path):
         "valid_records": 4,
         "invalid_records": 3,
         "status": "SUCCESS",
+        "ragged_records": 0,
         "imputed_records": 1,
         "median": 20.0,
         "extra_columns": [],
+        "written_records": 4,
         "output_files": 2,
     }
 
@@ -169,6 +172,10 @@ def test_command_line(spark, config, tmp_path):
         (["--processed-at", "2024-01-02 03:04:05"], "processed_at", "2024-01-02 03:04:05"),
         (["--error", "0.01"], "median_error", 0.01),
         (["--max-records-per-file", "7"], "max_records_per_file", 7),
+        (["--overwrite", "dynamic"], "overwrite", "dynamic"),
+        (["--publishing", "version"], "publishing", "version"),
+        (["--ragged", "reject"], "ragged", "reject"),
+        (["--cluster-by", "trial_id", "site"], "cluster_by", ["trial_id", "site"]),
     ],
 )
 def test_command_line_options(option, field, value):
@@ -251,11 +258,9 @@ def test_paths_with_a_common_start_do_not_overlap(spark):
 def test_changed_input_is_noticed(spark, config, monkeypatch):
     pl.run_pipeline(spark, config())
     metrics = pl.source_metrics
-    monkeypatch.setattr(
-        pl, "source_metrics", lambda *a: {**metrics(*a), "valid_records": 5}
-    )
+    monkeypatch.setattr(pl, "source_metrics", lambda *a: {**metrics(*a), "valid_records": 5})
     changed = config(f"{HEADER}\n" + "\n".join(LINES).replace("P4", "P9") + "\n")
-    with pytest.raises(RuntimeError, match="4 records written, 5 valid ones read"):
+    with pytest.raises(RuntimeError, match="4 records written, 4 in the files, 5 valid ones read"):
         pl.run_pipeline(spark, changed)
     kept = {r.patient_id for r in spark.read.parquet(changed.output_path).collect()}
     assert kept == {"P1", "P2", "P3", "P4"}
@@ -385,5 +390,5 @@ def test_measure_must_be_numeric(spark, write):
 
 def test_metrics_row_without_parsed_columns(spark):
     names = [f.name for f in pl.METRICS]
-    row = pl.metrics_row(spark, dict(zip(names, [1, 1, 0, 1, None, {}]))).first()
-    assert tuple(row) == (1, 1, 0, 1, None, {})
+    row = pl.metrics_row(spark, dict(zip(names, [1, 1, 0, 0, 1, None, {}]))).first()
+    assert tuple(row) == (1, 1, 0, 0, 1, None, {})

@@ -1,13 +1,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 
 import pytest
 from pyspark.sql import types as T
 
 from cohortlake.contract import RECORDS, Contract, ContractError, EmptyInputError
 from cohortlake.operators import record_count
-from cohortlake.sources import files_by_header, read_raw, read_records, read_text_columns, records
+from cohortlake.sources import (
+    RAGGED,
+    files_by_header,
+    ragged_rows,
+    read_frames,
+    read_raw,
+    read_records,
+    read_text_columns,
+    records,
+)
 
 HEADER = ",".join(RECORDS.names)
 ROW = "P1,T1,A,S,10.5,40,70,2023-01-05,active,55.25"
@@ -142,3 +152,53 @@ def test_only_needed_columns_are_parsed(spark, write, plan_of):
 def test_nothing_is_inferred(spark, write):
     df = read_text_columns(spark, write("id,age\nP1,40\n"))
     assert {f.dataType for f in df.schema} == {T.StringType()}
+
+
+def test_rows_of_a_wrong_length(spark, write):
+    path = write('a,b,c\n1,2,3\n4,5\n6,7,8,9\n"x, ""y""",,\n\n,,\n')
+    rows = [tuple(r) for r in ragged_rows(spark, path).select("text").collect()]
+    assert rows == [("4,5",), ("6,7,8,9",)]
+    (frame,) = read_frames(spark, path, ragged=True)
+    assert frame.columns == ["a", "b", "c", RAGGED]
+    assert [tuple(r)[:3] for r in frame.collect()] == [
+        ("1", "2", "3"), ("4", "5", None), ("6", "7", "8"), ('x, "y"', None, None), (None, None, None)
+    ]
+    assert frame.where(f"{RAGGED} IS NOT NULL").count() == 2
+    assert frame.select(RAGGED).where(f"{RAGGED} IS NULL").count() == 3
+
+
+def test_rows_of_a_wrong_length_over_lines_and_headers(spark, write, tmp_path):
+    write('a,b\n"1\n2",3\n"4\n5"\n', "r/one.csv")
+    write("b,a,c\n1,2,3\n4\n", "r/two.csv")
+    found = ragged_rows(spark, str(tmp_path / "r"), multi_line=True)
+    assert {(r.file.rsplit("/", 1)[1], r.text) for r in found.collect()} == {
+        ("one.csv", '"4\n5"'), ("two.csv", "4")
+    }
+
+
+@pytest.mark.parametrize("few", [0, 64])
+def test_headers_from_the_driver_and_from_tasks(spark, write, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(records, "FEW_FILES", few)
+    long = ",".join(f"column{i}" for i in range(9000))
+    for name, text in {
+        "a.csv": "\r\n \nx,y\r\n1,2\r\n", "b.csv": "x,y\n3,4\n", "c.csv": "y,x\n5,6", "d.csv": "",
+        "e.csv": f"{long}\n", "f.csv": "x,y", "g.csv": "x,y\r", "h i.csv": "y,x\n",
+    }.items():
+        write(text, f"h/{name}")
+    with gzip.open(tmp_path / "h" / "z.csv.gz", "wt") as out:
+        out.write("y,x\n7,8\n")
+    groups = files_by_header(spark, str(tmp_path / "h"))
+    short = {line: [f.rsplit("/", 1)[1] for f in found] for line, found in groups.items()}
+    assert short == {
+        "x,y": ["a.csv", "b.csv", "f.csv", "g.csv"], "y,x": ["c.csv", "h i.csv", "z.csv.gz"], long: ["e.csv"]
+    }
+
+
+def test_one_header_is_taken_for_all_unless_looked_at(spark, write, tmp_path):
+    write("a,b\n1,2\n", "o/one.csv")
+    write("b,a\n1,2\n", "o/two.csv")
+    (frame,) = read_frames(spark, str(tmp_path / "o"), look=False, ragged=True)
+    with pytest.raises(Exception) as error:
+        frame.collect()
+    assert records.header_differs(error.value)
+    assert len(read_frames(spark, str(tmp_path / "o"))) == 2
