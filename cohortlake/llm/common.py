@@ -11,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.scratch import scratch_dir, staged
+from cohortlake.scratch import scratch_dir, staged, temporary
 
-__all__ = ["components", "prepare", "scratch_dir", "staged", "table"]
+__all__ = ["components", "free_name", "prepare", "scratch_dir", "staged", "table", "temporary"]
 
 ROOT = str(Path(__file__).resolve().parents[2])
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -173,12 +173,19 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hooks every node onto its smallest neighbour, follows the hooks to their ends by
     doubling, and contracts the edges; an edge whose ends meet is gone. Rounds grow with the
-    logarithm of the longest path. All of it is joins and aggregations over staged tables.
+    logarithm of the longest path. All of it is joins and aggregations over staged tables; those of the
+    rounds are removed at the end.
     """
+    with temporary(edges.sparkSession) as folder:
+        return staged(_components(edges, folder))
+
+
+def _components(edges: DataFrame, folder: str) -> DataFrame:
     edges = staged(
         edges.where("a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        .distinct(),
+        folder,
     )
     found = None
     while not edges.isEmpty():
@@ -186,7 +193,8 @@ def components(edges: DataFrame) -> DataFrame:
         hooks = staged(
             both.groupBy("a")
             .agg(F.min("b").alias("m"))
-            .select(F.col("a").alias("node"), F.least("a", "m").alias("component"))
+            .select(F.col("a").alias("node"), F.least("a", "m").alias("component")),
+            folder,
         )
         while True:
             ends = hooks.select(F.col("node").alias("component"), F.col("component").alias("end"))
@@ -195,7 +203,8 @@ def components(edges: DataFrame) -> DataFrame:
                     "node",
                     F.col("end").alias("component"),
                     (F.col("end") != F.col("component")).alias("moved"),
-                )
+                ),
+                folder,
             )
             moved = not hooks.where("moved").isEmpty()
             hooks = hooks.drop("moved")
@@ -204,26 +213,30 @@ def components(edges: DataFrame) -> DataFrame:
         to = lambda name: hooks.select(
             F.col("node").alias(name), F.col("component").alias(f"{name}_to")
         )
-        found = (
-            hooks
-            if found is None
-            else staged(
-                found.join(
-                    hooks.select(F.col("node").alias("component"), F.col("component").alias("end")),
-                    "component",
-                    "left",
-                )
-                .select("node", F.coalesce("end", "component").alias("component"))
-                .unionByName(hooks.join(found, "node", "left_anti"))
-            )
-        )
+        if found is None:
+            found = hooks
+        else:
+            ends = hooks.select(F.col("node").alias("component"), F.col("component").alias("end"))
+            known = found.join(ends, "component", "left")
+            new = hooks.join(found, "node", "left_anti")
+            known = known.select("node", F.coalesce("end", "component").alias("component"))
+            found = staged(known.unionByName(new), folder)
         edges = staged(
             edges.join(to("a"), "a")
             .join(to("b"), "b")
             .where("a_to <> b_to")
             .select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b"))
-            .distinct()
+            .distinct(),
+            folder,
         )
     if found is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return found
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have, in any case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name

@@ -2,13 +2,19 @@
 
 A text's set of word shingles is hashed once per shingle. The hash picks one of ``registers``
 buckets, and the bucket keeps its smallest hash as a leading-zero count and mantissa bits (16 bits
-in all). Four registers make a band; texts that share a band meet. What meets is first held
+in all). For banding, an empty register takes the value of the first filled one in a random order that
+belongs to the register and is the same for all texts (densified one-permutation hashing), and each value
+carries the register that it comes from: so a band of a short text is as telling as one of a long text.
+Four registers make a band; texts that share a band meet. What meets is first held
 against the sketches (matching registers less the collisions to be expected), and what may reach
 the threshold is confirmed on the full sets.
 
 At a similarity of 0.75, two large sets miss each other in all 40 bands with a probability of
-2.5e-7. Small sets fill few bands and would miss each other more often, so sets of up to ``FEW``
-shingles meet on shingles as well: on the smallest hashes, as many as a pair that links must share one of.
+2.5e-7; sets of a dozen shingles do about as seldom, as their bands draw from the same few shingles, each by its own
+order. Sets of up to ``FEW`` shingles have too few of them to tell bands apart, so they meet on shingles: on the
+smallest hashes, as many as a pair that links must share one of. Sets that are large enough to link with
+one of more than ``FEW`` have bands, those small enough to link with one of ``FEW`` shingles meet on these as well.
+A band that one shingle fills alone gives no key.
 The estimate drops a pair only if it lies five standard deviations under the threshold.
 
 Pairs aren't listed. Texts with the same set are one entry from the start. Estimates gather entries
@@ -38,18 +44,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.llm import common
-from cohortlake.llm.common import mix, prepare, staged
+from cohortlake.llm.common import mix, prepare, staged, temporary
 
 SHINGLE = 5
 REGISTERS = 160
 BAND = 4
 MANTISSA = 10
 PERCENT = 75
-#: Shingles of a set that also meets others on its shingles.
+#: Sets of up to so many shingles have no bands.
 FEW = 10
-#: Entries of a block: sketches of a bucket, texts of a family. A cell holds two blocks.
+#: Entries of a block: sketches of a bucket, texts of a family and bytes of these. A cell holds two blocks.
 SKETCHES = 1024
-TEXTS = 256
+TEXTS, BYTES = 256, 4 << 20
+#: Copies of a text beyond which it is hot, in rows and as a share of all rows.
+COPIES, HOT = 1000, 10_000
 
 _U = np.uint64
 _FACTORS = common._stream(23, SHINGLE) | _U(1)
@@ -60,11 +68,11 @@ def shingle_hashes(texts: list[bytes]) -> list[np.ndarray]:
     shingle has all its words as one."""
     owner, words, _ = common.word_hashes(texts)
     bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
-    n = len(words)
+    runs = max(len(words) - SHINGLE + 1, 0)
     with np.errstate(over="ignore"):
-        total = np.zeros(max(n - SHINGLE + 1, 0), dtype=_U)
+        total = np.zeros(runs, dtype=_U)
         for k in range(SHINGLE):
-            total += words[k : n - SHINGLE + 1 + k] * _FACTORS[k]
+            total += words[k : k + runs] * _FACTORS[k]
         total = mix(total)
         sets = []
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
@@ -94,6 +102,32 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _orders() -> np.ndarray:
+    """For every register the order in which it looks at all registers, itself first."""
+    keys = common._stream(41, REGISTERS * REGISTERS).reshape(REGISTERS, REGISTERS).copy()
+    np.fill_diagonal(keys, 0)
+    return np.argsort(keys, axis=1, kind="stable")
+
+
+_ORDERS = _orders()
+
+
+def densified(rows: np.ndarray) -> np.ndarray:
+    """Rows of registers, each with at least one filled: value and origin of every register, where
+    empty ones take the first filled one of their order."""
+    out = rows.astype(np.uint32)
+    out |= np.where(out > 0, np.arange(REGISTERS, dtype=np.uint32) << 16, 0).astype(np.uint32)
+    own = out.copy()
+    row, register = np.nonzero(out == 0)
+    step = 1
+    while len(row):
+        value = own[row, _ORDERS[register, step]]
+        out[row, register] = value
+        row, register = row[value == 0], register[value == 0]
+        step += 1
+    return out
+
+
 def similarity(one: np.ndarray, other: np.ndarray, n: np.ndarray, m: np.ndarray):
     """Estimated Jaccard similarities of rows of registers, and how many registers they rest on.
 
@@ -131,7 +165,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sketches.append(registers(hashes).tobytes() if filled else None)
                 # two sets that link share at least PERCENT of either: one of these, if sorted alike
                 n = len(hashes)
-                few.append(hashes[: n - -(-PERCENT * n // 100) + 1 if 0 < n <= FEW else 0].view(np.int64))
+                most = n - -(-PERCENT * n // 100) + 1 if 0 < PERCENT * n <= 100 * FEW else 0
+                few.append(hashes[:most].view(np.int64))
         yield common.batch(
             ["doc_id", "n_shingles", "digest", "sketch", "few"],
             part.column("doc_id"),
@@ -161,15 +196,21 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tag = common._stream(31, bands)
     for part in batches:
         ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+        sizes = part.column("n_shingles").to_numpy(zero_copy_only=False)
         for begin in range(0, len(ids), 2048):
-            own = ids[begin : begin + 2048]
-            rows = _rows_of(part.column("sketch").slice(begin, 2048))
-            packed = np.ascontiguousarray(rows).view(_U)
-            keys = mix(packed ^ tag).view(np.int64)
-            filled = packed.ravel() != 0
-            yield common.batch(
-                ["key", "doc_id"], keys.ravel()[filled], np.repeat(own, bands)[filled]
-            )
+            some = slice(begin, begin + 2048)
+            own, large = ids[some], sizes[some] > FEW
+            if large.any():
+                values = densified(_rows_of(part.column("sketch").slice(begin, 2048))[large])
+                band = values.reshape(-1, bands, BAND)
+                packed = np.ascontiguousarray(values).view(_U).reshape(-1, bands, BAND // 2)
+                with np.errstate(over="ignore"):
+                    keys = tag + np.zeros(packed.shape[:2], dtype=_U)
+                    for k in range(BAND // 2):
+                        keys = mix(keys ^ packed[:, :, k]) + tag
+                several = (band != band[:, :, :1]).any(axis=2)
+                of = np.broadcast_to(own[large][:, None], several.shape)
+                yield common.batch(["key", "doc_id"], keys[several].view(np.int64), of[several])
             few = part.column("few").slice(begin, 2048)
             hashes = few.flatten().to_numpy().view(_U)
             if len(hashes):
@@ -279,12 +320,11 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield common.batch(["a", "b"], pairs[:, 0], pairs[:, 1])
 
 
-def _grid(rows: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
-    """Deal the rows of a key to blocks by doc_id, and each block to the cells of all its pairs of
-    blocks: adds block, i and j. ``sizes`` has the key and its number of blocks."""
+def _grid(rows: DataFrame) -> DataFrame:
+    """Deal the rows of a key to its ``blocks`` by doc_id, and each block to the cells of all its pairs
+    of blocks: adds block, i and j."""
     return (
-        rows.join(sizes, key)
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
@@ -310,26 +350,27 @@ def _blocks_with_first(members: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _outside_the_largest(state: DataFrame, texts: DataFrame) -> DataFrame:
-    """Cells, as of ``_blocks_with_first``, of the families that were more than one block and hold
-    several components: all pairs of blocks but those within the largest component, whose blocks
-    come first."""
+    """Cells, as of ``_blocks_with_first``, of the families that were more than one block (``state`` has
+    their number) and hold several components: all pairs of blocks but those within the largest
+    component, whose blocks come first."""
     size = F.struct("n", (-F.col("component")).alias("first"))
     several = (
-        state.groupBy("family", "component")
+        state.groupBy("family", "blocks", "component")
         .agg(F.count("*").alias("n"))
-        .groupBy("family")
+        .groupBy("family", "blocks")
         .agg(
             F.max_by("component", size).alias("largest"),
             F.max("n").alias("most"),
             F.sum("n").alias("all"),
             F.count("*").alias("kinds"),
         )
-        .where((F.col("kinds") > 1) & (F.col("all") > TEXTS))
+        .where("kinds > 1")
+        .withColumn("each", F.col("all") / F.col("blocks"))
         .select(
             "family",
             "largest",
-            F.ceil(F.col("most") / TEXTS).cast("int").alias("inner"),
-            F.ceil((F.col("all") - F.col("most")) / TEXTS).cast("int").alias("outer"),
+            F.ceil(F.col("most") / F.col("each")).cast("int").alias("inner"),
+            F.ceil((F.col("all") - F.col("most")) / F.col("each")).cast("int").alias("outer"),
         )
     )
     inside, key = F.col("component") == F.col("largest"), F.xxhash64("doc_id")
@@ -346,30 +387,101 @@ def _outside_the_largest(state: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
+def _entries(filled: DataFrame) -> DataFrame:
+    """(doc_id, entry): the smallest doc_id with the same set. Sets with many copies are joined by
+    broadcast, so that no task gets all copies of one: there are fewer than ``HOT`` of these."""
+    classes = staged(filled.groupBy("digest").agg(F.min("doc_id").alias("entry"), F.count("*").alias("n")))
+    rows = classes.agg(F.sum("n")).first()[0] or 0
+    many = F.col("n") > max(COPIES, rows // HOT)
+    hot = F.broadcast(classes.where(many).select("digest", "entry"))
+    rest = classes.where(~many).select("digest", "entry")
+    copies = filled.select("doc_id", "digest")
+    cold = copies.join(hot, "digest", "left_anti").join(rest, "digest")
+    return cold.unionByName(copies.join(hot, "digest")).select("doc_id", "entry")
+
+
+def _blocks_of(n: int, size: int | None = None):
+    """An aggregate: how many blocks of ``n`` rows, and of ``size`` bytes in all, a group is."""
+    count = F.count("*") / n
+    return F.ceil(count if size is None else F.greatest(count, F.sum("bytes") / size)).cast("int").alias("blocks")
+
+
+def _met_families(met: DataFrame, entries: DataFrame, family: DataFrame) -> DataFrame:
+    """(a, b): families that the estimates join in buckets that still hold several. An entry's sketch
+    is joined once, whatever the number of its buckets."""
+    left = (
+        met.select("key", "doc_id")
+        .join(family.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .withColumn("component", F.coalesce("component", "doc_id"))
+    )
+    several = (
+        left.groupBy("key")
+        .agg(
+            _blocks_of(SKETCHES),
+            F.count("*").alias("n"),
+            F.min("component").alias("x"),
+            F.max("component").alias("y"),
+        )
+        .where("n > 2 AND x < y")
+        .select("key", "blocks")
+    )
+    buckets = F.collect_list(F.struct("key", "blocks")).alias("buckets")
+    rows = (
+        left.join(several, "key")
+        .groupBy("doc_id", "component")
+        .agg(buckets)
+        .join(entries.select("doc_id", "n_shingles", "sketch"), "doc_id")
+        .select("doc_id", "component", "n_shingles", "sketch", F.inline("buckets"))
+    )
+    return common.dealt(_grid(rows), "key", "i", "j").mapInArrow(_families, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id that links lead to), kept."""
-    spark = docs.sparkSession
-    prepare(spark)
+    prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sketched = staged(sketches(docs))
     filled = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = filled.groupBy("digest").agg(F.min("doc_id").alias("entry"))
-    copies = staged(
-        filled.select("doc_id", "digest").join(classes, "digest").select("doc_id", "entry")
+    copies = staged(_entries(filled))
+    with temporary(docs.sparkSession) as folder:
+        found = _classes(docs, filled, copies, folder)
+    by_doc = (
+        copies.groupBy("doc_id")
+        .agg(F.min("entry").alias("entry"))
+        .join(found.select(F.col("node").alias("entry"), "component"), "entry", "left")
+        .select("doc_id", F.coalesce("component", "entry").alias("component"))
+    )
+    component = F.coalesce("component", "doc_id")
+    return (
+        sketched.select("doc_id", "n_shingles")
+        .join(by_doc, "doc_id", "left")
+        .select(
+            "doc_id",
+            "n_shingles",
+            component.alias("component_id"),
+            F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
+        )
     )
+
+
+def _classes(docs: DataFrame, filled: DataFrame, copies: DataFrame, folder: str) -> DataFrame:
+    """(node, component) of the entries that links join, with staged tables in ``folder``."""
     entries = staged(
         filled.join(
-            classes.select("digest", F.col("entry").alias("doc_id")), ["digest", "doc_id"], "left_semi"
-        ).dropDuplicates(["digest", "doc_id"])
+            copies.where("doc_id = entry").select("doc_id").distinct(), "doc_id", "left_semi"
+        ).dropDuplicates(["digest", "doc_id"]),
+        folder,
+    )
+    rows = entries.select("doc_id", "n_shingles", "sketch", "few").mapInArrow(
+        _bands, "key long, doc_id long"
     )
-    rows = entries.select("doc_id", "sketch", "few").mapInArrow(_bands, "key long, doc_id long")
     shared = (
         rows.groupBy("key")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last")
         .drop("last")
     )
-    met = staged(rows.join(shared, "key").distinct())
+    met = staged(rows.join(shared, "key").distinct(), folder)
 
     side = lambda s: entries.select(
         F.col("doc_id").alias(s),
@@ -378,76 +490,49 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     stars = met.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     stars = stars.distinct().join(side("a"), "a").join(side("b"), "b")
-    near = staged(stars.mapInArrow(_estimated, "a long, b long").distinct())
+    near = staged(stars.mapInArrow(_estimated, "a long, b long").distinct(), folder)
     family = common.components(near)
-
-    blocks = lambda n: F.ceil(F.count("*") / n).cast("int").alias("blocks")
-    left = staged(
-        met.select("key", "doc_id")
-        .join(family.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .withColumn("component", F.coalesce("component", "doc_id"))
-    )
-    several = (
-        left.groupBy("key")
-        .agg(blocks(SKETCHES), F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
-        .where("n > 2 AND x < y")
-        .select("key", "blocks")
-    )
-    cells = _grid(left, "key", several).join(
-        entries.select("doc_id", "n_shingles", "sketch"), "doc_id"
-    )
-    more = common.dealt(cells, "key", "i", "j").mapInArrow(_families, "a long, b long")
-    family = staged(common.components(near.union(more.distinct())).withColumnRenamed("component", "family"))
-
-    members = family.withColumnRenamed("node", "doc_id")
+    more = staged(_met_families(met, entries, family).distinct(), folder)
+    if not more.isEmpty():
+        family = common.components(near.union(more))
+    members = family.select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
 
     def confirm(cells: DataFrame) -> DataFrame:
         rows = common.dealt(cells, "family", "i", "j")
-        return staged(rows.mapInArrow(_confirmed, "a long, b long").distinct())
-
-    sizes = members.groupBy("family").agg(blocks(TEXTS))
-    cells = staged(_blocks_with_first(members.join(docs, "doc_id"), sizes))
-    linked = confirm(cells.drop("blocks", "home"))
-    classes = common.components(linked).withColumnRenamed("node", "doc_id")
-    state = staged(
-        members.join(classes, "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
+        return staged(rows.mapInArrow(_confirmed, "a long, b long").distinct(), folder)
+
+    texts = members.join(docs, "doc_id").withColumn("bytes", F.octet_length("text"))
+    sizes = texts.groupBy("family").agg(_blocks_of(TEXTS, BYTES))
+    cells = staged(_blocks_with_first(texts.drop("bytes"), sizes), folder)
+    confirmed = linked = confirm(cells.drop("blocks", "home"))
+    several = cells.where("blocks > 1 AND home")
+    if not several.isEmpty():
+        classes = common.components(linked).withColumnRenamed("node", "doc_id")
+        state = staged(
+            several.select("doc_id", "family", "blocks")
+            .distinct()
+            .join(classes, "doc_id", "left")
+            .withColumn("component", F.coalesce("component", "doc_id")),
+            folder,
         )
-    )
-    texts = cells.where("blocks > 1 AND home").select("doc_id", "text")
-    confirmed = linked.union(confirm(_outside_the_largest(state, texts)))
+        outside = _outside_the_largest(state, several.select("doc_id", "text"))
+        confirmed = linked.union(confirm(outside))
 
     # Rows that share a doc_id are one document, also if their texts belong to different classes.
-    several = (
+    twice = (
         copies.groupBy("doc_id")
         .agg(F.min("entry").alias("a"), F.max("entry").alias("b"), F.count("*").alias("n"))
         .where("n > 1 AND a < b")
     )
-    ties = copies.join(several, "doc_id").select("a", F.col("entry").alias("b")).where("a <> b")
-    found = common.components(confirmed.union(ties))
-    by_doc = (
-        copies.groupBy("doc_id")
-        .agg(F.min("entry").alias("entry"))
-        .join(found.select(F.col("node").alias("entry"), "component"), "entry", "left")
-        .select("doc_id", F.coalesce("component", "entry").alias("component"))
-    )
-    component = F.coalesce("component", "doc_id")
-    return (
-        sketched.select("doc_id", "n_shingles")
-        .join(by_doc, "doc_id", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            component.alias("component_id"),
-            F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
-        )
-    )
+    ties = copies.join(twice, "doc_id").select("a", F.col("entry").alias("b")).where("a <> b")
+    return common.components(confirmed.union(ties))
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows that ``near_duplicates`` keeps, with all their columns. Of rows that share a kept
     doc_id all stay; rows without a doc_id stay."""
     kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL")
-    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    identified = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    name = common.free_name(docs, "kept")
+    kept = kept.select(F.col("doc_id").alias(name)).distinct()
+    identified = docs.join(kept, F.col("doc_id").cast("long") == F.col(name), "left_semi")
     return identified.unionByName(docs.where("doc_id IS NULL"))
