@@ -4,15 +4,18 @@ Every document gets a hash-random key. A range sort by (source, key) deals even
 most of the rows to many tasks; each task adds up the sizes it meets in order, and the totals of
 (task, source), a small table, give what lies before each task. The prefix sum of a document
 within its source decides: the source's budget is taken in whole passes over the source, and the
-last pass ends at the document that brings the sum nearest to the budget. Documents stay whole.
+last pass ends at the document that brings the sum nearest to the budget. Documents stay whole. Rows
+with the same source, doc_id and size are sorted and summed as one unit; where the last pass ends within a
+unit, it takes as many of its rows as bring the sum nearest to the budget. Which ones is drawn
+once and written down, so that no task needs to number a unit that holds a third of all rows.
 
 Targets: the sources in code point order, null last, have ``weights`` in turn and share ``share``
 times all words; none gets more than ``epochs`` times its own size, and what lies above that is
 shared again by weight until no source is above its limit.
 
 Cases: a null or empty text has size 0 and takes 0 words. A null source is a source of its own.
-Rows with the same source, doc_id and size are one unit that is taken or left together. An empty
-table gives an empty result. Other columns are not looked at.
+Rows that share a doc_id are documents of their own. An empty table gives an empty result. Other columns
+are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,6 +35,9 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 EPOCHS = 2
 SEED = "mix-1"
+#: Rows of a unit beyond which it is hot, in rows and as a share of all rows; parts that one is numbered in.
+ROWS, HOT = 1000, 10_000
+PARTS = 4096
 
 
 def size_of(text: Column) -> Column:
@@ -129,19 +135,11 @@ def targets(
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def mix_sources(
-    docs: DataFrame,
-    weights: Sequence[float] = WEIGHTS,
-    share: float = SHARE,
-    epochs: int = EPOCHS,
-    seed: str = SEED,
+def _units(
+    rows: DataFrame, weights: Sequence[float], share: float, epochs: int, seed: str
 ) -> DataFrame:
-    """One row per unit: source, doc_id, size, n (rows of the unit), source_size, target, copies
-    (how often the mix takes each of its rows) and taken (words it takes of each of its rows)."""
-    prepare(docs.sparkSession)
-    rows = docs.select(
-        F.col("source").cast("string"), F.col("doc_id").cast("long"), size_of(F.col("text")).alias("size")
-    )
+    """One row per unit of (source, doc_id, size): its n rows, source_size, target, copies (passes that take
+    all of them) and extra (how many of them one more pass takes)."""
     units = staged(rows.groupBy("source", "doc_id", "size").agg(F.count("*").alias("n")))
     units = units.withColumn("words", F.col("size") * F.col("n"))
     sizes = units.groupBy("source").agg(F.sum("words").alias("source_size"))
@@ -153,38 +151,110 @@ def mix_sources(
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
     passes = F.coalesce(passes, F.lit(0))
     rest = F.col("target") - passes * F.col("source_size")
-    last = F.col("before") + F.col("words") / 2 <= rest
-    copies = (passes + F.when(last & (passes < epochs), 1).otherwise(0)).cast("int")
-    return (
-        dealt.join(goal, F.col("source").eqNullSafe(F.col("s")))
-        .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)))
-        .select(
-            "source", "doc_id", "size", "n", "source_size", "target", "copies",
-            (F.col("copies") * F.col("size")).alias("taken"),
-        )
+    last = F.floor((rest - F.col("before")) / F.expr("nullif(size, 0)") + F.lit(0.5))
+    last = F.least(F.greatest(last, F.lit(0)), F.col("n"))
+    some = F.col("size") > 0
+    return dealt.join(goal, F.col("source").eqNullSafe(F.col("s"))).select(
+        "source", "doc_id", "size", "n", "source_size", "target",
+        F.when(some, passes).otherwise(0).cast("int").alias("copies"),
+        F.when(some & (passes < epochs), last).otherwise(0).cast("long").alias("extra"),
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents as the mix takes them: each row as often as its copies say.
+def _assigned(rows: DataFrame, units: DataFrame) -> DataFrame:
+    """Adds source_size, target and copies to rows that have source, doc_id and size.
 
-    The text of a document without words counts no words, so the mix leaves it out."""
-    taken = mix_sources(docs, **options).where("copies > 0")
-    taken = taken.select(
-        F.col("source").alias("_source"), F.col("doc_id").alias("_doc"), F.col("size").alias("_size"),
-        F.col("copies").alias("_copies"),
+    Units of many rows, fewer than ``HOT`` of them, are joined by broadcast, so that no task gets all rows of
+    one. Where a unit has an extra copy for some rows only, at most once per source, its rows are dealt to
+    ``PARTS`` parts at random, which is staged; all rows of the first parts get one, and the
+    rows of the part where they run out are numbered."""
+    units = units.select(
+        F.col("source").alias("u_source"), F.col("doc_id").alias("u_doc"), F.col("size").alias("u_size"),
+        "n", "source_size", "target", "copies", "extra",
     )
+    total = units.agg(F.sum("n")).first()[0] or 0
+    many = F.col("n") > max(ROWS, total // HOT)
     same = (
-        F.col("source").cast("string").eqNullSafe(F.col("_source"))
-        & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc"))
-        & (size_of(F.col("text")) == F.col("_size"))
-    )
-    return (
-        docs.join(taken, same)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*docs.columns)
+        F.col("source").eqNullSafe(F.col("u_source"))
+        & F.col("doc_id").eqNullSafe(F.col("u_doc"))
+        & (F.col("size") == F.col("u_size"))
     )
 
+    def joined(units: DataFrame) -> DataFrame:
+        if units.where(many).isEmpty():
+            return rows.join(units, same)
+        hot = F.broadcast(units.where(many))
+        rest = rows.join(hot, same, "left_anti").join(units.where(~many), same)
+        return rows.join(hot, same).unionByName(rest)
+
+    known = joined(units)
+    names = [*rows.columns, "source_size", "target", "copies"]
+    all_or_none = F.col("copies") + F.when(F.col("extra") > 0, 1).otherwise(0)
+    whole = known.where("extra = 0 OR extra = n").withColumn("copies", all_or_none).select(names)
+
+    split = units.where("extra > 0 AND extra < n")
+    if split.isEmpty():
+        return whole
+    split = split.withColumn("unit", F.xxhash64("u_source", "u_doc", "u_size"))
+    parted = staged(joined(split).withColumn("part", F.floor(F.rand(5) * PARTS).cast("int")))
+    earlier = Window.partitionBy("unit").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parted.groupBy("unit", "part").agg(F.count("*").alias("here"))
+    before = F.coalesce(F.sum("here").over(earlier), F.lit(0))
+    parts = parts.select(F.col("unit").alias("p_unit"), F.col("part").alias("p_part"), "here", before.alias("ahead"))
+    placed = parted.join(parts, (F.col("unit") == F.col("p_unit")) & (F.col("part") == F.col("p_part")))
+    clear = (F.col("ahead") + F.col("here") <= F.col("extra")) | (F.col("ahead") >= F.col("extra"))
+    number = F.row_number().over(Window.partitionBy("unit", "part").orderBy(F.lit(0)))
+    one = F.when(F.col("ahead") < F.col("extra"), 1).otherwise(0)
+    sure = placed.where(clear).withColumn("copies", F.col("copies") + one).select(names)
+    numbered = placed.where(~clear).withColumn("number", F.col("ahead") + number)
+    one = F.when(F.col("number") <= F.col("extra"), 1).otherwise(0)
+    last = staged(numbered.withColumn("copies", F.col("copies") + one).select(names))
+    return whole.unionByName(sure).unionByName(last)
+
+
+def _keys(docs: DataFrame) -> list[Column]:
+    return [
+        F.col("source").cast("string").alias("source"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        size_of(F.col("text")).alias("size"),
+    ]
+
+
+def mix_sources(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE,
+    epochs: int = EPOCHS,
+    seed: str = SEED,
+) -> DataFrame:
+    """Per row: source, doc_id, size, source_size, target, copies (how often the mix takes it) and taken (the
+    words it takes of it)."""
+    prepare(docs.sparkSession)
+    rows = docs.select(*_keys(docs))
+    units = staged(_units(rows, weights, share, epochs, seed))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return _assigned(rows, units).select("*", taken)
+
+
+def mixed_documents(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE,
+    epochs: int = EPOCHS,
+    seed: str = SEED,
+) -> DataFrame:
+    """The documents as the mix takes them: each row as often as its copies say.
+
+    The text of a document without words counts no words, so the mix leaves it out."""
+    prepare(docs.sparkSession)
+    keys = docs.select(*_keys(docs))
+    units = staged(_units(keys, weights, share, epochs, seed))
+    rows = docs.select(F.struct("*").alias("row"), *_keys(docs))
+    wanted = units.where("copies > 0 OR extra > 0")
+    taken = _assigned(rows, wanted).where("copies > 0")
+    again = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return taken.select("row", again.alias("copy")).select("row.*")
+
 
 #: The words, targets and prefix sums in another engine's words; rows as ``op10``'s.
 SQL = r"""
@@ -220,9 +290,12 @@ dealt AS (
     coalesce(sum(size * n) OVER (PARTITION BY u.source
       ORDER BY md5('mix-1-' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM units u JOIN goals g ON u.source IS NOT DISTINCT FROM g.source)
+  FROM units u JOIN goals g ON u.source IS NOT DISTINCT FROM g.source),
+counted AS (
+  SELECT *, CASE WHEN size > 0 AND passes < 2 THEN
+    least(greatest(floor((target - passes * source_size - before) / size + 0.5::DOUBLE), 0), n)
+    ELSE 0 END AS extra FROM dealt)
 SELECT doc_id, size, source_size, target,
-  CAST(size * (passes + CASE WHEN passes < 2 AND before + size * n / 2.0::DOUBLE
-    <= target - passes * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM dealt, generate_series(1, n)
+  CAST(size * (passes + CASE WHEN number <= extra THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM counted, generate_series(1, n) AS rows(number)
 """

@@ -10,6 +10,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -108,6 +109,75 @@ def test_families_of_several_classes_in_small_blocks(spark, monkeypatch, block):
     assert 1 < len(set(expected.values())) < len(texts)
 
 
+def test_unrelated_short_texts_hardly_meet():
+    """Bands of short texts tell as much as those of long ones: strangers that meet don't grow with the
+    square of the texts."""
+    rng = np.random.default_rng(3)
+
+    def meeting(n):
+        total = collections.Counter()
+        ids, sizes, rows, few = np.arange(n), [], [], []
+        for _ in range(n):
+            k = int(rng.integers(6, 60))
+            hashes = np.sort(rng.integers(0, 1 << 63, k, dtype=np.uint64) * np.uint64(2))
+            sizes.append(k)
+            rows.append(minhash.registers(hashes).tobytes())
+            few.append([])
+        part = common.batch(
+            ["doc_id", "n_shingles", "sketch", "few"],
+            ids, np.array(sizes), pa.array(rows, pa.binary()), pa.array(few, pa.list_(pa.int64())),
+        )
+        for out in minhash._bands(iter([part])):
+            total.update(out["key"].to_pylist())
+        return sum(m * (m - 1) // 2 for m in total.values())
+
+    assert meeting(4000) <= 5 and meeting(8000) <= 20
+
+
+def test_densified_registers_are_those_of_the_set():
+    """Each comes from a filled one; sets that agree on most shingles agree on most registers."""
+    rng = np.random.default_rng(4)
+    shares = []
+    for n in (1, 2, 12, 30, 500):
+        same = []
+        for _ in range(40):
+            pool = rng.integers(0, 1 << 63, n + n // 4, dtype=np.uint64) * np.uint64(2)
+            one, other = np.sort(pool[:n]), np.sort(pool[n // 4 :])
+            rows = np.stack([minhash.registers(one), minhash.registers(other)])
+            a, b = minhash.densified(rows)
+            assert (a > 0).all() and (b > 0).all()
+            filled = np.flatnonzero(rows[0])
+            assert set(a.tolist()) == {int(rows[0][i]) | int(i) << 16 for i in filled}
+            same.append((a == b).mean())
+        shares.append(np.mean(same))
+    assert shares[0] == 1 and all(abs(s - (n - n // 4) / (n + n // 4)) < 0.06 for n, s in zip((12, 30, 500), shares[2:], strict=True))
+
+
+def test_hot_copies(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "COPIES", 5)
+    monkeypatch.setattr(minhash, "HOT", 10)
+    base = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(base)) for i in range(50, 100)] + [(i, f"only {i} here and there too") for i in range(20)]
+    rows += [(i, " ".join([*base, "end"])) for i in range(30, 44)] + [(None, " ".join(base))] * 9
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == expected_components(rows)
+
+
+@pytest.mark.parametrize("size", [60, 400])
+def test_blocks_of_few_bytes(spark, monkeypatch, size):
+    monkeypatch.setattr(minhash, "BYTES", size)
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join([*base[: 40 - i % 9], f"x{i}"])) for i in range(60)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == expected_components(rows)
+
+
+def test_kept_rows_keep_columns_of_any_name(spark):
+    rows = [(1, "a b c", 1, 2, 3), (2, "a b c", 4, 5, 6), (3, "d e f", 7, 8, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept int, _kept int, KEPT_ int")
+    assert sorted(map(tuple, minhash.representatives(docs).collect())) == [rows[0], rows[2]]
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     rows = minhash.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
@@ -234,7 +304,7 @@ def test_mixing_against_sql(spark, sf, odd_docs, no_docs):
         wanted = duckdb.sql(ORACLE_SQL["op10_mixing"]).fetchall() if len(documents) else []
         mixed = mixing.mix_sources(rows)
         found = [
-            (r.doc_id, r.size, r.source_size, r.target, r.taken) for r in mixed.collect() for _ in range(r.n)
+            (r.doc_id, r.size, r.source_size, r.target, r.taken) for r in mixed.collect()
         ]
         assert sorted(map(str, found)) == sorted(map(str, wanted))
 
@@ -250,15 +320,47 @@ def test_mix_meets_its_targets(spark, sf):
 
 
 def test_mixed_documents_are_copies(odd_docs, no_docs):
-    taken = {(r.source, r.doc_id, r["size"]): r.copies for r in mixing.mix_sources(odd_docs).collect()}
+    taken = collections.Counter()
+    for r in mixing.mix_sources(odd_docs).collect():
+        taken[r.source, r.doc_id, r["size"]] += r.copies
     rows = mixing.mixed_documents(odd_docs)
     assert rows.columns == odd_docs.columns
     counts = collections.Counter((r.source, r.doc_id, len(words(r.text))) for r in rows.collect())
-    rows_of = collections.Counter((r.source, r.doc_id, len(words(r.text))) for r in odd_docs.collect())
-    assert all(counts[k] == n * rows_of[k] for k, n in taken.items())
+    assert counts == +taken
     assert mixing.mixed_documents(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("hot", [2, 1000])
+def test_a_unit_is_split_where_the_budget_ends(spark, monkeypatch, hot):
+    """Half of a source has no doc_id, in texts of equal length: the mix ends in the middle of them."""
+    monkeypatch.setattr(mixing, "ROWS", hot)
+    rows = [("a", None if i % 2 else i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(1800)]
+    rows += [("b", i, "one two three") for i in range(5000, 5200)] + [("c", 7, "x y")] * 301
+    names = "source", "doc_id", "text"
+    docs = spark.createDataFrame(rows, "source string, doc_id long, text string").selectExpr(
+        "*", "1 AS row", "2 AS n", "3 AS _source", "4 AS copies", "5 AS `a.b`", "6 AS unit"
+    )
+    found = mixing.mix_sources(docs).toPandas()
+    assert len(found) == len(rows) and (found.taken <= 2 * found["size"]).all()
+    total = found.groupby("source").agg(t=("target", "first"), taken=("taken", "sum"), most=("size", "max"))
+    assert ((total.taken - total.t).abs() <= total.most / 2).all()
+    documents = spark.createDataFrame(rows, "source string, doc_id long, text string").toPandas()  # noqa: F841
+    documents["doc_id"] = documents.doc_id.astype("Int64")
+    key = lambda row: tuple("" if x is None or x != x else str(float(x)) for x in row)
+    wanted = duckdb.sql(ORACLE_SQL["op10_mixing"]).fetchall()
+    got = found[["doc_id", "size", "source_size", "target", "taken"]].itertuples(index=False)
+    assert sorted(map(key, got)) == sorted(map(key, wanted))
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    again = [tuple(r[n] for n in names) for r in mixed.collect()]
+    counts = collections.Counter((s, i, len(t.split())) for s, i, t in again)
+    taken = collections.Counter()
+    for r in mixing.mix_sources(docs).collect():
+        taken[r.source, r.doc_id, r["size"]] += r.copies
+    assert counts == +taken
+    assert max(collections.Counter(again).values()) <= 2 * 301
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_lm_scores_against_counting(spark, order, monkeypatch):
     monkeypatch.setattr(ngram_lm, "BLOCK_BYTES", 400)
