@@ -216,6 +216,83 @@ def test_nearest_against_all_pairs(spark, clustered):
     assert right / total > 0.99
 
 
+def recall_of(found, ids, v, asked, k=5):
+    """The share of the true k nearest among those found, whose scores must be exact."""
+    got = collections.defaultdict(list)
+    for r in found.orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    unit = v / np.sqrt((v * v).sum(axis=1))[:, None]
+    place = {int(i): n for n, i in enumerate(ids)}
+    right = total = 0
+    for q in asked:
+        score = unit @ unit[place[q]]
+        score[place[q]] = -9
+        best = {int(ids[i]) for i in np.argsort(-score)[:k]}
+        assert len(got[q]) == k and [s for _, s in got[q]] == sorted((s for _, s in got[q]), reverse=True)
+        assert all(math.isclose(s, score[place[i]], rel_tol=1e-12) for i, s in got[q])
+        right += len({i for i, _ in got[q]} & best)
+        total += k
+    return right / total
+
+
+def test_nearest_query(spark, given, sf):
+    """The registered query on the whole given table, against all pairs."""
+    table = given("embeddings")
+    v = np.stack(table.embedding).astype(np.float64)
+    asked = [int(i) for i in table.vec_id if i % 50 == 0]
+    found = QUERIES["op6_ann"](spark, sf)
+    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    assert recall_of(found, table.vec_id.to_numpy(), v, asked) >= 0.9
+
+
+@pytest.mark.parametrize("shape", ["even", "clustered", "skewed"])
+def test_recall_on_hard_vectors(spark, monkeypatch, shape):
+    """Many small cells and blocks; vectors without any structure, in clusters, and nearly all alike."""
+    for name, value in {"ROWS_IN_CELL": 100, "ROWS_IN_BLOCK": 150, "QUERIES_IN_BLOCK": 20}.items():
+        monkeypatch.setattr(ann, name, value)
+    rng = np.random.default_rng(11)
+    v = rng.normal(size=(6000, 96))
+    if shape == "clustered":
+        v = v * 0.3 + rng.normal(size=(40, 96))[rng.integers(0, 40, 6000)]
+    if shape == "skewed":
+        v = v * 0.02 + 1
+    v = v.astype(np.float32).astype(np.float64)
+    table = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(v)], VECTORS)
+    asked = list(range(0, 6000, 50))
+    asks = F.col("vec_id") % 50 == 0
+    assert recall_of(ann.nearest(table, asks), np.arange(6000), v, asked) >= 0.95
+    assert recall_of(ann.nearest(table, asks, recall=1), np.arange(6000), v, asked) == 1
+
+
+def test_counts_on_packed_bits_are_inner_products():
+    rng = np.random.default_rng(12)
+    for dim in (1, 7, 64, 65, 200):
+        signs, turned = rng.integers(0, 2, (30, dim)), rng.normal(size=(9, dim))
+        inner, rounding = ann.packed_inner(np.packbits(signs, axis=1), turned)
+        exact = turned @ (signs * 2.0 - 1).T
+        assert (np.abs(inner - exact) <= 6 * rounding[:, None] + 1e-9).all()
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(13)
+    v = rng.normal(size=(2000, 128)) + 0.3
+    unit = v / np.sqrt((v * v).sum(axis=1))[:, None]
+    centre = unit.mean(axis=0)
+    estimate, width = ann.bounds(*ann.encode(unit, centre), unit[:50], centre)
+    miss = np.abs(estimate - unit[:50] @ unit.T) > width
+    assert miss.mean() < 0.06 and abs((estimate - unit[:50] @ unit.T).mean()) < 0.005
+
+
+def test_queries_whose_cells_hold_copies_only(spark, monkeypatch):
+    """A tight group of copies is a cell of its own; its queries still get k neighbours."""
+    monkeypatch.setattr(ann, "ROWS_IN_CELL", 20)
+    rng = np.random.default_rng(14)
+    rows = [(0, [9.0] * 16, 0)] * 200 + [(i, rng.normal(size=16).tolist(), 0) for i in range(1, 200)]
+    found = ann.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 50 == 0)
+    counts = collections.Counter(r.query_id for r in found.collect())
+    assert counts == {0: 5, 50: 5, 100: 5, 150: 5}
+
+
 @pytest.mark.parametrize("copies", [2, 6])
 def test_copies_of_a_neighbour_take_one_place(spark, copies):
     rng = np.random.default_rng(8)
@@ -276,7 +353,7 @@ def test_components(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
