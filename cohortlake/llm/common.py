@@ -165,6 +165,29 @@ def dealt(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(parts, *keys).sortWithinPartitions(*keys)
 
 
+# --- in another engine's words -----------------------------------------------------------------
+
+#: For queries: ``bits`` has the table of the checksum in its one row.
+CRC_TABLE_SQL = """
+bits AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS bits
+  FROM range(256) AS bytes(i))
+""".strip()
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of a text in UTF-8, beside ``bits``."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(octet_length(encode({text}))),
+      lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, bits[(xor(c, b) & 255) + 1])))"""
+
+
+def lower_sql(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 # --- connected components ----------------------------------------------------------------------
 
 

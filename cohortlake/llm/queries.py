@@ -98,7 +98,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-@query()
+@query(variants.SQL)
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -108,6 +108,6 @@ def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(resample.SQL)
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -262,3 +262,47 @@ def resampled(
     return order.select(*names, rank.alias("rank")).unionByName(
         rows.where(~fit).select(*names, F.lit(None).cast("long").alias("rank"))
     )
+
+
+def _bags_sql(table: str, name: str) -> str:
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return f"""
+  SELECT row_number() OVER () AS r, {name}, coalesce(len(w), 0) AS n_words,
+    list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS features
+  FROM (SELECT {name}, regexp_extract_all({common.lower_sql("text")}, '{pattern}') AS w FROM {table})"""
+
+
+#: The same with a sort, in another engine's words.
+SQL = f"""
+WITH {common.CRC_TABLE_SQL},
+bags AS ({_bags_sql("documents", "doc_id")}),
+own AS (SELECT r, unnest(features) AS feature FROM bags),
+theirs AS (SELECT unnest(features) AS feature FROM ({_bags_sql("benchmark", "item_id")})),
+hashed AS (
+  SELECT feature, {common.crc_sql("feature")} % 10000 AS bucket
+  FROM (SELECT feature FROM own UNION SELECT feature FROM theirs), bits),
+counts AS (
+  SELECT buckets.bucket, coalesce(s, 0) AS s, coalesce(t, 0) AS t
+  FROM range(10000) AS buckets(bucket)
+  LEFT JOIN (SELECT bucket, count(*) AS s FROM own JOIN hashed USING (feature) GROUP BY bucket) USING (bucket)
+  LEFT JOIN (SELECT bucket, count(*) AS t FROM theirs JOIN hashed USING (feature) GROUP BY bucket) USING (bucket)),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM counts),
+weighed AS (
+  SELECT r, count(*) AS n_features, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+  FROM own JOIN hashed USING (feature) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256(
+      '7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM bags LEFT JOIN weighed USING (r)),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+    count(*) OVER () AS n
+  FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN place <= 25 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (r)
+"""

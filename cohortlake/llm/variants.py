@@ -298,3 +298,45 @@ def spelling_variants(docs: DataFrame, least: int = MIN_COUNT, ratio: float = RA
     return told.join(ends, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
+
+
+#: The same from single deletions and words with one code point masked, in another engine's words.
+SQL = rf"""
+WITH RECURSIVE {common.CRC_TABLE_SQL},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({common.lower_sql("text")}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+  FROM documents),
+checked AS (
+  SELECT run, n, {common.crc_sql("name")} AS h, bits
+  FROM (SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS name, count(*) AS n
+        FROM runs GROUP BY ALL), bits),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 97 = 0
+          THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+        FROM checked)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (
+  SELECT word, n, substr(word, 1, i) || '_' || substr(word, i + 2) AS masked,
+         substr(word, 1, i) || substr(word, i + 2) AS shorter
+  FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b USING (masked) WHERE a.word <> b.word
+  UNION SELECT cut.word, words.word, words.n FROM cut JOIN words ON cut.shorter = words.word
+  UNION SELECT words.word, cut.word, cut.n FROM cut JOIN words ON cut.shorter = words.word),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS form, max(n) AS form_n
+  FROM near GROUP BY word),
+told AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN form_n >= 2 * words.n THEN form END AS form,
+         CASE WHEN form_n >= 2 * words.n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+steps AS (
+  SELECT word, word AS root FROM told
+  UNION ALL SELECT steps.word, told.form FROM steps JOIN told ON steps.root = told.word
+  WHERE told.form IS NOT NULL)
+SELECT told.word, told.form, steps.root, told.n, told.n_near, told.form_n
+FROM told JOIN steps USING (word) JOIN told AS last ON steps.root = last.word
+WHERE last.form IS NULL
+"""

@@ -9,13 +9,14 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cohortlake.llm import common, pii, resample, variants
-from cohortlake.llm.queries import QUERIES
+from cohortlake.llm.queries import ORACLE_SQL, QUERIES
 
 
 def low(text):
@@ -319,3 +320,24 @@ def test_resampling_of_odd_rows(odd_docs, no_docs):
     assert drawn(resample.resampled(df, target.where("false"))) == expected_draw(rows, [])
     assert resample.resampled(no_docs, target).count() == 0
     assert pa.types.is_int64(resample.resampled(no_docs, target).toArrow().schema.field("rank").type)
+
+
+@pytest.mark.parametrize("odd", [False, True])
+@pytest.mark.parametrize("name", ["op11_spelling_variants", "op13_resampling"])
+def test_same_as_sql(spark, sf, given, odd_docs, name, odd):
+    documents, benchmark = given("documents"), given("benchmark")  # noqa: F841
+    if odd:
+        documents = odd_docs.select("doc_id", "text").toPandas()
+        documents["doc_id"] = documents.doc_id.astype("Int64")
+        tables = spark.createDataFrame(benchmark)
+        df = (
+            variants.spelling_variants(odd_docs)
+            if name.startswith("op11")
+            else resample.resampled(odd_docs, tables)
+        )
+    else:
+        df = QUERIES[name](spark, sf)
+    result = duckdb.sql(ORACLE_SQL[name])
+    assert sorted(df.columns) == sorted(result.columns)
+    theirs = [tuple(row) for row in result.select(*df.columns).fetchall()]
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(theirs, key=repr)
