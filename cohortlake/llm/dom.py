@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from functools import cache
 
 import numpy as np
@@ -116,6 +117,8 @@ class Page:
 
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("html", 0)]
+        # how often a name is on the stack, and among the open inline tags: what isn't there isn't looked for
+        names, inline = Counter(), Counter()
         run: list[str] = []
         # of the run: characters in links, groups of its inline elements; and the open inline tags
         state = {"linked": 0, "marks": set(), "open": []}
@@ -138,6 +141,7 @@ class Page:
                 flush()
                 node = self._node(tag, stack[-1][1], marks, "", 0)
                 stack.append((tag, node))
+                names[tag] += 1
                 outside[node] = opened
             held.clear()
 
@@ -145,7 +149,7 @@ class Page:
             if held and not text.isspace():
                 settle()
             run.append(text)
-            if any(tag == "a" for tag, _ in state["open"]):
+            if inline["a"]:
                 state["linked"] += len(text.strip())
 
         def plain(depth: int) -> None:
@@ -158,8 +162,11 @@ class Page:
             held.clear()
             plain(depth + 1)
             opened = outside.get(stack[depth][1], [])
+            names.subtract(tag for tag, _ in stack[depth:])
             del stack[depth:]
             state["open"], state["marks"] = opened, {g for _, marks in opened for g in marks}
+            inline.clear()
+            inline.update(tag for tag, _ in opened)
 
         def within() -> str:
             """The drawing or choice that a tag is in: it has no blocks and ends at one."""
@@ -195,7 +202,7 @@ class Page:
                 elif any(tag == name for tag, _, _ in held):
                     while held.pop()[0] != name:
                         pass
-                else:
+                elif names[name]:
                     for depth in range(len(stack) - 1, 0, -1):
                         if stack[depth][0] == name:
                             close(depth)
@@ -208,7 +215,9 @@ class Page:
                     marks = groups_of(attributes)
                     state["open"].append((name, marks))
                     state["marks"].update(marks)
-                else:
+                    inline[name] += 1
+                elif inline[name]:
+                    inline[name] -= 1
                     for i in range(len(state["open"]) - 1, -1, -1):
                         if state["open"][i][0] == name:
                             del state["open"][i]
@@ -217,13 +226,13 @@ class Page:
                 within() and name not in _BLOCKS and name not in ENDS and name != "foreignobject"
             ):
                 run.append(" ")
+            elif slash and not names[name]:
+                flush()
             elif slash:
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth][0] == name:
                         close(depth)
                         break
-                else:
-                    flush()
             else:
                 while name not in ("foreignobject", "hr") and within():
                     if held:
@@ -232,26 +241,30 @@ class Page:
                         close(len(stack) - 1)
                 if name not in ("html", "head", "body") and name not in VOID:
                     settle()
-                self._implied(name, stack, close)
+                self._implied(name, stack, names, close)
                 flush()
                 if name in ("html", "head", "body") or name in VOID:
                     if name == "body":
                         self.marks[0] = tuple({*self.marks[0], *groups_of(attributes)})
                     continue
                 state["open"], state["marks"] = [], set()
+                inline.clear()
                 marks = groups_of(attributes)
                 node = self._node(name, stack[-1][1], marks, "", 0)
                 if not attributes.endswith("/"):
                     stack.append((name, node))
+                    names[name] += 1
         flush()
         plain(0)
 
     @staticmethod
-    def _implied(name: str, stack: list[tuple[str, int]], close) -> None:
+    def _implied(name: str, stack: list[tuple[str, int]], names: Counter, close) -> None:
         """End tags that an opening tag implies."""
         closed, stops = CLOSES.get(name, (frozenset(), frozenset()))
         if name in _BLOCKS:
             closed, stops = frozenset(["p"]), _SCOPE
+        if not any(names[tag] for tag in closed):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth][0] in stops:
                 return
