@@ -31,6 +31,8 @@ from cohortlake.llm.common import batch, prepare
 
 #: Distinct chunks that a worker remembers before it starts anew.
 REMEMBERED = 1_000_000
+#: Bytes of chunks and ids, about, beyond which a memory forgets all.
+MOST_BYTES = 64 << 20
 #: New chunks that are encoded in one go.
 TOGETHER = 100_000
 NONE = np.iinfo(np.int64).max
@@ -206,6 +208,7 @@ class Memory(dict):
     def begin(self) -> None:
         """Forget all chunks."""
         self.clear()
+        self._bytes = 0
         self._new: list[tuple[str, tuple[int, int] | None]] = []
         self._flat = np.empty(1 << 16, dtype=self.dtype)
         self._used = 0
@@ -217,6 +220,7 @@ class Memory(dict):
         if len(chunk) > 1 and chunk[-1] in STOPS and chunk[-2] < LETTERS and chunk[-2].isalpha():
             parts = self[chunk[:-1]], self[chunk[-1]]
         self[chunk] = i = len(self)
+        self._bytes += 4 * len(chunk) + 16
         self._new.append((chunk, parts))
         return i
 
@@ -250,21 +254,26 @@ class Memory(dict):
         return begin
 
     def encode(self, texts: Iterator[str | None]) -> Iterator[np.ndarray]:
-        """The ids of every text, in order."""
+        """The ids of every text, in order. What is remembered is looked at before the first text, and
+        after every so many chunks or bytes."""
         waiting: list[np.ndarray] = []
         length = 0
+        self._bound()
         for text in texts:
             plain = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ")
             chunks = plain.split(" ")
             waiting.append(np.fromiter(map(self.__getitem__, chunks), np.int32, len(chunks)))
             length += len(chunks)
-            if len(self._new) >= TOGETHER or length >= 1 << 20:
+            if len(self._new) >= TOGETHER or length >= 1 << 20 or self._bytes > MOST_BYTES:
                 yield from self._flush(waiting)
                 waiting, length = [], 0
-                if len(self) > self._most:
-                    self.begin()
+                self._bound()
         yield from self._flush(waiting)
 
+    def _bound(self) -> None:
+        if len(self) > self._most or self._bytes > MOST_BYTES:
+            self.begin()
+
     def _flush(self, waiting: list[np.ndarray]) -> Iterator[np.ndarray]:
         self._learn()
         for at in waiting:
