@@ -1,7 +1,8 @@
 """Binary files in the shared folder, written and read by tasks.
 
-Only folders that all executors see are used: local paths, ``file:``, and the stores pyarrow knows
-by their address. A file appears under its name in one step, so a task that runs twice, or is lost
+Only folders that all executors see may be used. Their addresses are made whole on the driver, by
+``qualified``: a path without a scheme belongs to Hadoop's default file system, and not to the
+machine that a task happens to run on. ``file:`` is for folders that are mounted everywhere. A file appears under its name in one step, so a task that runs twice, or is lost
 half-way, leaves a whole file or none.
 """
 
@@ -11,6 +12,15 @@ import uuid
 from collections.abc import Iterable
 
 import pyarrow.fs as pafs
+from pyspark.sql import SparkSession
+
+from cohortlake.scratch import hadoop_path
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme, as Hadoop has it."""
+    system, made = hadoop_path(spark, folder)
+    return system.makeQualified(made).toString()
 
 
 def place(folder: str) -> tuple[pafs.FileSystem, str]:

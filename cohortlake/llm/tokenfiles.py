@@ -3,16 +3,17 @@
 The table is range-sorted by doc_id; each task encodes its range and writes one shard: the raw ids
 of its documents, one after the other, and an index file. The index has, per document in order,
 its key and where its ids end, and a minimal perfect hash over the distinct keys: a bucket's stored
-displacement leads a key to its slot, the slot holds a fingerprint and the document's number. A
-keyed read costs two array reads, whatever the shard's size; a key that the shard doesn't have is
-told by its fingerprint, but for one in 2^32.
+displacement leads a key to its slot, the slot holds a fingerprint and the document's number. The
+smallest and largest key of every shard say which one to open; a keyed read then seeks to the
+displacement, the slot and the document's ends, whatever the shard's size. A key that the shard doesn't have
+is told by its fingerprint, but for one in 2^32, and by the key kept with the document.
 
 Ids are little-endian unsigned integers of 16 bits if the vocabulary allows it, or else 32; the
 index says which. Encoding is the ``tokenizers`` library's, once per distinct chunk and worker.
 
 Cases: a null text counts as empty, so only the end id is written. Rows without a doc_id come
-first and have no key: they are read in order only. Rows that share a doc_id follow each other by
-text; a keyed read gives them all. An empty table gives no shard. Other columns are not looked at.
+first and have no key: they are read in order only. Rows that share a doc_id follow each other by the hash
+of their texts, over as many shards as they need; a keyed read gives them all. An empty table gives no shard. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 import io
 import os
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cohortlake.llm.bpe import LETTERS, Memory, byte_symbols, vocabulary_path
 from cohortlake.llm.common import _stream, mix, prepare, scratch_dir, staged
-from cohortlake.llm.store import open_file, write_file
+from cohortlake.llm.store import open_file, qualified, write_file
 
 END = 2
 #: Keys per bucket of the hash, on average.
@@ -146,6 +147,39 @@ class Index:
         return int(self.ends[record - 1]) if record else 0, int(self.ends[record])
 
 
+class StoredIndex:
+    """An index that lies in a file, of which single numbers are read."""
+
+    def __init__(self, file) -> None:
+        self.file, self.places = file, {}
+        for name in Index.FIELDS:
+            np.lib.format.read_magic(file)
+            shape, _, dtype = np.lib.format.read_array_header_1_0(file)
+            n, begin = int(np.prod(shape)), file.tell()
+            self.places[name] = (begin, n, dtype)
+            file.seek(begin + n * dtype.itemsize)
+
+    def __len__(self) -> int:
+        return self.places["keys"][1]
+
+    def get(self, name: str, at: int = 0):
+        begin, _, dtype = self.places[name]
+        self.file.seek(begin + at * dtype.itemsize)
+        return np.frombuffer(self.file.read(dtype.itemsize), dtype=dtype)[0]
+
+    def find(self, key: int) -> int:
+        """The number of the first document with the key, or -1."""
+        keys, n = np.array([key], dtype=np.int64).view(_U), self.places["record"][1]
+        if not n:
+            return -1
+        shift = self.get("shifts", int(_buckets(keys, self.places["shifts"][1])[0]))
+        slot = -1 - int(shift) if shift < 0 else int(_slots(keys, np.array([shift]), n)[0])
+        return int(self.get("record", slot)) if self.get("prints", slot) == fingerprints(keys)[0] else -1
+
+    def span(self, record: int) -> tuple[int, int]:
+        return int(self.get("ends", record - 1)) if record else 0, int(self.get("ends", record))
+
+
 def names(task: int) -> tuple[str, str]:
     return f"ids-{task:06d}.bin", f"index-{task:06d}.bin"
 
@@ -187,8 +221,8 @@ def library_memory(path: str) -> Memory:
 
 
 def write_shards(docs: DataFrame, folder: str, path: str | None = None, end: int = END) -> DataFrame:
-    """Write the ids of (doc_id, text) to ``folder``; returns (task, records, tokens) per shard.
-    Shards in the order of their task numbers hold the documents in ascending doc_id order."""
+    """Write the ids of (doc_id, text) to ``folder``; returns (task, records, tokens, low, high) per
+    shard, with the smallest and largest of its keys. Shards in the order of their task numbers hold the documents in ascending doc_id order."""
     spark = docs.sparkSession
     prepare(spark)
     where = path or vocabulary_path()
@@ -209,20 +243,25 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end: int
         ids_name, index_name = names(task)
         write_file(folder, ids_name, payload())
         write_file(folder, index_name, [Index.build(keys, sizes, width).to_bytes()])
-        row = ([task], [len(keys)], [sum(sizes)])
+        memory.begin()
+        keyed = [key for key in keys if key is not None]
+        row = (task, len(keys), sum(sizes), min(keyed, default=None), max(keyed, default=None))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x, pa.int64()) for x in row], names=["task", "records", "tokens"]
+            [pa.array([x], pa.int64()) for x in row], names=["task", "records", "tokens", "low", "high"]
         )
 
-    order = [F.col("doc_id").asc_nulls_first(), "text"]
     rows = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
+    # rows without a key, or with the same, are dealt to ranges by their texts, and equal ones at random
+    rows = rows.withColumns({"hash": F.xxhash64("text"), "salt": F.rand(5)})
+    order = [F.col("doc_id").asc_nulls_first(), "hash", "salt"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return staged(
-        rows.repartitionByRange(parts, order[0])
+        rows.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
-        .mapInArrow(run, "task long, records long, tokens long")
+        .select("doc_id", "text")
+        .mapInArrow(run, "task long, records long, tokens long, low long, high long")
     )
 
 
@@ -231,12 +270,17 @@ class Shards:
     per task, so the driver holds numbers of tasks only."""
 
     def __init__(self, folder: str, manifest: DataFrame) -> None:
-        rows = sorted(tuple(r) for r in manifest.select("task", "records", "tokens").collect())
+        rows = manifest.select("task", "tokens", "low", "high").collect()
+        rows.sort(key=lambda row: row.task)
         self.folder = folder
-        self.tasks = [t for t, _, _ in rows]
+        self.tasks = [row.task for row in rows]
         self.begin = [0]
-        for _, _, tokens in rows:
-            self.begin.append(self.begin[-1] + tokens)
+        for row in rows:
+            self.begin.append(self.begin[-1] + row.tokens)
+        # by range of keys; ranges may share their ends
+        keyed = [row for row in rows if row.low is not None]
+        self.lows, self.highs = [row.low for row in keyed], [row.high for row in keyed]
+        self.keyed = [row.task for row in keyed]
 
     def _open(self, task: int):
         ids_name, index_name = names(task)
@@ -244,21 +288,26 @@ class Shards:
             index = Index.from_bytes(file.read())
         return index, open_file(self.folder, ids_name)
 
-    def _read(self, index: Index, file, record: int) -> tuple[int, np.ndarray]:
+    def _read(self, index, file, record: int, width: int) -> tuple[int, np.ndarray]:
         lo, hi = index.span(record)
-        width = int(index.width)
         file.seek(lo * width)
         return lo, np.frombuffer(file.read((hi - lo) * width), dtype=f"<u{width}").astype("<u4")
 
+    def shards_of(self, key: int) -> list[int]:
+        """The shards whose range holds a key: one, unless its documents reach over several."""
+        return self.keyed[bisect_left(self.highs, key) : bisect_right(self.lows, key)]
+
     def lookup(self, keys: list[int]) -> list[list[np.ndarray]]:
-        """For each key the ids of the documents that have it; every shard's index is asked."""
+        """For each key the ids of the documents that have it."""
         found: list[list[np.ndarray]] = [[] for _ in keys]
-        for task in self.tasks:
-            index, file = self._open(task)
-            with file:
-                for k, record in enumerate(index.find(np.array(keys, dtype=np.int64)).tolist()):
-                    while 0 <= record < len(index.keys) and index.keys[record] == keys[k]:
-                        found[k].append(self._read(index, file, record)[1])
+        for place, key in enumerate(keys):
+            for task in self.shards_of(key):
+                ids_name, index_name = names(task)
+                with open_file(self.folder, index_name) as own, open_file(self.folder, ids_name) as file:
+                    index = StoredIndex(own)
+                    width, record = int(index.get("width")), index.find(key)
+                    while 0 <= record < len(index) and index.get("keys", record) == key:
+                        found[place].append(self._read(index, file, record, width)[1])
                         record += 1
         return found
 
@@ -292,7 +341,7 @@ class Shards:
         starts, counts, sums = [], [], []
         with file:
             for record in place.tolist():
-                lo, ids = self._read(index, file, record)
+                lo, ids = self._read(index, file, record, int(index.width))
                 starts.append(begin + lo)
                 counts.append(len(ids))
                 sums.append(zlib.crc32(ids.tobytes()))
@@ -310,5 +359,5 @@ class Shards:
 def token_files(docs: DataFrame, folder: str | None = None, path: str | None = None) -> DataFrame:
     """Write the shards and read them back."""
     spark = docs.sparkSession
-    folder = folder or scratch_dir(spark)
+    folder = qualified(spark, folder or scratch_dir(spark))
     return Shards(folder, write_shards(docs, folder, path)).documents(spark)

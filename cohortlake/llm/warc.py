@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.llm.common import prepare, scratch_dir, staged
-from cohortlake.llm.store import open_file, write_file
+from cohortlake.llm.store import open_file, qualified, write_file
 
 #: Bytes taken from the archive at a time.
 STEP = 1 << 16
@@ -231,5 +231,5 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def archived_pages(pages: DataFrame, folder: str | None = None, least: int = 0) -> DataFrame:
     """Write the pages to archives and read them back."""
     spark = pages.sparkSession
-    folder = folder or scratch_dir(spark)
+    folder = qualified(spark, folder or scratch_dir(spark))
     return read_archives(spark, folder, write_archives(pages, folder, least))

@@ -15,7 +15,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cohortlake.llm import bpe, common, minhash, mixing, ngram_lm, tokenfiles, toxicity
+from cohortlake.llm import bpe, common, minhash, mixing, ngram_lm, store, tokenfiles, toxicity
 from cohortlake.llm.queries import ORACLE_SQL, QUERIES
 
 
@@ -248,7 +248,7 @@ def test_encoding_query(spark, sf, given, library):
     rows = {r.doc_id: r for r in QUERIES["op3_bpe"](spark, sf).collect()}
     docs = given("documents")
     assert len(rows) == len(docs)
-    for i, text in list(zip(docs.doc_id, docs.text, strict=True))[::7]:
+    for i, text in zip(docs.doc_id, docs.text, strict=True):
         ids = library.encode(text, add_special_tokens=False).ids
         assert rows[i].n_tokens == len(ids)
         assert rows[i].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
@@ -286,6 +286,65 @@ def test_keyed_reads(spark, odd_docs, no_docs, library, tmp_path):
     assert tokenfiles.token_files(no_docs).count() == 0
 
 
+def test_a_keyed_read_opens_one_shard(spark, tmp_path, monkeypatch, library):
+    texts = [f"text number {i} of many {i % 7}" for i in range(400)]
+    rows = [(3 * i, t) for i, t in enumerate(texts)] + [(600, f"again {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    manifest = tokenfiles.write_shards(docs, str(tmp_path))
+    shards, opened = tokenfiles.Shards(str(tmp_path), manifest), []
+    original = tokenfiles.open_file
+    monkeypatch.setattr(tokenfiles, "open_file", lambda f, name: opened.append(name) or original(f, name))
+    for key in (0, 3, 300, 1197, 601, -5, 5000):
+        opened.clear()
+        (found,) = shards.lookup([key])
+        wanted = [[*library.encode(t, add_special_tokens=False).ids, 2] for i, t in rows if i == key]
+        assert [f.tolist() for f in found] == wanted
+        assert len(opened) <= 2
+    (found,) = shards.lookup([600])
+    assert len(found) == 301
+    assert sorted(f.tolist() for f in found) == sorted(
+        [*library.encode(t, add_special_tokens=False).ids, 2] for i, t in rows if i == 600
+    )
+
+
+def test_rows_without_a_key_are_spread_over_shards(spark, tmp_path):
+    rows = [(None, "the same text")] * 3000 + [(7, f"text {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    manifest = tokenfiles.write_shards(docs, str(tmp_path)).collect()
+    assert len(manifest) == 8 and max(r.records for r in manifest) < 2000
+    found = tokenfiles.Shards(str(tmp_path), spark.createDataFrame(manifest)).documents(spark).collect()
+    assert len(found) == 6000 and sorted(r.doc_id is None for r in found) == [False] * 3000 + [True] * 3000
+    ends = sorted((r.start, r.start + r.n_tokens) for r in found)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
+def test_a_path_without_a_scheme_is_hadoops(spark):
+    assert store.qualified(spark, "/tmp/x") == "file:/tmp/x"
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "viewfs://somewhere/")
+        conf.set("fs.viewfs.mounttable.somewhere.link./ckpt", "file:/tmp")
+        assert store.qualified(spark, "/ckpt/x") == "viewfs://somewhere/ckpt/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
+def test_memory_is_bounded_over_calls(monkeypatch):
+    coder = bpe.load(bpe.vocabulary_path())
+    memory = bpe.Memory(coder.encode_chunks, len(coder.tokens), most=3)
+    for i in range(50):
+        list(memory.encode([f"a{i} b{i}"]))
+        assert len(memory) <= 3 + 2
+    monkeypatch.setattr(bpe, "MOST_BYTES", 10_000)
+    memory = bpe.Memory(coder.encode_chunks, len(coder.tokens))
+    texts = [chr(97 + i % 26) * (2000 + i) for i in range(20)]
+    found = list(memory.encode(texts))
+    assert len(memory) < 10
+    again = [next(iter(bpe.Memory(coder.encode_chunks, len(coder.tokens)).encode([t]))) for t in texts]
+    assert all((a == b).all() for a, b in zip(found, again, strict=True))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 1000])
 def test_perfect_hash(n):
     keys = np.unique(np.random.default_rng(n).integers(-(1 << 62), 1 << 62, n))

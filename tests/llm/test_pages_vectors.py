@@ -66,6 +66,18 @@ def test_extraction_of_odd_pages(spark):
     assert extraction.extract(pages.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "unit", ["<div>", "<b>", "<b>x", "<p>x<div>", "</i>", "<li>", "<a>x", "<svg>", "<table><tr>", "</div>", "<ul><li>"]
+)
+def test_deep_pages_take_linear_time(unit):
+    import time
+
+    begin = time.perf_counter()
+    page = Page(unit * 40_000)
+    assert time.perf_counter() - begin < 5
+    assert len(page.tag) == len(page.text)
+
+
 def test_text_of_a_page():
     page = Page("<p>A &amp;\n b<b> c</b><br>d<p>e<script>f</script><ul><li>g<li>h</ul><style>x</style>&lt;i&gt;")
     assert [t for t in page.text if t] == ["A & b c d", "e", "g", "h", "<i>"]
