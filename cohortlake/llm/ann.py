@@ -145,8 +145,8 @@ def visits(unit: np.ndarray, centroids: np.ndarray, k: int, recall: float) -> in
 
 
 class Index:
-    """Coded rows, and for each length of vector its centroids, the number of its first cell, and how many
-    cells a query visits. Lengths that the sample doesn't have share no cell with others either."""
+    """Coded rows, and for each length of vector its centroids and how many of them a query visits. Vectors
+    of a length that the sample doesn't have are one cell."""
 
     def __init__(self, rows: DataFrame, centroids: dict[int, np.ndarray], visited: dict[int, int]) -> None:
         self.rows, self.centroids, self.visited = rows, centroids, visited

@@ -10,7 +10,8 @@ for the other's cell. The walk ends there, and the target recall is 1. Who meets
 exact cosine. A link that both vectors walk to counts once.
 
 The codebooks come from ``SAMPLE`` rows at most, the first by hash; every row is indexed, and any
-codebook gives the same links, only in more or less time.
+codebook gives the same links, only in more or less time. They grow with the rows, so that a cell has
+``ROWS_IN_CELL`` of them on average.
 
 Vectors that are equal are one entry with a count. A cell's members and visitors are dealt to
 blocks, and a task compares one block of each, so a hot cell is many tasks. A block gives per entry
@@ -39,12 +40,13 @@ from cohortlake.llm.vectors import cosines, matrix, norms, usable
 
 THRESHOLD = 0.98
 SAMPLE = 8192
-#: Centroids of a half. More of them: fewer comparisons, more cells to visit.
-CENTROIDS = 8
+#: Rows of a cell, on average, and centroids of a half at most. More centroids: fewer comparisons, more
+#: cells to visit.
+ROWS_IN_CELL, CENTROIDS = 800, 1024
 BLOCK = 512
 
 
-def codebook(rows: np.ndarray, k: int = CENTROIDS, rounds: int = 12) -> np.ndarray:
+def codebook(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """Centroids of rows (k-means from an even spread of them)."""
     rows = np.unique(rows, axis=0)
     if not len(rows):
@@ -89,15 +91,18 @@ def traverse(one: np.ndarray, other: np.ndarray, limit: float, width: int) -> np
 
 def train(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """The two codebooks for each length of vector in the sample."""
+    n = rows.count()
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("dim", "vec").collect()
     by_dim: dict[int, list[np.ndarray]] = {}
     for dim, vec in sample:
         v = np.frombuffer(vec)
         by_dim.setdefault(dim, []).append(v / np.sqrt((v * v).sum()))
-    return {
-        dim: (codebook(np.array(v)[:, : dim // 2]), codebook(np.array(v)[:, dim // 2 :]))
-        for dim, v in by_dim.items()
-    }
+    books = {}
+    for dim, v in by_dim.items():
+        cells = n * len(v) / len(sample) / ROWS_IN_CELL
+        k = max(1, min(int(np.ceil(np.sqrt(cells))), CENTROIDS, len(v) // 8))
+        books[dim] = codebook(np.array(v)[:, : dim // 2], k), codebook(np.array(v)[:, dim // 2 :], k)
+    return books
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,10 +130,19 @@ def _linked(cell: pa.Table, threshold: float) -> pa.RecordBatch:
     if len(close):
         exact = cosines(raw[v[close[:, 0]]], raw[m[close[:, 1]]])
         links[close[:, 0], close[:, 1]] = exact >= threshold
+    links &= who[v][:, None] != who[m][None, :]
     # where the member visits the visitor's home as well, the one with the smaller name counts
-    walked = np.frombuffer(b"".join(cell["walked"].to_pylist()), np.uint8).reshape(len(who), -1)
-    back = np.unpackbits(walked[m], axis=1)[:, cell["home"].to_numpy()[v]].T.astype(bool)
-    links &= np.where(back, who[v][:, None] < who[m][None, :], who[v][:, None] != who[m][None, :])
+    one, other = np.nonzero(links)
+    if len(one):
+        walked = cell["walked"].combine_chunks().take(pa.array(m))
+        flat, sizes = walked.flatten().to_numpy(), walked.value_lengths().to_numpy()
+        homes = cell["home"].to_numpy()
+        width = max(int(flat.max(initial=0)), int(homes.max())) + 1
+        known = np.sort(np.repeat(np.arange(len(m)), sizes) * width + flat)
+        asked = other * width + homes[v[one]]
+        at = np.minimum(np.searchsorted(known, asked), max(len(known) - 1, 0))
+        back = known[at] == asked if len(known) else np.zeros(len(one), dtype=bool)
+        links[one, other] = ~back | (who[v[one]] < who[m[other]])
     some_v, some_m = links.any(axis=1), links.any(axis=0)
     v, m, links = v[some_v], m[some_m], links[some_v][:, some_m]
     at_v, at_m = who[v].copy(), who[m].copy()
@@ -183,30 +197,26 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 cells = [
                     traverse(a, b, limit, len(other)) for a, b in zip(far_a, far_b, strict=True)
                 ]
-                walked = np.zeros((len(raw), len(one) * len(other)), dtype=bool)
-                for i, visited in enumerate(cells):
-                    walked[i, visited] = True
                 yield pa.RecordBatch.from_arrays(
                     [
                         own.column("label"), own.column("dim"), own.column("vec_id"),
                         own.column("copies"), own.column("vec"),
                         pa.array(home_a * len(other) + home_b, pa.int64()),
                         pa.array(cells, pa.list_(pa.int64())),
-                        pa.array([w.tobytes() for w in np.packbits(walked, axis=1)], pa.binary()),
                     ],
-                    names=["label", "dim", "entry", "copies", "vec", "home", "cells", "walked"],
+                    names=["label", "dim", "entry", "copies", "vec", "home", "cells"],
                 )
 
     placed = staged(
         entries.mapInArrow(
             place,
-            "label long, dim int, entry long, copies long, vec binary, home long, cells array<long>, "
-            "walked binary",
+            "label long, dim int, entry long, copies long, vec binary, home long, cells array<long>",
         )
     )
     where = ["label", "dim", "cell"]
-    members = placed.withColumn("cell", F.col("home")).drop("cells")
-    visitors = placed.withColumn("cell", F.explode("cells")).drop("cells")
+    members = placed.withColumn("cell", F.col("home")).withColumnRenamed("cells", "walked")
+    nowhere = F.lit(None).cast("array<long>")
+    visitors = placed.withColumn("cell", F.explode("cells")).drop("cells").withColumn("walked", nowhere)
     blocks = lambda name: F.ceil(F.count("*") / BLOCK).cast("int").alias(name)
     sizes = (
         members.groupBy(*where)
