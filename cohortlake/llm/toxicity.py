@@ -8,7 +8,10 @@ the sum of squares of its factors.
 
 It is fitted on at most ``SAMPLE`` labelled documents, the first by hash; of those only rows whose
 crc32 of the doc_id as text isn't divisible by 5. Terms whose share differs by class more than chance
-explains, ``TERMS`` of them at most, get weights: the rest would only add noise to long texts. Every
+explains, ``TERMS`` of them at most, get weights: the rest would only add noise to long texts. So do the terms
+of pairs whose joint share differs by class more than chance explains, although neither term's own does: an
+interaction is learned where its terms are as frequent in one class as in the other. Pairs are looked for
+among the ``PAIRED`` terms whose presence tells most, those nearest to half of the sampled documents. Every
 document is scored, from its whole text.
 
 Cases: a null or empty text has no terms and gets the bias. Labels that are null or not 0 or 1 are
@@ -37,6 +40,10 @@ BITS = 20
 PREFIX = 4
 #: Standard deviations from equal shares that a term must show.
 SIGNIFICANT = 4.5
+#: The same for a pair of terms; there are more of them to be found by chance.
+PAIR_SIGNIFICANT = 7.0
+#: Terms among which pairs are looked for.
+PAIRED = 1024
 #: Documents that a term must be in.
 LEAST = 5
 FOLDS = 5
@@ -170,9 +177,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
                 at += len(texts)
 
     found = staged(
-        rows.join(F.broadcast(chosen), "doc_id").mapInArrow(
-            run, "doc_id long, toxic int, terms array<int>"
-        )
+        rows.join(F.broadcast(chosen), "doc_id")
+        .mapInArrow(run, "doc_id long, toxic int, terms array<int>")
+        # repeated ids bring more rows than were sampled
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "terms")
+        .limit(sample)
     )
     n, positive = found.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     none = np.empty(0, dtype=np.int64)
@@ -182,26 +191,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
     p = (F.col("bad") + F.col("good")) / F.lit(float(n))
     spread = F.sqrt(p * (1 - p) * (1 / max(positive, 1) + 1 / max(n - positive, 1)))
     z = (F.col("bad") / max(positive, 1) - F.col("good") / max(n - positive, 1)) / spread
-    counts = (
+    counts = staged(
         found.select("toxic", F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-        .where(p < 1)
+        .where((p < 1) & (F.col("bad") + F.col("good") >= LEAST))
         .withColumn("z", z)
-        .where((F.abs("z") >= SIGNIFICANT) & (F.col("bad") + F.col("good") >= LEAST))
-        .orderBy(F.desc(F.abs("z")), "term")
-        .limit(most)
     )
-    buckets = np.array(sorted(r.term for r in counts.select("term").collect()), dtype=np.int64)
+    alone = counts.where(F.abs("z") >= SIGNIFICANT).orderBy(F.desc(F.abs("z")), "term").limit(most)
+    buckets = np.array(sorted(r.term for r in alone.select("term").collect()), dtype=np.int64)
+    if 0 < share < 1:
+        half = F.abs(F.col("bad") + F.col("good") - n / 2)
+        frequent = counts.where(F.abs("z") < SIGNIFICANT).orderBy(half, "term").limit(PAIRED)
+        wanted = np.array(sorted(r.term for r in frequent.select("term").collect()), dtype=np.int64)
+        buckets = np.union1d(buckets, wanted[paired(found, wanted)])
     if not len(buckets) or share in (0, 1):
         odds = np.log((positive + 1) / (n - positive + 1))
         return Machine(none, float(odds), np.zeros(1), np.zeros((1, 1)))
-    picked = F.array_sort(F.array_intersect("terms", F.lit(buckets.astype(np.int32))))
-    rows = (
-        found.select("doc_id", "toxic", picked.alias("terms"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "terms")
-        .collect()
-    )
+    rows = _terms_of(found, buckets)
     y = np.array([r.toxic for r in rows], dtype=np.float64)
     owner = np.repeat(np.arange(len(rows)), [len(r.terms) for r in rows])
     flat = np.array([t for r in rows for t in r.terms], dtype=np.int64)
@@ -209,6 +216,31 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
     return Machine(buckets, bias, weights, factors)
 
 
+def _terms_of(found: DataFrame, buckets: np.ndarray) -> list:
+    """(toxic, terms) of the sampled rows in a fixed order, with these terms only, sorted."""
+    picked = F.array_sort(F.array_intersect("terms", F.lit(buckets.astype(np.int32))))
+    rows = found.select("doc_id", "toxic", picked.alias("terms"))
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "terms")
+    return rows.select("toxic", "terms").collect()
+
+
+def paired(found: DataFrame, buckets: np.ndarray) -> np.ndarray:
+    """Which of the buckets are in a pair whose joint share differs by class more than chance explains."""
+    if len(buckets) < 2:
+        return np.zeros(len(buckets), dtype=bool)
+    rows = _terms_of(found, buckets)
+    here = np.zeros((len(rows), len(buckets)), dtype=np.float32)
+    for row, at in zip(here, rows, strict=True):
+        row[np.searchsorted(buckets, at.terms)] = 1
+    toxic = np.array([r.toxic for r in rows], dtype=bool)
+    bad, good = (some.T @ some for some in (here[toxic], here[~toxic]))
+    p = (bad + good) / len(rows)
+    spread = np.sqrt(p * (1 - p) * (1 / toxic.sum() + 1 / (~toxic).sum()))
+    differs = np.abs(bad / toxic.sum() - good / (~toxic).sum()) >= PAIR_SIGNIFICANT * np.maximum(spread, 1e-12)
+    np.fill_diagonal(differs, False)
+    return (differs & (bad + good >= LEAST)).any(axis=1)
+
+
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
     prepare(docs.sparkSession)

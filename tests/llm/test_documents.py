@@ -491,6 +491,55 @@ def test_toxicity_learns_pairs(spark):
     assert np.mean([scored[i].predicted == labels[i][1] for i in held]) > 0.98
 
 
+@pytest.mark.parametrize("rule", ["both or neither", "either"])
+def test_toxicity_learns_pairs_of_balanced_terms(spark, rule):
+    """Each term is as frequent in toxic texts as in others; only the pair tells."""
+    rng = np.random.default_rng(6)
+    filler = [f"f{i}" for i in range(200)]
+    rows, labels = [], []
+    for i in range(3000):
+        a, b = rng.random(2) < 0.5
+        w = list(rng.choice(filler, 20)) + ["insult"] * int(a) + ["group"] * int(b)
+        rows.append((i, " ".join(rng.permutation(w))))
+        labels.append((i, int((a == b) == (rule == "both or neither"))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    machine = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert 2 <= len(machine.buckets) < 40
+    scored = {r.doc_id: r for r in toxicity.score(docs, machine).collect()}
+    held = [i for i in scored if scored[i].held_out]
+    assert np.mean([scored[i].predicted == labels[i][1] for i in held]) > 0.9
+
+
+def test_toxicity_scores_are_sums_over_pairs(spark):
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 60, int(n))) for n in rng.integers(0, 40, 50)]
+    owner, bucket = toxicity.terms([t.encode() for t in texts])
+    machine = toxicity.Machine(
+        np.unique(bucket)[::2], 0.3, rng.normal(size=100), rng.normal(size=(100, 5))
+    )
+    rows = list(enumerate(texts))
+    found = toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), machine).collect()
+    place = {int(b): i for i, b in enumerate(machine.buckets)}
+    for r in found:
+        own = [place[int(b)] for b in bucket[owner == r.doc_id] if int(b) in place]
+        total = machine.bias + sum(machine.weights[i] for i in own)
+        for k, i in enumerate(own):
+            total += sum(float(machine.factors[i] @ machine.factors[j]) for j in own[:k])
+        assert math.isclose(r.score, 1 / (1 + math.exp(-total)), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_toxicity_collects_no_more_than_the_sample(spark, monkeypatch):
+    """A labelled id that a third of the rows have."""
+    rows = [(3, f"bad word {i}") for i in range(600)] + [(i, f"good text {i}") for i in range(10, 1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(3, 1)] + [(i, 0) for i in range(10, 60)], "doc_id long, toxic int")
+    seen = []
+    original = toxicity._terms_of
+    monkeypatch.setattr(toxicity, "_terms_of", lambda *a: seen.append(original(*a)) or seen[-1])
+    toxicity.train(docs, labels, sample=40)
+    assert seen and all(len(s) <= 40 for s in seen)
+
+
 def test_toxicity_query(spark, sf):
     rows = QUERIES["op1_toxicity"](spark, sf).collect()
     assert len(rows) == 1000 and all(0 <= r.score <= 1 for r in rows)
