@@ -367,3 +367,57 @@ def rows_scanned(df):
         nodes += [node.children().apply(i) for i in range(node.children().size())]
     (scan,) = scans
     return scan.metrics().apply("numOutputRows").value()
+
+
+@pytest.mark.parametrize("publishing", pl.PUBLISHING)
+def test_partial_runs_of_csv_results(spark, config, publishing):
+    """Line breaks in fields, one file format for all outputs, versions or renamed folders."""
+    formats = {"output_format": "csv", "stats_format": "csv", "multi_line": True}
+    odd = '"P,9\n""x""",T1,A,S1,100,20,60,2023-01-05,active,10'
+    pl.run_pipeline(spark, config(FIRST, publishing=publishing, **formats))
+    made = config([odd], "later.csv", overwrite="dynamic", publishing=publishing, **formats)
+    result = pl.run_pipeline(spark, made)
+    assert patients(result) == {"P3", "P4", 'P,9\n"x"'}
+    assert cohorts(result) == {("T1", "A"): 1, ("T1", "B"): 1, ("T2", "C"): 1}
+
+
+def test_many_partial_runs_one_after_the_other(spark, config):
+    """A day at a time, each with its own partitions; the table is the last word of each."""
+    for day in range(4):
+        lines = [f"P{day}{k},T1,D{(day + k) % 3},S1,{day},2{k},60,2023-01-05,active,10" for k in range(2)]
+        made = config(lines, f"day{day}.csv", overwrite="dynamic", publishing="version")
+        result = pl.run_pipeline(spark, made)
+    # days 0 to 3 write D0 D1, D1 D2, D2 D0, D0 D1
+    assert patients(result) == {"P30", "P31", "P20"}
+    assert cohorts(result) == {("T1", "D0"): 1, ("T1", "D1"): 1, ("T1", "D2"): 1}
+    assert [v.number for v in versions.history(spark, made.output_path)] == [4, 3, 2, 1]
+    assert versions.expire(spark, made.output_path, keep=2) == 3
+    assert sources.read_partitioned(spark, made.output_path, result.records.schema).count() == 3
+
+
+def test_ragged_rows_in_a_run(spark, config, tmp_path):
+    lines = [*FIRST, "P7,T1,B,S1,50", "P8,T1,B,S1,50,40,70,2023-01-07,completed,30,more"]
+    made = config(lines, summary_path=str(tmp_path / "summary"))
+    kept = pl.run_pipeline(spark, made)
+    assert patients(kept) == {"P1", "P2", "P3", "P4", "P7", "P8"}
+    assert kept.metrics["ragged_records"] == 2
+    strict = dataclasses.replace(made, ragged="reject", invalid_path=str(tmp_path / "invalid"))
+    result = pl.run_pipeline(spark, strict)
+    assert patients(result) == {"P1", "P2", "P3", "P4"}
+    summary = sources.read_partitioned(spark, made.summary_path, result.summary.schema, format="json").first()
+    assert (summary.ragged_records, summary.invalid_records, summary.written_records) == (2, 2, 4)
+    assert sources.read_text_columns(spark, strict.invalid_path).count() == 2
+
+
+def test_a_run_over_files_with_two_headers(spark, config, write, tmp_path):
+    """One header is taken for all at first; the run finds out and starts again."""
+    made = config(FIRST)
+    names = HEADER.split(",")
+    other = ",".join(reversed(names))
+    row = ",".join(reversed("P9,T9,A,S9,1,2,3,2023-01-05,active,4".split(",")))
+    write(f"{other}\n{row}\n", "in/second.csv")
+    write(f"{HEADER},more\nP8,T9,A,S9,1,2,3,2023-01-05,active,4,x\n", "in/third.csv")
+    made = dataclasses.replace(made, input_path=str(tmp_path / "in"), summary_path=str(tmp_path / "summary"))
+    result = pl.run_pipeline(spark, made)
+    assert patients(result) == {"P1", "P2", "P3", "P4", "P8", "P9"}
+    assert result.summary.first().extra_columns == ["more"]
