@@ -230,7 +230,7 @@ def mix_sources(
     """Per row: source, doc_id, size, source_size, target, copies (how often the mix takes it) and taken (the
     words it takes of it)."""
     prepare(docs.sparkSession)
-    rows = docs.select(*_keys(docs))
+    rows = staged(docs.select(*_keys(docs)))
     units = staged(_units(rows, weights, share, epochs, seed))
     taken = (F.col("copies") * F.col("size")).alias("taken")
     return _assigned(rows, units).select("*", taken)
