@@ -44,6 +44,8 @@ SAMPLE = 8192
 #: cells to visit.
 ROWS_IN_CELL, CENTROIDS = 800, 1024
 BLOCK = 512
+#: Copies of a vector beyond which it is hot, in rows and as a share of all rows.
+COPIES, HOT = 1000, 10_000
 
 
 def codebook(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -250,7 +252,11 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # together, which repeated ids ask for.
     by_entry = links.groupBy("entry").agg(F.sum("links").alias("links"))
     edges = links.select(F.col("entry").alias("a"), F.col("leads_to").alias("b")).where("a <> b")
-    named = staged(vectors.select("vec_id", *same).join(counted, same).drop(*same))
+    # the names of vectors with many copies, fewer than HOT, are broadcast: no task gets all copies of one
+    many = F.col("copies") > max(COPIES, (counted.agg(F.sum("copies")).first()[0] or 0) // HOT)
+    hot, ids = F.broadcast(counted.where(many)), vectors.select("vec_id", *same)
+    cold = ids.join(hot, same, "left_anti").join(counted.where(~many), same)
+    named = staged(cold.unionByName(ids.join(hot, same)).drop(*same))
     several = (
         named.groupBy("vec_id")
         .agg(F.min("entry").alias("a"), F.max("entry").alias("z"))

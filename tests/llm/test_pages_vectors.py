@@ -321,7 +321,12 @@ def test_copies_of_a_neighbour_take_one_place(spark, copies):
     assert all(math.isclose(s, score[q // 10, i // 10], rel_tol=1e-12) for (q, _), (i, s) in got.items())
 
 
-def test_links_against_all_pairs(spark, clustered):
+@pytest.mark.parametrize("hot", [2, 1000])
+def test_links_against_all_pairs(spark, clustered, monkeypatch, hot):
+    """With many small cells, and with few copies taken for many."""
+    monkeypatch.setattr(semdedup, "COPIES", hot)
+    monkeypatch.setattr(semdedup, "HOT", 10_000)
+    monkeypatch.setattr(semdedup, "ROWS_IN_CELL", 10 * hot)
     rows = semdedup.near_duplicates(spark.createDataFrame(clustered, VECTORS)).collect()
     v = np.array([r[1] for r in clustered], dtype=np.float32).astype(np.float64)
     unit = v / np.sqrt((v * v).sum(axis=1))[:, None]
