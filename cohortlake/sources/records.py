@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -22,7 +23,9 @@ from cohortlake.scratch import hadoop_path
 #: Options that say which files are read and how lines end.
 LISTING = ("pathglobfilter", "recursivefilelookup", "modifiedbefore", "modifiedafter", "linesep")
 #: Up to this many files are looked at from the driver, within this many bytes of each; more by tasks.
-FEW_FILES, FIRST_BYTES = 64, 1 << 16
+FEW_FILES, FIRST_BYTES = 1024, 1 << 16
+#: Files that the driver opens at a time.
+AT_A_TIME = 16
 #: Text of a row that has more or fewer fields than its header; null for all other rows.
 RAGGED = "__ragged"
 #: Every file is one task of the pass over the headers, which ends after the first lines.
@@ -107,8 +110,9 @@ def files_by_header(
         return {}
     lines: dict[str, str] = {}
     if len(files) <= FEW_FILES and "linesep" not in map(str.lower, wanted):
-        found = {file: _first_line(spark, file) for file in files}
-        lines = {file: line for file, line in found.items() if line is not None}
+        with ThreadPoolExecutor(AT_A_TIME) as pool:
+            found = pool.map(lambda file: _first_line(spark, file), files)
+            lines = {file: line for file, line in zip(files, found, strict=True) if line is not None}
     rest = [file for file in files if file not in lines]
     if rest:
         session = spark.newSession()

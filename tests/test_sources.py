@@ -176,7 +176,7 @@ def test_rows_of_a_wrong_length_over_lines_and_headers(spark, write, tmp_path):
     }
 
 
-@pytest.mark.parametrize("few", [0, 64])
+@pytest.mark.parametrize("few", [0, 1024])
 def test_headers_from_the_driver_and_from_tasks(spark, write, tmp_path, monkeypatch, few):
     monkeypatch.setattr(records, "FEW_FILES", few)
     long = ",".join(f"column{i}" for i in range(9000))
@@ -194,6 +194,15 @@ def test_headers_from_the_driver_and_from_tasks(spark, write, tmp_path, monkeypa
     }
 
 
+def test_headers_of_many_files(spark, write, tmp_path):
+    for i in range(200):
+        write(f"{'a,b' if i % 3 else 'b,a'}\n{i},x\n", f"m/f{i}.csv")
+    groups = files_by_header(spark, str(tmp_path / "m"))
+    assert {line: len(found) for line, found in groups.items()} == {"a,b": 133, "b,a": 67}
+    rows = read_text_columns(spark, str(tmp_path / "m"))
+    assert rows.where("a = 'x'").count() == 67 and rows.where("b = 'x'").count() == 133
+
+
 def test_one_header_is_taken_for_all_unless_looked_at(spark, write, tmp_path):
     write("a,b\n1,2\n", "o/one.csv")
     write("b,a\n1,2\n", "o/two.csv")
