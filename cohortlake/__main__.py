@@ -27,6 +27,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--summary", help="folder of the run summary (JSON)")
     p.add_argument("--validated", help="folder of the valid rows (CSV)")
     p.add_argument("--invalid", help="folder of the rejected rows (CSV)")
+    p.add_argument("--manifest", help="folder of the manifest of the records (Parquet)")
     p.add_argument("--run-date", help="YYYY-MM-DD, today by default")
     p.add_argument("--median", choices=("exact", "approx"), default="exact")
     p.add_argument("--digits", default="2", help="places the median is rounded to, or 'none'")
@@ -60,6 +61,7 @@ def config_of(args: argparse.Namespace) -> pl.PipelineConfig:
         summary_path=args.summary,
         validated_path=args.validated,
         invalid_path=args.invalid,
+        manifest_path=args.manifest,
         median_method=args.median,
         median_digits=None if args.digits == "none" else int(args.digits),
         buckets=RANGES[args.ranges],

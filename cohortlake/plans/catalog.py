@@ -847,3 +847,21 @@ def partial_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published by pointing to versions."""
     stats = _partial_run(spark, sf_dir, "version").stats
     return stats.select("trial_id", "drug", "patient_count", "avg_age", "site_count")
+
+
+@records_query(
+    """
+    SELECT drug, count(*) AS row_count, min(age) AS min_age, max(age) AS max_age,
+           min(enrollment_date) AS min_enrollment_date, max(enrollment_date) AS max_enrollment_date,
+           min(outcome_score) AS min_outcome_score, max(outcome_score) AS max_outcome_score
+    FROM clean GROUP BY drug
+    """
+)
+def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest that a run writes, from the footers of its records."""
+    path = scratch_dir(spark)
+    run_on_tables(spark, sf_dir, manifest_path=path)
+    names = ("age", "enrollment_date", "outcome_score")
+    return spark.read.parquet(path).select(
+        "drug", "row_count", *[f"{end}_{name}" for name in names for end in ("min", "max")]
+    )

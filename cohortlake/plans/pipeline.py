@@ -10,7 +10,7 @@ from __future__ import annotations
 import itertools
 import posixpath
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
@@ -49,7 +49,7 @@ from cohortlake.operators.stats import (
 from cohortlake.scratch import Publication, beside, discard, staged, temporary
 from cohortlake.sinks.tables import LAYOUTS, write_partitioned, write_table, write_validated
 from cohortlake.sources.records import RAGGED, header_differs, raw_records, read_frames
-from cohortlake.sources.tables import file_manifest, read_partitioned
+from cohortlake.sources.tables import file_manifest, output_inventory, read_partitioned
 
 OVERWRITE = ("static", "dynamic")
 PUBLISHING = ("rename", "version")
@@ -96,8 +96,9 @@ RIGHT_CLOSED = tuple(replace(r, closed="right", lower=0) for r in LEFT_CLOSED)
 class PipelineConfig:
     """What to read, what to make of it and where to put it.
 
-    ``validated_path`` (valid rows as CSV) and ``invalid_path`` (rejected rows as CSV) are
-    optional outputs. With one of them, or with records as CSV, the second pass over the source
+    ``validated_path`` (valid rows as CSV), ``invalid_path`` (rejected rows as CSV) and ``manifest_path``
+    (files, rows, bytes and ranges of numbers and dates per partition of the records, from the footers of their
+    Parquet files) are optional outputs. With one of the first two, or with records as CSV, the second pass over the source
     stages its text as a columnar table, valid rows apart, and all outputs and the statistics are
     made from that. Staged tables lie in a new folder under ``work_path``, or else under
     ``spark.checkpoint.dir``, until the run ends.
@@ -125,6 +126,7 @@ class PipelineConfig:
     summary_path: str | None = None
     validated_path: str | None = None
     invalid_path: str | None = None
+    manifest_path: str | None = None
     work_path: str | None = None
     contract: Contract = RECORDS
     trim: bool = False
@@ -160,6 +162,7 @@ class PipelineConfig:
             self.summary_path,
             self.validated_path,
             self.invalid_path,
+            self.manifest_path,
             self.work_path,
         ]
         return inputs + [p for p in outputs if p]
@@ -358,6 +361,8 @@ def check_options(config: PipelineConfig) -> None:
     for name, values in known.items():
         if getattr(config, name) not in values:
             raise ValueError(f"{name} must be one of {values}, not {getattr(config, name)!r}")
+    if config.manifest_path and config.output_format != "parquet":
+        raise ValueError("a manifest is made from the footers of Parquet files")
     if config.overwrite == "dynamic" and config.partition_by not in config.keys:
         raise ValueError("a partial run needs the partition column among the keys of its statistics")
 
@@ -387,7 +392,13 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
     back if one of these can't be put in place; the summary is written in any case, also if the run fails."""
     check_paths(spark, config)
     found: dict[str, object] = {}
-    outputs = [config.output_path, config.stats_path, config.validated_path, config.invalid_path]
+    outputs = [
+        config.output_path,
+        config.stats_path,
+        config.validated_path,
+        config.invalid_path,
+        config.manifest_path,
+    ]
     place = versions.new_folder if config.publishing == "version" else beside
     new = {path: place(path) for path in outputs if path}
     try:
@@ -458,29 +469,35 @@ def read_source(
         return measured(look=True)
 
 
-def cohorts_after(
-    spark: SparkSession, config: PipelineConfig, stats: DataFrame, records: T.StructType
+def with_others(
+    spark: SparkSession,
+    config: PipelineConfig,
+    own: DataFrame,
+    path: str,
+    format: str,
+    made_from: Callable[[], DataFrame],
 ) -> DataFrame:
-    """The statistics of a partial run, with the earlier ones of all other partitions; where there are
-    none, they are computed from the records of these partitions."""
-    touched = stats.select(column(config.partition_by).alias("__touched")).distinct()
-
-    def others(df: DataFrame) -> DataFrame:
-        same = column(config.partition_by).eqNullSafe(F.col("__touched"))
-        return df.join(touched, same, "left_anti")
-
+    """A table with a row or more per partition of a partial run, with the earlier rows of all other partitions
+    from ``path``; where there are none, with those that ``made_from`` has."""
+    touched = own.select(column(config.partition_by).alias("__touched")).distinct()
+    same = column(config.partition_by).eqNullSafe(F.col("__touched"))
     try:
-        earlier = others(
-            read_partitioned(spark, config.stats_path, stats.schema, format=config.stats_format)
-        )
+        earlier = read_partitioned(spark, path, own.schema, format=format)
     except FileNotFoundError:
         try:
-            table = read_partitioned(spark, config.output_path, records, format=config.output_format)
+            earlier = made_from()
         except FileNotFoundError:
-            return stats
-        measures = record_measures() if config.measures is None else config.measures
-        earlier = cohort_stats(others(table), config.keys, measures)
-    return stats.unionByName(earlier)
+            return own
+    return own.unionByName(earlier.join(touched, same, "left_anti"))
+
+
+def manifest_of(
+    spark: SparkSession, config: PipelineConfig, path: str, schema: T.StructType
+) -> DataFrame:
+    """The inventory of records at a path, with the ranges of numbers and dates."""
+    kinds = (T.NumericType, T.DateType)
+    ranged = [f.name for f in schema if isinstance(f.dataType, kinds) and f.name != config.partition_by]
+    return output_inventory(spark, path, config.partition_by, schema, ranged)
 
 
 def write_results(
@@ -546,9 +563,24 @@ def write_results(
     measures = record_measures() if config.measures is None else config.measures
     stats = cohort_stats(written if columnar else records, config.keys, measures)
     if config.overwrite == "dynamic":
-        stats = cohorts_after(spark, config, staged(stats, folder), records.schema)
+        stats = with_others(
+            spark, config, staged(stats, folder), config.stats_path, config.stats_format,
+            lambda: cohort_stats(
+                read_partitioned(spark, config.output_path, records.schema, format=config.output_format),
+                config.keys,
+                measures,
+            ),
+        )
     if config.null_keys == "drop":
         stats = stats.dropna(subset=list(config.keys))
     stats = ordered(stats, config.keys)
     write_table(stats, new[config.stats_path], config.stats_format)
+    if config.manifest_path:
+        manifest = manifest_of(spark, config, new[config.output_path], records.schema)
+        if config.overwrite == "dynamic":
+            manifest = with_others(
+                spark, config, staged(manifest, folder), config.manifest_path, "parquet",
+                lambda: manifest_of(spark, config, config.output_path, records.schema),
+            )
+        write_table(manifest, new[config.manifest_path])
     return {config.output_path: records.schema, config.stats_path: stats.schema}

@@ -172,6 +172,7 @@ def test_command_line(spark, config, tmp_path):
         (["--processed-at", "2024-01-02 03:04:05"], "processed_at", "2024-01-02 03:04:05"),
         (["--error", "0.01"], "median_error", 0.01),
         (["--max-records-per-file", "7"], "max_records_per_file", 7),
+        (["--manifest", "/m"], "manifest_path", "/m"),
         (["--overwrite", "dynamic"], "overwrite", "dynamic"),
         (["--publishing", "version"], "publishing", "version"),
         (["--ragged", "reject"], "ragged", "reject"),

@@ -421,3 +421,32 @@ def test_a_run_over_files_with_two_headers(spark, config, write, tmp_path):
     result = pl.run_pipeline(spark, made)
     assert patients(result) == {"P1", "P2", "P3", "P4", "P8", "P9"}
     assert result.summary.first().extra_columns == ["more"]
+
+
+@pytest.mark.parametrize("publishing", pl.PUBLISHING)
+def test_a_run_keeps_the_manifest_of_its_records(spark, config, tmp_path, publishing):
+    options = {"manifest_path": str(tmp_path / "manifest"), "publishing": publishing}
+
+    def manifest(result):
+        schema = pl.manifest_of(spark, made, made.output_path, result.records.schema).schema
+        rows = sources.read_partitioned(spark, made.manifest_path, schema).collect()
+        assert len({r.drug for r in rows}) == len(rows)
+        return {r.drug: (r.file_count, r.row_count, r.min_age, r.max_age, str(r.max_enrollment_date)) for r in rows}
+
+    made = config(FIRST, **options)
+    assert manifest(pl.run_pipeline(spark, made)) == {
+        "A": (1, 2, 20, 30, "2023-01-06"), "B": (1, 1, 40, 40, "2023-01-07"), "C": (1, 1, 40, 40, "2023-01-07")
+    }
+    made = config(LATER, "later.csv", overwrite="dynamic", **options)
+    after = manifest(pl.run_pipeline(spark, made))
+    assert after == {
+        "A": (1, 1, 50, 50, "2023-02-05"), "B": (1, 1, 40, 40, "2023-01-07"),
+        "C": (1, 1, 40, 40, "2023-01-07"), "D": (1, 1, 60, 60, "2023-02-05"),
+    }
+    made = dataclasses.replace(made, manifest_path=str(tmp_path / "other"))
+    assert manifest(pl.run_pipeline(spark, made)) == after
+
+
+def test_a_manifest_needs_footers(spark, config, tmp_path):
+    with pytest.raises(ValueError, match="footers"):
+        pl.run_pipeline(spark, config(FIRST, manifest_path=str(tmp_path / "m"), output_format="csv"))
