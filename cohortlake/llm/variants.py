@@ -41,8 +41,9 @@ MIN_COUNT = 3
 RATIO = 2
 #: A run whose check value this divides loses a code point.
 DROP = 97
-#: Words of a block; a tile holds two blocks, or small groups of as many words in all.
-BLOCK = 128
+#: Words of a block, of which a tile holds two; words of the small groups that share a tile. A word of a large
+#: group is sent once per block, so blocks are large; words of small groups meet in vain, so these are few.
+BLOCK, PACK = 512, 128
 #: Code points of a word that a block has room for; longer words share it.
 ROOM = 32
 
@@ -177,7 +178,7 @@ def _tiles(cell: np.ndarray, shorter: np.ndarray, pair: np.ndarray) -> Iterator[
     at = 0
     while at < len(cuts) - 1:
         end = at + 1
-        most = BLOCK * ROOM // max(int(shorter[cuts[at]]), ROOM)
+        most = PACK * ROOM // max(int(shorter[cuts[at]]), ROOM)
         if not pair[cuts[at]]:
             while end < len(cuts) - 1 and not pair[cuts[end]] and cuts[end + 1] - cuts[at] <= most:
                 end += 1

@@ -84,10 +84,11 @@ def test_variants_against_all_pairs(spark, given, sf):
     assert as_tuples(df) == expected_variants(words)
 
 
-@pytest.mark.parametrize("block", [4, 128])
-def test_tiles_of_any_size(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, pack", [(4, 3), (4, 200), (128, 16)])
+def test_tiles_of_any_size(spark, monkeypatch, block, pack):
     """Large groups are split into blocks, small ones packed, and every pair is found once."""
     monkeypatch.setattr(variants, "BLOCK", block)
+    monkeypatch.setattr(variants, "PACK", pack)
     rng = random.Random(3)
     words = {}
     for _ in range(60):
