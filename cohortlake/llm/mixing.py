@@ -28,7 +28,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.llm import common
 from cohortlake.llm.common import prepare, staged
 
 WEIGHTS = (3, 1, 2)

@@ -141,17 +141,26 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
+def first_by_hash(rows: DataFrame, n: int, *keys: str) -> DataFrame:
+    """The ``n`` rows with the smallest hash of ``keys``, which are distinct. Only the share of the hashes that
+    surely has so many is sorted, so what one task gets doesn't grow with the rows."""
+    key = F.xxhash64(*keys)
+    share = (1.2 * n + 1000) / max(rows.count(), 1)
+    if share < 1:
+        rows = rows.where(key < F.lit(int(share * 2**64) - 2**63))
+    return rows.orderBy(key, *keys).limit(n)
+
+
 def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, toxic) of the rows to learn from; at most ``sample`` of them, the first by hash."""
-    return (
+    known = (
         labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
         .where("doc_id IS NOT NULL AND toxic IN (0, 1)")
         .where(~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample)
     )
+    return first_by_hash(known, sample, "doc_id")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = TERMS) -> Machine:
@@ -177,12 +186,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
                 at += len(texts)
 
     found = staged(
-        rows.join(F.broadcast(chosen), "doc_id")
-        .mapInArrow(run, "doc_id long, toxic int, terms array<int>")
-        # repeated ids bring more rows than were sampled
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "terms")
-        .limit(sample)
+        rows.join(F.broadcast(chosen), "doc_id").mapInArrow(
+            run, "doc_id long, toxic int, terms array<int>"
+        )
     )
+    if found.count() > sample:
+        # repeated ids bring more rows than were sampled; of these, equal ones count once
+        distinct = found.dropDuplicates(["doc_id", "terms"])
+        found = staged(first_by_hash(distinct, sample, "doc_id", "terms"))
     n, positive = found.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     none = np.empty(0, dtype=np.int64)
     if not n:
