@@ -9,7 +9,8 @@ displacement, the slot and the document's ends, whatever the shard's size. A key
 is told by its fingerprint, but for one in 2^32, and by the key kept with the document.
 
 Ids are little-endian unsigned integers of 16 bits if the vocabulary allows it, or else 32; the
-index says which. Encoding is the ``tokenizers`` library's, once per distinct chunk and worker.
+index says which. Encoding is the ``tokenizers`` library's, once per distinct chunk and worker; what a worker
+remembers over its tasks is bounded in chunks and bytes.
 
 Cases: a null text counts as empty, so only the end id is written. Rows without a doc_id come
 first and have no key: they are read in order only. Rows that share a doc_id follow each other by the hash
@@ -243,7 +244,6 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end: int
         ids_name, index_name = names(task)
         write_file(folder, ids_name, payload())
         write_file(folder, index_name, [Index.build(keys, sizes, width).to_bytes()])
-        memory.begin()
         keyed = [key for key in keys if key is not None]
         row = (task, len(keys), sum(sizes), min(keyed, default=None), max(keyed, default=None))
         yield pa.RecordBatch.from_arrays(
