@@ -32,7 +32,7 @@ from cohortlake.llm.common import batch, prepare
 #: Distinct chunks that a worker remembers before it starts anew.
 REMEMBERED = 1_000_000
 #: Bytes of chunks and ids, about, beyond which a memory forgets all.
-MOST_BYTES = 64 << 20
+MOST_BYTES = 128 << 20
 #: New chunks that are encoded in one go.
 TOGETHER = 100_000
 NONE = np.iinfo(np.int64).max
