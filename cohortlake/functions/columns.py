@@ -60,7 +60,8 @@ def date_of(c: Column, fmt: str) -> Column:
     return F.try_to_date(c, fmt)
 
 
-def _parsed(source: T.StructField, target: T.StructField, contract: Contract) -> Column:
+def parsed(source: T.StructField, target: T.StructField, contract: Contract) -> Column:
+    """The source column as the contract's type, NaN as it is; what does not parse becomes null."""
     c = column(source.name)
     if not isinstance(source.dataType, T.StringType):
         return c.try_cast(target.dataType)
@@ -79,16 +80,23 @@ def _parsed(source: T.StructField, target: T.StructField, contract: Contract) ->
 
 def typed(source: T.StructField, target: T.StructField, contract: Contract) -> Column:
     """The source column as the contract's type; what does not parse becomes null."""
-    parsed = _parsed(source, target, contract)
+    return without_nan(parsed(source, target, contract), target).alias(target.name)
+
+
+def without_nan(value: Column, target: T.StructField) -> Column:
+    """A parsed value, null instead of NaN."""
     if isinstance(target.dataType, FLOATING):
-        parsed = F.nanvl(parsed, F.lit(None).cast(target.dataType))
-    return parsed.alias(target.name)
+        return F.nanvl(value, F.lit(None).cast(target.dataType))
+    return value
 
 
-def parse_failed(source: T.StructField, target: T.StructField, contract: Contract) -> Column:
-    """A value is there but does not parse as the contract's type."""
+def parse_failed(
+    source: T.StructField, target: T.StructField, contract: Contract, value: Column | None = None
+) -> Column:
+    """A value is there but does not parse as the contract's type; ``value`` is what ``parsed`` gave, if
+    that is a column already."""
     present = ~is_missing(source, contract.null_values)
-    return present & _parsed(source, target, contract).isNull()
+    return present & (parsed(source, target, contract) if value is None else value).isNull()
 
 
 def bucket(

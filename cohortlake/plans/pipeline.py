@@ -1,7 +1,7 @@
 """From raw record files to the partitioned table, its cohort statistics and a run summary.
 
-The source is parsed twice: once for all metrics and the median, once for the write. Statistics
-read only their columns of the written table. Everything is written to new folders, checked, and
+The source is parsed twice: once for all metrics and the median, once for the write; or only once, if
+no text of it is to be written and the median is exact. Statistics read only their columns of the written table. Everything is written to new folders, checked, and
 then put in the place of what was there.
 """
 
@@ -29,7 +29,15 @@ from cohortlake.contract import (
     ContractError,
     EmptyInputError,
 )
-from cohortlake.functions.columns import column, is_valid, no_nan, parse_failed, typed
+from cohortlake.functions.columns import (
+    column,
+    is_valid,
+    no_nan,
+    parse_failed,
+    parsed,
+    typed,
+    without_nan,
+)
 from cohortlake.operators.features import bucketize, stamp
 from cohortlake.operators.imputation import (
     bucket_totals,
@@ -46,7 +54,7 @@ from cohortlake.operators.stats import (
     ordered,
     record_measures,
 )
-from cohortlake.scratch import Publication, beside, discard, staged, temporary
+from cohortlake.scratch import Publication, beside, discard, scratch_dir, staged, temporary
 from cohortlake.sinks.tables import LAYOUTS, write_partitioned, write_table, write_validated
 from cohortlake.sources.records import RAGGED, header_differs, raw_records, read_frames
 from cohortlake.sources.tables import file_manifest, output_inventory, read_partitioned
@@ -98,9 +106,10 @@ class PipelineConfig:
 
     ``validated_path`` (valid rows as CSV), ``invalid_path`` (rejected rows as CSV) and ``manifest_path``
     (files, rows, bytes and ranges of numbers and dates per partition of the records, from the footers of their
-    Parquet files) are optional outputs. With one of the first two, or with records as CSV, the second pass over the source
+    Parquet files) are optional outputs. With one of the first two the second pass over the source
     stages its text as a columnar table, valid rows apart, and all outputs and the statistics are
-    made from that. Staged tables lie in a new folder under ``work_path``, or else under
+    made from that. Without them, and with the exact median, the first pass stages the typed rows beside what it
+    counts, and there is no second one. Staged tables lie in a new folder under ``work_path``, or else under
     ``spark.checkpoint.dir``, until the run ends.
 
     ``overwrite="dynamic"`` is a partial run, such as one day's: it replaces the partitions that occur in
@@ -230,6 +239,7 @@ def source_metrics(
     trim: bool = False,
     work_path: str | None = None,
     ragged: str = "keep",
+    keep: str | None = None,
 ) -> dict[str, object]:
     """The fields of ``METRICS`` from one pass over the source: total, valid, invalid, ragged and to be
     imputed records, the median of the valid records' measure, and parse failures per column. Ragged
@@ -241,6 +251,9 @@ def source_metrics(
     read again only if the bucket with the middle is too full. The metrics are results of ordinary
     aggregations: work redone after a lost executor is not counted twice, as it can be by
     accumulators and observed metrics ahead of a shuffle.
+
+    With ``keep``, a new folder, the table of the exact median goes there with the typed columns of all rows
+    (``kept_records`` reads the valid ones), so that nothing has to be parsed again.
     """
     if method not in ("exact", "approx"):
         raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
@@ -249,14 +262,17 @@ def source_metrics(
     valid = valid_row(raw, contract, trim, ragged)
     uneven = F.col(RAGGED).isNotNull() if RAGGED in raw.columns else F.lit(False)
     value = no_nan(typed(raw.schema[measure], contract.schema[measure], contract))
-    parsed = [f for f in contract.schema if not isinstance(f.dataType, T.StringType)]
-    flags = {f.name: f"bad_{f.name}" for f in parsed}
-    slim = raw.select(
-        valid.alias("valid"),
-        F.when(valid, value).alias("v"),
-        uneven.alias("ragged"),
-        *[parse_failed(raw.schema[f.name], f, contract).alias(flags[f.name]) for f in parsed],
-    )
+    checked = [f for f in contract.schema if not isinstance(f.dataType, T.StringType)]
+    flags = {f.name: f"bad_{f.name}" for f in checked}
+    if keep:
+        slim = _kept(raw, contract, measure, valid, uneven)
+    else:
+        slim = raw.select(
+            valid.alias("valid"),
+            F.when(valid, value).alias("v"),
+            uneven.alias("ragged"),
+            *[parse_failed(raw.schema[f.name], f, contract).alias(flags[f.name]) for f in checked],
+        )
     counted = {
         "total": F.count(F.lit(1)),
         "valid": F.count_if("valid"),
@@ -265,7 +281,10 @@ def source_metrics(
         **{flag: F.count_if(flag) for flag in flags.values()},
     }
     with temporary(raw.sparkSession, work_path) as folder:
-        if method == "exact":
+        if keep:
+            slim.write.parquet(keep)
+            slim = raw.sparkSession.read.schema(slim.schema).parquet(keep).drop(KEPT)
+        elif method == "exact":
             slim = staged(slim, folder)
         totals = staged(bucket_totals(slim, magnitude(F.col("v")), counted), folder)
         counts = totals.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counted]).first()
@@ -285,6 +304,48 @@ def source_metrics(
     }
 
 
+#: Names of the table that holds the metrics' columns and the typed rows.
+KEPT, PARSED = "__kept", "__parsed"
+
+
+def _kept(
+    raw: DataFrame, contract: Contract, measure: str, valid: Column, uneven: Column
+) -> DataFrame:
+    """The slim table of ``source_metrics`` with the typed columns of valid rows as the struct ``KEPT``.
+    Every value is parsed once: a first projection does it, and the flags look at what came out."""
+    # named by number, as names of the contract may be any
+    value = {f.name: F.col(f"{PARSED}{i}") for i, f in enumerate(contract.schema)}
+    rows = raw.withColumns(
+        {
+            "__valid": valid,
+            "__uneven": uneven,
+            **{
+                f"{PARSED}{i}": parsed(raw.schema[f.name], f, contract)
+                for i, f in enumerate(contract.schema)
+            },
+        }
+    )
+    typed_row = F.struct(*[without_nan(value[f.name], f).alias(f.name) for f in contract.schema])
+    return rows.select(
+        F.col("__valid").alias("valid"),
+        F.when(F.col("__valid"), no_nan(value[measure])).alias("v"),
+        F.col("__uneven").alias("ragged"),
+        *[
+            parse_failed(raw.schema[f.name], f, contract, value[f.name]).alias(f"bad_{f.name}")
+            for f in contract.schema
+            if not isinstance(f.dataType, T.StringType)
+        ],
+        F.when(F.col("__valid"), typed_row).alias(KEPT),
+    )
+
+
+def kept_records(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    """The typed valid rows that ``source_metrics`` has kept at a path."""
+    schema = T.StructType([T.StructField("valid", T.BooleanType()), T.StructField(KEPT, contract.schema)])
+    rows = spark.read.schema(schema).parquet(path).where("valid")
+    return rows.select(*[F.col(KEPT)[f.name].alias(f.name) for f in contract.schema])
+
+
 def metrics_row(spark: SparkSession, metrics: Mapping[str, object]) -> DataFrame:
     """The metrics as a frame of one row in one partition, so that it is written as one file."""
     failures = [F.lit(x) for pair in (metrics["parse_failures"] or {}).items() for x in pair]
@@ -433,14 +494,16 @@ def lines_of(config: PipelineConfig, format: str) -> dict[str, str]:
 
 
 def read_source(
-    spark: SparkSession, config: PipelineConfig, folder: str, found: dict[str, object]
-) -> DataFrame:
-    """The source's contract columns as text, with ``RAGGED``; adds its metrics to ``found``.
+    spark: SparkSession, config: PipelineConfig, folder: str, found: dict[str, object], whole: bool = False
+) -> tuple[DataFrame, str | None]:
+    """The source's contract columns as text, with ``RAGGED``, and if ``whole`` the folder that its typed
+    rows are kept in; adds its metrics to ``found``.
 
     All files are taken to have one header, which Spark checks as it reads them. Only if one differs,
     files are sorted by header, and the pass is made again."""
 
-    def measured(look: bool) -> DataFrame:
+    def measured(look: bool) -> tuple[DataFrame, str | None]:
+        keep = scratch_dir(spark, folder) if whole else None
         options = dict(config.read_options)
         frames = read_frames(spark, config.input_path, config.multi_line, look, True, **options)
         extra = {c for f in frames for c in check_columns(f, config.contract)} - {RAGGED}
@@ -454,9 +517,10 @@ def read_source(
             config.trim,
             folder,
             config.ragged,
+            keep,
         )
         found.update(extra_columns=sorted(extra), metrics=metrics)
-        return raw
+        return raw, keep
 
     try:
         return measured(look=False)
@@ -510,7 +574,9 @@ def write_results(
     """Write all outputs of a run but the summary to their ``new`` folders, with staged tables in
     ``folder``. Gives the schemas of records and statistics; adds to ``found``."""
     contract = config.contract
-    raw = read_source(spark, config, folder, found)
+    text = bool(config.validated_path or config.invalid_path)
+    whole = not text and config.median_method == "exact"
+    raw, kept_at = read_source(spark, config, folder, found, whole)
     metrics = found["metrics"]
     if metrics["total_records"] == 0:
         raise EmptyInputError(f"no records in {config.input_path}")
@@ -520,7 +586,7 @@ def write_results(
     valid = valid_row(raw, contract, config.trim, config.ragged)
     good = raw.where(valid)
     columnar = config.output_format != "csv"
-    if config.validated_path or config.invalid_path or not columnar:
+    if text or not (whole or columnar):
         split = raw.withColumn(VALID, valid)
         write_partitioned(split, f"{folder}/split", VALID)
         good, bad = (
@@ -532,7 +598,8 @@ def write_results(
         if config.invalid_path:
             write_validated(bad, new[config.invalid_path], contract.names)
 
-    records = transform_records(apply_contract(good, contract), config, metrics["median"])
+    good = kept_records(spark, kept_at, contract) if kept_at else apply_contract(good, contract)
+    records = transform_records(good, config, metrics["median"])
     seen = write_partitioned(
         records,
         new[config.output_path],

@@ -393,3 +393,45 @@ def test_metrics_row_without_parsed_columns(spark):
     names = [f.name for f in pl.METRICS]
     row = pl.metrics_row(spark, dict(zip(names, [1, 1, 0, 0, 1, None, {}]))).first()
     assert tuple(row) == (1, 1, 0, 0, 1, None, {})
+
+
+@pytest.mark.parametrize("format", ["parquet", "csv"])
+def test_source_is_parsed_once_without_outputs_of_its_text(spark, write, tmp_path, monkeypatch, format):
+    lines = [
+        "p1,t,A,s,10,30,60.5,2024-01-05,active,4",
+        "p2,t,B,s,NaN,3x,61,2024-1-5,active,NaN",
+        ",t,B,s,1,31,62,2024-01-06,active,9",
+        "p4,u,A,s,,32,,,completed,",
+    ]
+    source = write("\n".join([",".join(RECORDS.names), *lines]) + "\n", "once/in.csv")
+    reads = spark.sparkContext.accumulator(0)
+    original = pl.raw_records
+
+    def counted(*args):
+        df = original(*args)
+
+        def pass_on(batches):
+            for batch in batches:
+                reads.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(pass_on, df.schema)
+
+    monkeypatch.setattr(pl, "raw_records", counted)
+    config = pl.PipelineConfig(
+        source, str(tmp_path / "records"), str(tmp_path / "stats"), output_format=format,
+        work_path=str(tmp_path / "work"),
+    )
+    result = pl.run_pipeline(spark, config)
+    assert reads.value == len(lines)
+    assert not list((tmp_path / "work").glob("*"))
+    assert result.metrics["parse_failures"] == {
+        "dosage_mg": 0, "age": 1, "weight_kg": 0, "enrollment_date": 1, "outcome_score": 0
+    }
+    names = ("patient_id", "dosage_mg", "age", "weight_kg", "enrollment_date", "outcome_score")
+    rows = result.records.orderBy("patient_id").select(*names).collect()
+    assert [tuple(r) for r in rows] == [
+        ("p1", 10.0, 30, 60.5, dt.date(2024, 1, 5), 4.0),
+        ("p2", None, None, 61.0, None, 4.0),
+        ("p4", None, 32, None, None, 4.0),
+    ]
