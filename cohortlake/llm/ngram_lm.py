@@ -6,9 +6,12 @@ blocks. And the totals joined back to the blocks' n-grams, from which each block
 scores of its documents. An n-gram is one row per block and not per occurrence, so the most
 frequent word is no hot key, and what one task holds is one block or one partition of the table.
 
-The rows of a (block, partition) travel as one packed row: sorted 64-bit hashes as differences, in
-byte planes, with their counts. Back go, in the same order, a bit per n-gram that says whether it
-occurs in other blocks, and the totals of those that do; the block has its n-grams still to hand.
+What the shuffles write is what bounds the operator, so all of it travels compressed. Texts are shuffled
+once, as batches of a block's documents that a task has read. The rows of a (block, partition) travel
+as one packed row: sorted 64-bit hashes as differences, with their counts. Back go, in the same order,
+a bit per n-gram that says whether it occurs in other blocks, and the totals of those that do; the
+block finds its n-grams again in its texts. Numbers go in byte planes, each compressed by itself: low
+planes of differences are noise, and would hide that the high ones and those of counts are not.
 
 A document is scored against all others: its own occurrences are taken off every count. With
 c the counts that are left and n all words left, a word w after the words u gets
@@ -27,6 +30,9 @@ looked at.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,8 +44,10 @@ from cohortlake.llm.mixing import size_of
 
 ORDER = 3
 BACKOFF = 0.4
-#: Bytes of text in a block, about.
-BLOCK_BYTES = 8 << 20
+#: Bytes of text in a block, about. The larger, the fewer blocks that an n-gram is a row of.
+BLOCK_BYTES = 16 << 20
+#: Bytes of text that a task packs by block in one go.
+HELD_BYTES = 32 << 20
 
 _U = np.uint64
 _FACTORS = common._stream(53, 16) | _U(1)
@@ -60,28 +68,52 @@ def ngrams(texts: list[bytes], order: int) -> list[tuple[np.ndarray, np.ndarray]
     return out
 
 
-def _texts(rows: pa.Table) -> list[list[bytes]]:
-    return list(common.groups(common.as_bytes(rows["text"].combine_chunks())))
+def _pack_docs(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(batches).sort_by("block")
+    blocks, starts = np.unique(rows["block"].to_numpy(), return_index=True)
+    docs = rows.select(["doc_id", "text"])
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+    packed = []
+    for lo, hi in zip(starts, np.append(starts[1:], rows.num_rows), strict=True):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, docs.schema, options=options) as stream:
+            stream.write_table(docs.slice(lo, hi - lo))
+        packed.append(sink.getvalue().to_pybytes())
+    return common.batch(["block", "docs"], blocks, pa.array(packed, pa.binary()))
+
+
+def pack_docs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, doc_id, text) as few rows (block, docs)."""
+    held, size = [], 0
+    for part in batches:
+        if part.num_rows:
+            held.append(part)
+            size += part.nbytes
+        if size >= HELD_BYTES:
+            yield _pack_docs(held)
+            held, size = [], 0
+    if held:
+        yield _pack_docs(held)
+
 
+def unpack_docs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    for docs in rows["docs"]:
+        yield from pa.ipc.open_stream(docs.as_buffer())
 
-def _grams(rows: pa.Table, order: int):
-    """Owners and hashes of each order over the rows of a block."""
-    parts: list[list[tuple[np.ndarray, np.ndarray]]] = []
-    at = 0
-    for texts in _texts(rows):
-        parts.append([(owner + at, h) for owner, h in ngrams(texts, order)])
-        at += len(texts)
-    return [
-        (np.concatenate([p[n][0] for p in parts]), np.concatenate([p[n][1] for p in parts]))
-        for n in range(order)
-    ]
 
+def _texts(rows: pa.Table) -> Iterator[list[bytes]]:
+    texts = chain.from_iterable(common.as_bytes(docs["text"]) for docs in unpack_docs(rows))
+    return common.groups(texts)
 
-def _distinct(rows: pa.Table, order: int):
-    """The block's n-grams of all orders, its sorted distinct hashes, and their counts."""
-    grams = _grams(rows, order)
-    hashes, counts = np.unique(np.concatenate([h for _, h in grams]), return_counts=True)
-    return grams, hashes, counts
+
+def _distinct(rows: pa.Table, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct hashes of the block's n-grams of all orders, and their counts."""
+    hashes = np.concatenate([h for texts in _texts(rows) for _, h in ngrams(texts, order)])
+    hashes.sort()
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    first = np.flatnonzero(new)
+    return hashes[first], np.diff(first, append=len(hashes))
 
 
 def _cuts(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -91,29 +123,38 @@ def _cuts(hashes: np.ndarray, parts: int) -> np.ndarray:
     return np.append(np.searchsorted(hashes, edges), len(hashes))
 
 
-def pack(hashes: np.ndarray) -> bytes:
-    """Sorted hashes as differences, the bytes of equal weight together."""
-    steps = np.diff(hashes, prepend=_U(0))
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as many byte planes as the largest takes, each compressed by itself."""
+    wide = (int(numbers.max(initial=0)).bit_length() + 7) // 8
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T[:wide]
+    out = [len(numbers).to_bytes(8, "little")]
+    for plane in planes:
+        packed = pa.compress(plane.tobytes(), "zstd", asbytes=True)
+        out += [len(packed).to_bytes(8, "little"), packed]
+    return b"".join(out)
 
 
-def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, dtype=np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(_U).ravel(), dtype=_U)
+def expand(data: bytes) -> np.ndarray:
+    size, at, plane = int.from_bytes(data[:8], "little"), 8, 0
+    numbers = np.zeros((size, 8), dtype=np.uint8)
+    while at < len(data):
+        end = at + 8 + int.from_bytes(data[at : at + 8], "little")
+        numbers[:, plane] = np.frombuffer(pa.decompress(data[at + 8 : end], size, "zstd"), np.uint8)
+        at, plane = end, plane + 1
+    return numbers.view("<u8").ravel()
 
 
-def _smallest(counts: np.ndarray) -> bytes:
-    """Counts in as few bytes as the largest takes; the first byte says how many."""
-    kind = np.min_scalar_type(int(counts.max(initial=0)))
-    return bytes([kind.itemsize]) + counts.astype(kind).tobytes()
+def pack(hashes: np.ndarray) -> bytes:
+    """Sorted hashes as differences."""
+    return squeeze(np.diff(hashes, prepend=_U(0)))
 
 
-def _counts(data: bytes) -> np.ndarray:
-    return np.frombuffer(data[1:], dtype=f"<u{data[0]}").astype(np.int64)
+def unpack(data: bytes) -> np.ndarray:
+    return np.cumsum(expand(data), dtype=_U)
 
 
 def _count_block(key: tuple, rows: pa.Table, order: int, parts: int) -> pa.Table:
-    _, hashes, counts = _distinct(rows, order)
+    hashes, counts = _distinct(rows, order)
     cuts = _cuts(hashes, parts)
     filled = np.flatnonzero(cuts[1:] > cuts[:-1])
     spans = [slice(cuts[i], cuts[i + 1]) for i in filled]
@@ -122,16 +163,16 @@ def _count_block(key: tuple, rows: pa.Table, order: int, parts: int) -> pa.Table
             "part": pa.array(filled, pa.int32()),
             "block": pa.array([key[0].as_py()] * len(spans), pa.int32()),
             "hashes": pa.array([pack(hashes[s]) for s in spans], pa.binary()),
-            "counts": pa.array([_smallest(counts[s]) for s in spans], pa.binary()),
+            "counts": pa.array([squeeze(counts[s]) for s in spans], pa.binary()),
         }
     )
 
 
 def _total_part(rows: pa.Table) -> pa.Table:
     """A partition of the count table: totals of all its n-grams, sent back to every block."""
-    hashes = [unpack(x) for x in rows["hashes"].to_pylist()]
-    counts = [_counts(x) for x in rows["counts"].to_pylist()]
-    table, at = np.unique(np.concatenate(hashes), return_inverse=True)
+    counts = [expand(x).astype(np.int64) for x in rows["counts"].to_pylist()]
+    hashes = np.concatenate([unpack(x) for x in rows["hashes"].to_pylist()])
+    table, at = np.unique(hashes, return_inverse=True)
     totals = np.bincount(at, np.concatenate(counts), len(table)).astype(np.int64)
     elsewhere, sums, begin = [], [], 0
     for own in counts:
@@ -139,7 +180,7 @@ def _total_part(rows: pa.Table) -> pa.Table:
         begin += len(own)
         more = total > own
         elsewhere.append(np.packbits(more).tobytes())
-        sums.append(_smallest(total[more]))
+        sums.append(squeeze(total[more]))
     return pa.table(
         {
             "part": rows["part"],
@@ -150,29 +191,25 @@ def _total_part(rows: pa.Table) -> pa.Table:
     )
 
 
-def _score_block(
-    rows: pa.Table, table: pa.Table, order: int, parts: int, all_words: int
-) -> pa.Table:
-    n = rows.num_rows
-    grams, hashes, counts = _distinct(rows, order)
-    totals = counts.astype(np.int64)
-    cuts = _cuts(hashes, parts)
-    for part, bits, sums in zip(
-        *(table[c].to_pylist() for c in ("part", "elsewhere", "totals")), strict=True
-    ):
-        lo, hi = cuts[part], cuts[part + 1]
-        more = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo).astype(bool)
-        totals[lo:hi][more] = _counts(sums)
-    words = np.bincount(grams[0][0], minlength=n)
+def _score_texts(
+    texts: list[bytes], hashes: np.ndarray, totals: np.ndarray, order: int, all_words: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Words and log score of each text, by the totals of the sorted hashes."""
+    grams = ngrams(texts, order)
+    words = np.bincount(grams[0][0], minlength=len(texts))
     left_words = np.maximum(all_words - words, 1).astype(np.float64)
 
     def left(owner: np.ndarray, of: np.ndarray) -> np.ndarray:
         """Counts in all other documents."""
-        at = np.searchsorted(hashes, of)
-        _, inverse, own = np.unique(
-            owner * np.int64(len(hashes)) + at, return_inverse=True, return_counts=True
-        )
-        return (totals[at] - own[inverse]).astype(np.float64)
+        by = np.argsort(of, kind="stable")  # owners ascend, and do so within each n-gram
+        of, owner = of[by], owner[by]
+        new = np.ones(len(of), dtype=bool)
+        new[1:] = (of[1:] != of[:-1]) | (owner[1:] != owner[:-1])
+        first = np.flatnonzero(new)
+        own = np.diff(first, append=len(of))
+        counts = np.empty(len(of))
+        counts[by] = np.repeat(totals[np.searchsorted(hashes, of[first])] - own, own)
+        return counts
 
     owner, unigrams = grams[0]
     counts_left = left(owner, unigrams)
@@ -193,14 +230,29 @@ def _score_block(
         score[ends] = longer
         shorter_at = np.zeros(len(owner))
         shorter_at[ends] = counts_left
-    total = np.bincount(owner, np.log(score), n)
+    return words, np.bincount(owner, np.log(score), len(texts))
+
+
+def _score_block(
+    rows: pa.Table, table: pa.Table, order: int, parts: int, all_words: int
+) -> pa.Table:
+    hashes, totals = _distinct(rows, order)
+    cuts = _cuts(hashes, parts)
+    for part, bits, sums in zip(
+        *(table[c].to_pylist() for c in ("part", "elsewhere", "totals")), strict=True
+    ):
+        lo, hi = cuts[part], cuts[part + 1]
+        more = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo).astype(bool)
+        totals[lo:hi][more] = expand(sums)
+    found = [_score_texts(texts, hashes, totals, order, all_words) for texts in _texts(rows)]
+    words, total = (np.concatenate(x) for x in zip(*found, strict=True))
     filled = words > 0
     mean = np.where(filled, total / np.maximum(words, 1), 0)
     nothing = pa.array(~filled)
     null = lambda x: pa.compute.if_else(nothing, pa.scalar(None, pa.float64()), pa.array(x))
     return pa.table(
         {
-            "doc_id": rows["doc_id"],
+            "doc_id": pa.chunked_array([docs["doc_id"] for docs in unpack_docs(rows)]),
             "n_words": pa.array(words, pa.int64()),
             "log_score": null(total),
             "mean_log_score": null(mean),
@@ -221,7 +273,8 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     )
     size, all_words = rows.agg(F.sum(F.octet_length("text")), F.sum(size_of(F.col("text")))).first()
     blocks = parts = max(1, -(-(size or 0) // BLOCK_BYTES))
-    rows = rows.withColumn("block", block_of(blocks))
+    rows = rows.select(block_of(blocks).alias("block"), "doc_id", "text")
+    rows = rows.mapInArrow(pack_docs, "block int, docs binary")
 
     # plain functions without hints: Spark tells the kind of function by its arguments
     def count(key, rows):

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import collections
+import contextlib
 import hashlib
+import io
 import math
 import re
 import zlib
@@ -473,6 +475,54 @@ def test_packed_hashes_round_trip():
     assert (ngram_lm.unpack(ngram_lm.pack(hashes)) == hashes).all()
 
 
+def test_hashes_and_counts_travel_in_few_bytes():
+    """As dense as in a block of 16 MB; Spark's own compression can't get this far."""
+    rng = np.random.default_rng(2)
+    hashes = np.unique(rng.integers(0, 1 << 56, 1 << 14).astype(np.uint64))
+    assert len(pa.compress(ngram_lm.pack(hashes), "lz4", asbytes=True)) < 5.8 * len(hashes)
+    counts = rng.geometric(0.9, len(hashes))
+    counts[7] = 70_000
+    assert len(ngram_lm.squeeze(counts)) < 0.2 * len(counts)
+
+
+@pytest.mark.parametrize("numbers", [[], [0], [0, 0, 5], [255, 256], [(1 << 64) - 1, 0, 1 << 40]])
+def test_squeezed_numbers_round_trip(numbers):
+    numbers = np.array(numbers, dtype=np.uint64)
+    assert (ngram_lm.expand(ngram_lm.squeeze(numbers)) == numbers).all()
+
+
+def test_packed_documents_are_those_of_their_blocks(monkeypatch):
+    monkeypatch.setattr(ngram_lm, "HELD_BYTES", 200_000)
+    rng = np.random.default_rng(3)
+    some = [" ".join(f"w{int(x * x * 900)}" for x in rng.random(300)) for _ in range(400)] + ["", "\u00e9"]
+    rows = [
+        {"block": int(rng.integers(5)), "doc_id": None if i % 50 == 0 else i % 90, "text": text}
+        for i, text in enumerate(some)
+    ]
+    schema = pa.schema([("block", pa.int32()), ("doc_id", pa.int64()), ("text", pa.string())])
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + 70], schema) for i in range(0, len(rows), 70)]
+    packed = pa.Table.from_batches(ngram_lm.pack_docs(batches))
+    assert 5 < packed.num_rows <= 5 * len(batches)
+    assert packed.nbytes < 0.5 * sum(map(len, some))
+    for block in range(5):
+        of = packed.filter(pa.compute.field("block") == block)
+        found = [(r["doc_id"], r["text"]) for docs in ngram_lm.unpack_docs(of) for r in docs.to_pylist()]
+        assert found == [(r["doc_id"], r["text"]) for r in rows if r["block"] == block]
+
+
+def test_lm_texts_are_shuffled_once_and_packed(spark, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "BLOCK_BYTES", 400)
+    docs = spark.createDataFrame([(i, f"a b c {i % 7}") for i in range(500)], "doc_id long, text string")
+    scores = ngram_lm.scores(docs)
+    assert scores.count() == 500
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        scores.explain("formatted")
+    shuffled = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]", plan.getvalue())
+    names = {frozenset(re.findall(r"(\w+)#", columns)) for columns in shuffled}
+    assert frozenset(["block", "docs"]) in names
+    assert not any("text" in columns for columns in names)
+
+
 def test_toxicity_learns_pairs(spark):
     """Neither of two terms is toxic alone; together they are."""
     rng = np.random.default_rng(4)
